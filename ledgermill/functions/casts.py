@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 
 from ledgermill.schema import MONEY
 
-# Fixed value: an integer with an optional fraction, padded by blanks or control characters.
-INT_WITH_FRACTION = r"^[\x00-\x20\x7f]*([+-]?[0-9]*)([.][0-9]*)?[\x00-\x20\x7f]*$"
+# An integer with a point and an optional fraction, padded by blanks or control
+# characters; and any digit.
+INT_WITH_POINT = r"^[\x00-\x20\x7f]*[+-]?[0-9]*[.][0-9]*[\x00-\x20\x7f]*$"
+DIGIT = "[0-9]"
 
 
 def _column(value: Column | str) -> Column:
@@ -30,13 +32,10 @@ def to_flag(value: Column | str) -> Column:
 def int_prefix(value: Column | str) -> Column:
     """Integer part of a text number: ``'1.99'`` is 1, ``'.5'`` is 0, ``'1e3'`` is NULL.
 
-    Plain integers, practically all rows, take the cheap cast; only text holding a point reaches
-    the regular expression.
+    Plain integers, practically all rows, take the cheap cast; only other text reaches the regular
+    expression.
     """
     text = _column(value)
-    whole = F.regexp_extract(text, INT_WITH_FRACTION, 1)
-    fraction = F.regexp_extract(text, INT_WITH_FRACTION, 2)
-    truncated = F.when(whole.rlike("[0-9]"), whole.try_cast("int")).when(
-        fraction != "", F.lit(0)
-    )
-    return F.coalesce(text.try_cast("int"), F.when(text.contains("."), truncated))
+    whole = F.substring_index(text, ".", 1)
+    truncated = F.when(whole.rlike(DIGIT), whole.try_cast("int")).otherwise(0)
+    return F.coalesce(text.try_cast("int"), F.when(text.rlike(INT_WITH_POINT), truncated))

@@ -22,15 +22,18 @@ def _missing_field() -> Column:
     return reduce(or_, [F.col(name).isNull() for name in REQUIRED_FIELDS])
 
 
+def _fails(condition: Column) -> Column:
+    """Broken unless the condition is true; an unreadable value makes it NULL, so it breaks too."""
+    return ~F.coalesce(condition, F.lit(False))
+
+
 def _bad_amount(strict: bool) -> Column:
-    amount = to_number("amount")
-    bad = amount.isNull() | (amount <= 0)
+    bad = _fails(to_number("amount") > 0)
     return bad | to_money("amount").isNull() if strict else bad
 
 
 def _bad_step() -> Column:
-    step = int_prefix("step")
-    return step.isNull() | ~step.between(FIRST_STEP, LAST_STEP)
+    return _fails(int_prefix("step").between(FIRST_STEP, LAST_STEP))
 
 
 def reject_reason(strict: bool = False) -> Column:

@@ -7,11 +7,11 @@ them.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 from ledgermill.schema import FRAUD_TYPES, PAYMENT_TYPES
@@ -105,9 +105,9 @@ def evaluate(
     return reduce(DataFrame.unionByName, results).select(RESULT_COLUMNS)
 
 
-def check_expectations(results: DataFrame) -> None:
-    """Raise with the violated expectations; their number is that of the declarations."""
-    broken = results.filter("failures > 0").collect()
+def check_expectations(results: Iterable[Row]) -> None:
+    """Raise with the violated expectations among the collected result rows."""
+    broken = [row for row in results if row.failures > 0]
     if broken:
         found = "; ".join(
             f"{r.table_name}.{r.column_name} {r.check_name}: {r.failures}" for r in broken

@@ -21,7 +21,7 @@ def label(bronze: DataFrame, strict: bool = False) -> DataFrame:
 
 
 def valid_rows(labelled: DataFrame) -> DataFrame:
-    return labelled.filter(IS_VALID)
+    return labelled.filter(IS_VALID).drop("reject_reason")
 
 
 def rejected_rows(labelled: DataFrame) -> DataFrame:

@@ -5,15 +5,22 @@ from __future__ import annotations
 import time
 from contextlib import contextmanager
 from dataclasses import dataclass, field
-from datetime import date, timedelta
+from datetime import date, datetime, timedelta
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
 from ledgermill.functions import event_date, int_prefix
 from ledgermill.operators import gate, gold, quality, reconcile, runlog, silver, validation
 from ledgermill.plans import metrics as metrics_plan
-from ledgermill.schema import RUN_LOG_SCHEMA, STEP_EPOCH, TASK_LOG_SCHEMA, as_day
+from ledgermill.schema import (
+    FIRST_STEP,
+    LAST_STEP,
+    RUN_LOG_SCHEMA,
+    STEP_EPOCH,
+    TASK_LOG_SCHEMA,
+    as_day,
+)
 from ledgermill.session import drop_folder, shared_folder
 from ledgermill.sources import tables
 from ledgermill.sources.bronze import read_bronze
@@ -50,24 +57,28 @@ class RunReport:
     candidate_rows: int = 0
     silver_rows: int = 0
     suspicious_rows: int = 0
+    # Result rows of the expectations, one per declaration.
+    expectations: list[Row] = field(default_factory=list)
 
     @property
     def dedup_removed(self) -> int:
         return self.candidate_rows - self.silver_rows
 
+    def summary(self) -> str:
+        return (
+            f"days={len(self.ready)} not_ready={len(self.not_ready)} "
+            f"without_rows={len(self.without_rows)} bronze={self.bronze_rows} "
+            f"valid={self.valid_rows} quarantine={self.quarantine_rows} "
+            f"dedup_removed={self.dedup_removed} written={self.silver_rows} "
+            f"suspicious={self.suspicious_rows}"
+        )
+
 
 def _span(start: str | date, end: str | date) -> list[date]:
     first, last = as_day(start), as_day(end)
     return [first + timedelta(days=n) for n in range((last - first).days + 1)]
 
 
-def _per_day(days: list[date], prefix: str, condition: Column) -> list[Column]:
-    return [
-        F.count_if(condition & (F.col("tx_date") == F.lit(day))).alias(f"{prefix}_{day}")
-        for day in days
-    ]
-
-
 def _stage(
     spark: SparkSession,
     bronze: DataFrame,
@@ -84,17 +95,15 @@ def _stage(
     so they are known before anything is published; it has no shuffle, so that a repeated task
     cannot count twice.
     """
-    labelled = validation.label(bronze, strict).withColumn(
-        "tx_date", event_date(int_prefix("step"), step_epoch)
+    labelled = validation.label(bronze, strict).withColumns(
+        {
+            "tx_date": event_date(int_prefix("step"), step_epoch),
+            "arrival_date": gate.arrival_day(step_epoch),
+        }
     )
-    arrived = gate.arrival_day(step_epoch).isNotNull()
     counts = Observation()
     observed = labelled.observe(
-        counts,
-        *validation.split_counts(),
-        F.max(F.when(arrived, F.col("tx_date"))).alias("last_arrival"),
-        *_per_day(days, "arrived", arrived),
-        *_per_day(days, "valid", F.expr(validation.IS_VALID)),
+        counts, *validation.split_counts(), F.max("arrival_date").alias("last_arrival")
     )
     wanted = F.expr(validation.IS_REJECTED) | F.col("tx_date").between(
         F.lit(days[0]), F.lit(days[-1])
@@ -104,14 +113,34 @@ def _stage(
     return spark.read.schema(labelled.schema).parquet(path), counts.get
 
 
-def _split_ready(counts: dict, days: list[date], feed_done: bool) -> tuple[list, list]:
-    last = counts["last_arrival"]
-    ready = [
-        day
-        for day in days
-        if gate.is_ready(counts[f"arrived_{day}"], int(last is not None and last > day), feed_done)
-    ]
-    return ready, [day for day in days if day not in ready]
+def _day_counts(staged: DataFrame, days: list[date]) -> dict[date, Row]:
+    """Arrived and valid records of the asked days, at most one row each."""
+    per_day = (
+        staged.select(
+            F.coalesce("arrival_date", "tx_date").alias("day"),
+            F.col("arrival_date").isNotNull().alias("arrived"),
+            F.expr(validation.IS_VALID).alias("valid"),
+        )
+        .filter(F.col("day").between(F.lit(days[0]), F.lit(days[-1])))
+        .groupBy("day")
+        .agg(F.count_if("arrived").alias("arrived"), F.count_if("valid").alias("valid"))
+    )
+    return {row.day: row for row in per_day.collect()}
+
+
+def _choose_days(
+    report: RunReport, days: list[date], seen: dict, last: date | None, feed_done: bool | None
+) -> None:
+    for day in days:
+        arrived, valid = (seen[day].arrived, seen[day].valid) if day in seen else (0, 0)
+        later = int(last is not None and last > day)
+        if feed_done is not None and not gate.is_ready(arrived, later, feed_done):
+            report.not_ready.append(day)
+            continue
+        report.ready.append(day)
+        report.candidate_rows += valid
+        if not valid:
+            report.without_rows.append(day)
 
 
 def _write_silver(staged: DataFrame, report: RunReport, path: str, step_epoch: str) -> None:
@@ -131,6 +160,49 @@ def _write_silver(staged: DataFrame, report: RunReport, path: str, step_epoch: s
     report.suspicious_rows = written.get["suspicious"]
 
 
+def all_days(step_epoch: str = STEP_EPOCH) -> tuple[date, date]:
+    """First and last event day that an accepted step can fall on."""
+    first = datetime.fromisoformat(step_epoch)
+    return first.date(), (first + timedelta(hours=LAST_STEP - FIRST_STEP)).date()
+
+
+def load_silver(
+    spark: SparkSession,
+    bronze: DataFrame,
+    silver_path: str,
+    start: str | date | None = None,
+    end: str | date | None = None,
+    feed_done: bool | None = None,
+    step_epoch: str = STEP_EPOCH,
+    strict: bool = False,
+) -> RunReport:
+    """Bring the event days ``start`` to ``end`` from Bronze to Silver and the quarantine.
+
+    Without ``end`` a single day, without ``start`` every day is written. If ``feed_done`` is given,
+    days that have not fully arrived are left out.
+    """
+    first, last = (start, end or start) if start else all_days(step_epoch)
+    days = _span(first, last)
+    report = RunReport()
+    scratch = shared_folder(spark)
+    try:
+        staged, counts = _stage(spark, bronze, days, scratch, step_epoch, strict)
+        report.bronze_rows = counts["bronze_rows"]
+        report.valid_rows = counts["valid_rows"]
+        report.quarantine_rows = counts["quarantine_rows"]
+        validation.check_conservation(
+            report.bronze_rows, report.valid_rows, report.quarantine_rows
+        )
+        seen = _day_counts(staged, days)
+        _choose_days(report, days, seen, counts["last_arrival"], feed_done)
+        if report.ready:
+            _write_silver(staged, report, silver_path, step_epoch)
+            tables.write_quarantine(validation.to_quarantine(staged), silver_path)
+    finally:
+        drop_folder(spark, scratch)
+    return report
+
+
 def build_gold(spark: SparkSession, silver_path: str, gold_path: str) -> None:
     """Rebuild all Gold tables from the whole of Silver."""
     for name, build in gold.GOLD_TABLES.items():
@@ -154,36 +226,25 @@ def run_days(
     the same tables, and doing them again changes nothing. Any mismatch stops the run before the
     next layer is touched.
     """
-    days = _span(start, end)
-    report = RunReport()
     log = _RunLog(spark, lake)
-    scratch = shared_folder(spark)
+    days = _span(start, end)
     try:
-        with log.task("stage"):
-            bronze = read_bronze(spark, lake.bronze)
-            staged, counts = _stage(spark, bronze, days, scratch, step_epoch, strict)
-            report.bronze_rows = counts["bronze_rows"]
-            report.valid_rows = counts["valid_rows"]
-            report.quarantine_rows = counts["quarantine_rows"]
-            validation.check_conservation(
-                report.bronze_rows, report.valid_rows, report.quarantine_rows
+        bronze = read_bronze(spark, lake.bronze)
+        with log.task("silver"):
+            report = load_silver(
+                spark, bronze, lake.silver, start, end, feed_done, step_epoch, strict
             )
-            report.ready, report.not_ready = _split_ready(counts, days, feed_done)
-            report.candidate_rows = sum(counts[f"valid_{day}"] for day in report.ready)
-            report.without_rows = [d for d in report.ready if not counts[f"valid_{d}"]]
-        if not report.ready:
+        days = report.ready
+        if not days:
             return report
-        with log.task("silver"):
-            _write_silver(staged, report, lake.silver, step_epoch)
-            tables.write_quarantine(validation.to_quarantine(staged), lake.silver)
         with log.task("gold"):
             build_gold(spark, lake.silver, lake.gold)
         with log.task("expectations"):
             stored = tables.read_silver(spark, lake.silver)
             built = {name: tables.read_gold(spark, lake.gold, name) for name in gold.GOLD_TABLES}
-            results = quality.evaluate({"silver": stored} | built)
+            report.expectations = quality.evaluate({"silver": stored} | built).collect()
             if raise_on_expectation:
-                quality.check_expectations(results)
+                quality.check_expectations(report.expectations)
         with log.task("reconcile"):
             row = reconcile.total(stored, built["undetected_fraud"]).first()
             reconcile.check_total(row.gold_rows, row.suspicious_rows)
@@ -197,13 +258,12 @@ def run_days(
                 step_epoch,
             )
             tables.write_metrics(gauges, lake.metrics)
-        log.finish(report.ready, runlog.SUCCESS)
+        log.finish(days, runlog.SUCCESS)
     except Exception:
-        log.finish(report.ready or days, runlog.FAILED)
+        log.finish(days, runlog.FAILED)
         raise
     finally:
         log.flush()
-        drop_folder(spark, scratch)
     return report
 
 

@@ -12,6 +12,17 @@ from pyspark.sql import SparkSession
 TARGET_PARTITION_BYTES = 256 * 1024 * 1024
 
 
+# Fixed value: HotSpot never compiles a method of more bytecode than this.
+JIT_METHOD_LIMIT = 8000
+
+BASE_CONF = {
+    "spark.sql.session.timeZone": "UTC",
+    # Labelling and typing make one long projection. Fused into a single method it would stay
+    # interpreted, which costs more than giving up the fusion for that stage.
+    "spark.sql.codegen.hugeMethodLimit": str(JIT_METHOD_LIMIT),
+}
+
+
 def recommended_conf(shuffle_bytes: int) -> dict[str, str]:
     """Settings for a cluster run whose widest shuffle moves ``shuffle_bytes``.
 
@@ -19,8 +30,7 @@ def recommended_conf(shuffle_bytes: int) -> dict[str, str]:
     chosen for the widest shuffle (the dedup of Silver, see README).
     """
     partitions = max(200, math.ceil(shuffle_bytes / TARGET_PARTITION_BYTES))
-    return {
-        "spark.sql.session.timeZone": "UTC",
+    return BASE_CONF | {
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
         "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
@@ -29,10 +39,14 @@ def recommended_conf(shuffle_bytes: int) -> dict[str, str]:
     }
 
 
-def build_session(app_name: str = "ledgermill", conf: dict[str, str] | None = None) -> SparkSession:
-    """Session in UTC; master and resources come from spark-submit or the cluster's defaults."""
-    builder = SparkSession.builder.appName(app_name).config("spark.sql.session.timeZone", "UTC")
-    for key, value in (conf or {}).items():
+def build_session(
+    app_name: str = "ledgermill", conf: dict[str, str] | None = None, master: str | None = None
+) -> SparkSession:
+    """Session in UTC; resources, and the master unless given, come from spark-submit."""
+    builder = SparkSession.builder.appName(app_name)
+    if master:
+        builder = builder.master(master)
+    for key, value in (BASE_CONF | (conf or {})).items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
@@ -47,8 +61,19 @@ def shared_folder(spark: SparkSession) -> str:
     return f"{root.rstrip('/')}/ledgermill-{uuid.uuid4().hex}"
 
 
-def drop_folder(spark: SparkSession, path: str) -> None:
-    """Remove a folder made by ``shared_folder`` from whatever file system holds it."""
+def _file_system(spark: SparkSession, path: str):
+    """Hadoop file system holding ``path``, and the path as that system takes it."""
     hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    hadoop_path.getFileSystem(conf).delete(hadoop_path, True)
+    return hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hadoop_path
+
+
+def path_exists(spark: SparkSession, pattern: str) -> bool:
+    """Whether any file or folder matches a path or glob pattern."""
+    files, hadoop_path = _file_system(spark, pattern)
+    return bool(files.globStatus(hadoop_path))
+
+
+def drop_folder(spark: SparkSession, path: str) -> None:
+    """Remove a folder made by ``shared_folder``."""
+    files, hadoop_path = _file_system(spark, path)
+    files.delete(hadoop_path, True)

@@ -2,15 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from ledgermill.schema import METRICS_SCHEMA, QUARANTINE_SCHEMA, SILVER_SCHEMA
-
-
-def _path_missing(error: AnalysisException) -> bool:
-    return error.getCondition() == "PATH_NOT_FOUND"
+from ledgermill.session import path_exists
 
 
 def _replace_partitions(df: DataFrame, path: str, key: str) -> None:
@@ -43,14 +39,11 @@ def write_silver(
 def read_silver(spark: SparkSession, path: str) -> DataFrame:
     """Silver without the quarantine below the same root; empty while no day is written."""
     root = path.rstrip("/")
-    columns = SILVER_SCHEMA.fieldNames()
-    try:
-        files = spark.read.schema(SILVER_SCHEMA).option("basePath", root)
-        return files.parquet(f"{root}/tx_date=*").select(columns)
-    except AnalysisException as error:
-        if not _path_missing(error):
-            raise
+    days = f"{root}/tx_date=*"
+    if not path_exists(spark, days):
         return spark.createDataFrame([], SILVER_SCHEMA)
+    files = spark.read.schema(SILVER_SCHEMA).option("basePath", root).parquet(days)
+    return files.select(SILVER_SCHEMA.fieldNames())
 
 
 def quarantine_path(silver_path: str) -> str:
@@ -87,29 +80,19 @@ def read_metrics(spark: SparkSession, path: str) -> DataFrame:
 
 def read_log(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """A log table, empty before its first entry."""
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException as error:
-        if not _path_missing(error):
-            raise
+    if not path_exists(spark, path):
         return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(path)
 
 
 def append_log(log: DataFrame, path: str) -> None:
     log.write.mode("append").parquet(path)
 
 
-def write_feed_marker(spark: SparkSession, path: str, delivered: int, failed: int = 0) -> None:
+def write_feed_marker(spark: SparkSession, path: str) -> None:
     """Record that the feed has delivered its last day."""
-    line = f"delivered={delivered} failed={failed}"
-    spark.createDataFrame([(line,)], "value string").write.mode("overwrite").text(path)
+    spark.createDataFrame([("done",)], "value string").write.mode("overwrite").text(path)
 
 
 def feed_done(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.text(path)
-        return True
-    except AnalysisException as error:
-        if not _path_missing(error):
-            raise
-        return False
+    return path_exists(spark, path)

@@ -5,11 +5,15 @@ The rules are fixed in FIXTURES.md; the same ones are written as SQL in ``worklo
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgermill.schema import PAYLOAD_FIELDS
 
+EVENTS_SCHEMA = (
+    "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE"
+)
+
 # Expressions over an event, with k its id, amt its value and hr its hour from 1.
 RECORD_RULES = {
     "step": """CASE WHEN k % 211 = 7 THEN '0' WHEN k % 223 = 11 THEN '744'
@@ -37,32 +41,50 @@ RECORD_RULES = {
                          WHEN k % 100 = 3 AND event_type IN ('purchase', 'error') THEN '1'
                          WHEN k % 283 = 61 THEN '1' ELSE '0' END""",
 }
-KAFKA_TIMESTAMP_RULE = """CASE WHEN k % 307 = 71 OR k % 422 = 7 THEN NULL
-                          ELSE 1767225600000 + k * 1000 + copy * 60000 END"""
+FIRST_DELIVERY_RULE = """CASE WHEN k % 307 = 71 OR k % 422 = 7 THEN NULL
+                         ELSE 1767225600000 + k * 1000 END"""
+REDELIVERED = "k % 40 = 5"
+REDELIVERY_DELAY_MS = 60000
 
 
-def raw_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Payload text columns plus ``k`` and the raw event columns."""
-    events = spark.read.parquet(f"{sf_dir}/events.parquet").select(
+def _table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.schema(EVENTS_SCHEMA).parquet(f"{sf_dir}/events.parquet")
+
+
+def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _table(spark, sf_dir).select(
         F.col("event_id").alias("k"),
         F.col("value").cast("decimal(18,2)").alias("amt"),
         F.expr("timestampdiff(HOUR, TIMESTAMP_NTZ'2024-01-01 00:00:00', ts) + 1").alias("hr"),
         "user_id",
         "event_type",
     )
-    return events.select(
-        "k", *[F.expr(RECORD_RULES[name]).alias(name) for name in PAYLOAD_FIELDS]
-    )
+
+
+def _payload() -> list[Column]:
+    return [F.expr(RECORD_RULES[name]).alias(name) for name in PAYLOAD_FIELDS]
+
+
+def raw_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Payload text columns, one record per event."""
+    return _events(spark, sf_dir).select(_payload())
 
 
 def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Bronze records; every 40th one was delivered twice, a minute apart."""
-    delivered = raw_records(spark, sf_dir).withColumn(
-        "copy", F.explode(F.expr("sequence(0, CAST(k % 40 = 5 AS INT))"))
+    """Bronze records; every 40th one was delivered twice, a minute apart.
+
+    Both deliveries are unfolded from one record, so each rule is worked out once per event and
+    filters on payload fields see plain columns.
+    """
+    record = F.struct(*_payload(), F.expr(FIRST_DELIVERY_RULE).alias("kafka_timestamp"))
+    rows = _events(spark, sf_dir).select("k", record.alias("record"))
+    again = F.col("record").withField(
+        "kafka_timestamp", F.col("record.kafka_timestamp") + REDELIVERY_DELAY_MS
     )
-    return delivered.select(
-        *PAYLOAD_FIELDS, F.expr(KAFKA_TIMESTAMP_RULE).alias("kafka_timestamp")
+    deliveries = F.when(F.expr(REDELIVERED), F.array("record", again)).otherwise(
+        F.array("record")
     )
+    return rows.select(F.inline(deliveries))
 
 
 def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -79,7 +101,7 @@ def run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A run log in which each event is a run of its day that ended, failed or goes on."""
     state = """CASE event_type WHEN 'purchase' THEN 'success' WHEN 'error' THEN 'failed'
                ELSE 'running' END"""
-    return spark.read.parquet(f"{sf_dir}/events.parquet").select(
+    return _table(spark, sf_dir).select(
         F.to_date("ts").alias("logical_date"), F.expr(state).alias("state")
     )
 
@@ -87,7 +109,7 @@ def run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 def task_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A task log with one task per event type and the event's value as seconds."""
     state = "CASE event_type WHEN 'error' THEN 'failed' ELSE 'success' END"
-    return spark.read.parquet(f"{sf_dir}/events.parquet").select(
+    return _table(spark, sf_dir).select(
         F.col("event_type").alias("task_id"),
         F.col("value").alias("duration_s"),
         F.expr(state).alias("state"),
