@@ -1,0 +1,49 @@
+"""Every registered query against DuckDB on the same tables."""
+
+from __future__ import annotations
+
+import os
+from pathlib import Path
+
+import pytest
+
+import __spark_entry__ as entry_module
+from tests.compare import differences, open_tables
+
+SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
+
+pytestmark = pytest.mark.skipif(not Path(SF_DIR).exists(), reason="test tables not at hand")
+
+# Facts about the derived records at scale factor 0.001.
+SUMMARY = {
+    "bronze_rows": 1025,
+    "valid_rows": 965,
+    "quarantine_rows": 60,
+    "dedup_removed": 24,
+    "silver_rows": 941,
+    "suspicious_rows": 14,
+}
+
+
+@pytest.fixture(scope="module")
+def connection():
+    return open_tables(SF_DIR)
+
+
+@pytest.mark.parametrize("name", list(entry_module.queries()))
+def test_query(spark, connection, name):
+    df = entry_module.queries()[name](spark, SF_DIR)
+    assert differences(df, connection, entry_module.oracle_sql()[name]) == []
+
+
+def test_every_query_has_an_oracle():
+    assert set(entry_module.queries()) == set(entry_module.oracle_sql())
+
+
+def test_known_summary(spark):
+    row = entry_module.queries()["q_run_summary"](spark, SF_DIR).first()
+    assert row.asDict() == SUMMARY
+
+
+def test_entry(spark):
+    assert entry_module.entry(spark).count() == 9

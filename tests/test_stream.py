@@ -1,0 +1,123 @@
+from __future__ import annotations
+
+from datetime import date, datetime, timezone
+from pathlib import Path
+
+import pytest
+from pyspark.sql import functions as F
+
+from ledgermill.operators import silver, validation
+from ledgermill.sources import raw
+from ledgermill.sources.bronze import read_bronze
+from ledgermill.streaming.ingest import ingest_stream
+from tests.records import bronze, record
+
+MESSAGES = "key string, value string, timestamp timestamp"
+
+
+@pytest.fixture
+def feed(spark, tmp_path):
+    """Message folder that can be added to, and a function that lands what is new."""
+    source, target = str(tmp_path / "messages"), str(tmp_path / "bronze")
+
+    def deliver(*records, at="2026-01-01 00:00:01"):
+        messages = raw.to_messages(bronze(spark, *records).drop("kafka_timestamp"))
+        messages.withColumn("timestamp", F.lit(at).cast("timestamp")).coalesce(1).write.mode(
+            "append"
+        ).parquet(source)
+
+    def deliver_text(value, at="2026-01-01 00:00:01"):
+        spark.createDataFrame([("k", value)], "key string, value string").withColumn(
+            "timestamp", F.lit(at).cast("timestamp")
+        ).write.mode("append").parquet(source)
+
+    def land(**options):
+        stream = spark.readStream.schema(MESSAGES).parquet(source)
+        query = ingest_stream(
+            stream, target, str(tmp_path / "checkpoint"), available_now=True, **options
+        )
+        query.awaitTermination()
+        return read_bronze(spark, target)
+
+    return deliver, deliver_text, land, Path(target)
+
+
+def test_restart_lands_only_new_messages(feed):
+    deliver, _, land, _ = feed
+    deliver(record(), record(nameOrig="C2"))
+    assert land().count() == 2
+    assert land().count() == 2
+    deliver(record(nameOrig="C3"), at="2026-01-02 23:59:59.999")
+    landed = land()
+    assert {(r.nameOrig, r.date) for r in landed.collect()} == {
+        ("C1", date(2026, 1, 1)),
+        ("C2", date(2026, 1, 1)),
+        ("C3", date(2026, 1, 2)),
+    }
+
+
+def test_record_time_becomes_milliseconds(feed):
+    deliver, _, land, _ = feed
+    deliver(record(), at="2026-01-02 23:59:59.999")
+    (row,) = land().collect()
+    moment = datetime(2026, 1, 2, 23, 59, 59, 999000, tzinfo=timezone.utc)
+    assert row.kafka_timestamp == round(moment.timestamp() * 1000)
+
+
+def test_redelivery_changes_no_silver_row(feed):
+    deliver, _, land, _ = feed
+    deliver(record(), record(nameOrig="C2", isFraud="1"))
+    before = silver.dedup(silver.to_silver(validation.label(land()))).collect()
+    deliver(record(), record(nameOrig="C2", isFraud="1"), at="2026-01-03 00:00:00")
+    landed = land()
+    assert landed.count() == 4
+    assert set(silver.dedup(silver.to_silver(validation.label(landed))).collect()) == set(before)
+
+
+def test_unreadable_message_is_kept(feed):
+    deliver, deliver_text, land, _ = feed
+    deliver(record())
+    deliver_text('{"step": "1", oops')
+    labelled = validation.label(land())
+    (row,) = validation.to_quarantine(labelled).collect()
+    assert (row.value, row.reject_reason) == ('{"step": "1", oops', "parse_error")
+    assert row.ingest_date == date(2026, 1, 1)
+
+
+def test_files_are_rolled(feed):
+    deliver, _, land, target = feed
+    deliver(*[record(nameOrig=f"C{n}") for n in range(2500)])
+    land()
+    sizes = [len(p.read_text().splitlines()) for p in target.glob("date=*/*.json")]
+    assert sorted(sizes) == [500, 1000, 1000]
+
+
+def test_numbers_in_a_message_stay_text(feed):
+    _, deliver_text, land, _ = feed
+    deliver_text('{"step": 7, "amount": 5.25}')
+    (row,) = land().collect()
+    assert (row.step, row.amount) == ("7", "5.25")
+
+
+def test_parsing_happens_once_per_message(spark):
+    from ledgermill.streaming.ingest import to_bronze
+
+    messages = spark.createDataFrame([], MESSAGES)
+    plan = to_bronze(messages)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json") <= 1
+
+
+def test_raw_folder_streams_as_messages(spark, tmp_path):
+    source = tmp_path / "raw"
+    bronze(spark, record(), record(nameOrig="C2")).drop("kafka_timestamp").write.option(
+        "header", True
+    ).csv(str(source))
+    messages = raw.to_messages(raw.stream_raw_csv(spark, str(source)))
+    query = (
+        messages.writeStream.format("memory")
+        .queryName("raw_messages")
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+    assert {row.key for row in spark.table("raw_messages").collect()} == {"C1", "C2"}
