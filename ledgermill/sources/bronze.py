@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgermill.functions import ingest_date
-from ledgermill.schema import BRONZE_SCHEMA, CORRUPT_FIELD, RAW_VALUE_FIELD
+from ledgermill.schema import BRONZE_SCHEMA, CORRUPT_FIELD, RAW_VALUE_FIELD, as_day
 
 READ_SCHEMA = T.StructType(
     BRONZE_SCHEMA.fields
@@ -31,7 +31,9 @@ def read_bronze(
 
     A line that is no JSON comes back with all fields NULL and its text in ``_corrupt_record``.
     ``ingest_from`` / ``ingest_to`` (inclusive) prune whole ``date`` folders before any line is
-    parsed, the only cheap cut that this layout offers.
+    parsed, the only cheap cut that this layout offers. Records without a record time have no
+    ingest day and are always read. A load of some event days may only be given such a window if it
+    covers every ingest day on which their records, late ones included, came in.
     """
     bronze = (
         spark.read.schema(READ_SCHEMA)
@@ -39,10 +41,11 @@ def read_bronze(
         .option("columnNameOfCorruptRecord", CORRUPT_FIELD)
         .json(path)
     )
+    undated = F.col("date").isNull()
     if ingest_from is not None:
-        bronze = bronze.filter(F.col("date") >= F.lit(str(ingest_from)).cast("date"))
+        bronze = bronze.filter(undated | (F.col("date") >= F.lit(as_day(ingest_from))))
     if ingest_to is not None:
-        bronze = bronze.filter(F.col("date") <= F.lit(str(ingest_to)).cast("date"))
+        bronze = bronze.filter(undated | (F.col("date") <= F.lit(as_day(ingest_to))))
     return bronze
 
 
@@ -50,7 +53,8 @@ def write_bronze(bronze: DataFrame, path: str, mode: str = "append") -> None:
     """Land a batch of records by ingest day, as the ingest stream does for messages.
 
     The rebalance keeps the number of files near size / advisory partition size, and splits a day
-    that holds most of the rows over several tasks.
+    that holds most of the rows over several tasks. A folder has one kind of writer: readers of a
+    folder that the ingest stream fills follow the stream's own log and see no other files.
     """
     (
         bronze.withColumn("date", ingest_date("kafka_timestamp"))

@@ -61,10 +61,13 @@ def test_round_trip_by_ingest_day(spark, tmp_path):
 def test_ingest_window_prunes_folders(spark, tmp_path):
     path = str(tmp_path / "bronze")
     day = 86400000
-    write_bronze(bronze(spark, *[record(kafka_timestamp=n * day) for n in range(4)]), path)
+    rows = [record(kafka_timestamp=n * day) for n in range(4)] + [record(kafka_timestamp=None)]
+    write_bronze(bronze(spark, *rows), path)
     some = read_bronze(spark, path, "1970-01-02", date(1970, 1, 3))
-    assert some.count() == 2
-    assert "PartitionFilters: [isnotnull(date" in some._jdf.queryExecution().toString()
+    assert {row.date for row in some.collect()} == {date(1970, 1, 2), date(1970, 1, 3), None}
+    scan = some._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [(isnull(date" in scan
+    assert "Filter" not in scan.split("FileScan")[0]
 
 
 def test_odd_json_lines(spark, tmp_path):
