@@ -2,6 +2,7 @@ from ledgermill.functions.casts import int_prefix, to_flag, to_money, to_number
 from ledgermill.functions.records import (
     day_to_millis,
     event_date,
+    event_hour,
     event_timestamp,
     ingest_date,
     is_suspicious,
@@ -16,6 +17,7 @@ from ledgermill.functions.rules import reject_reason
 __all__ = [
     "day_to_millis",
     "event_date",
+    "event_hour",
     "event_timestamp",
     "ingest_date",
     "int_prefix",

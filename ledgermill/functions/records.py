@@ -1,7 +1,7 @@
 """Columns derived from one payment record.
 
-Dates are computed from epoch seconds and not by ``to_date``, so they are UTC days whatever the
-session's time zone is.
+Days and hours are computed from epoch seconds and not by ``to_date`` or ``date_trunc``, so they are
+those of UTC whatever the session's time zone is.
 """
 
 from __future__ import annotations
@@ -40,6 +40,12 @@ def event_date(step: Column, step_epoch: str = STEP_EPOCH) -> Column:
     return F.date_from_unix_date(days.try_cast("int"))
 
 
+def event_hour(moment: Column | str) -> Column:
+    """Instant at which a timestamp's UTC hour begins, also in zones off by half an hour."""
+    hours = F.floor(F.unix_seconds(moment) / SECONDS_PER_HOUR)
+    return F.timestamp_seconds(hours * SECONDS_PER_HOUR)
+
+
 def step_day_index(step: Column | str) -> Column:
     """Number of whole days between the first step and a text step."""
     return F.floor((int_prefix(step) - 1) / 24)

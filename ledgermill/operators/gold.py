@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgermill.functions import event_hour
 from ledgermill.schema import SILVER_SCHEMA
 
 UNDETECTED_COLUMNS = [
@@ -27,7 +28,7 @@ def undetected_fraud(silver: DataFrame) -> DataFrame:
 
 def hourly_summary(silver: DataFrame) -> DataFrame:
     """Activity and fraud by hour and payment type."""
-    return silver.groupBy(F.date_trunc("hour", "tx_timestamp").alias("tx_hour"), "type").agg(
+    return silver.groupBy(event_hour("tx_timestamp").alias("tx_hour"), "type").agg(
         F.count(F.lit(1)).alias("tx_count"),
         F.sum("amount").alias("total_amount"),
         F.count_if(F.col("isFraud") == 1).alias("fraud_count"),

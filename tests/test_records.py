@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ledgermill.functions import (
     day_to_millis,
     event_date,
+    event_hour,
     event_timestamp,
     ingest_date,
     payload_json,
@@ -40,6 +41,14 @@ def test_event_time_does_not_depend_on_the_session_zone(spark, session_conf, zon
     ]
 
 
+@pytest.mark.parametrize("zone", ZONES)
+def test_event_hour_is_the_utc_hour(spark, session_conf, zone):
+    session_conf("spark.sql.session.timeZone", zone)
+    df = spark.createDataFrame([(3599,), (3600,), (-1,)], "s bigint")
+    hours = df.select(F.unix_seconds(event_hour(F.timestamp_seconds("s")))).collect()
+    assert [row[0] for row in hours] == [0, 3600, -3600]
+
+
 def test_another_epoch(spark):
     steps = spark.createDataFrame([(1,), (2,)], "step int")
     days = steps.select(event_date(F.col("step"), "2020-02-28 23:00:00")).collect()
