@@ -8,7 +8,7 @@ import sys
 from ledgermill.operators import gate
 from ledgermill.plans.run import Lake, build_gold, load_silver, run_days
 from ledgermill.schema import STEP_EPOCH
-from ledgermill.session import build_session
+from ledgermill.session import build_session, path_exists
 from ledgermill.sources import raw, tables
 from ledgermill.sources.bronze import read_bronze
 from ledgermill.streaming.ingest import ROLL_RECORDS, ROLL_SECONDS, ingest_stream
@@ -118,6 +118,9 @@ def _gold(spark, args) -> int:
 
 
 def _ready(spark, args) -> int:
+    if not path_exists(spark, args.bronze_path):
+        print(f"day={args.day} no Bronze yet")
+        return 1
     bronze = read_bronze(spark, args.bronze_path)
     state = gate.day_ready(bronze, args.day, _feed_done(spark, args), args.step_epoch).first()
     print(f"day={args.day} rows={state.day_rows} later={state.later_rows} ready={state.ready}")

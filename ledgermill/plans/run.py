@@ -7,7 +7,7 @@ from contextlib import contextmanager
 from dataclasses import dataclass, field
 from datetime import date, datetime, timedelta
 
-from pyspark.sql import DataFrame, Observation, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
 from ledgermill.functions import event_date, int_prefix
@@ -101,29 +101,30 @@ def _stage(
             "arrival_date": gate.arrival_day(step_epoch),
         }
     )
+    wanted = F.expr(validation.IS_REJECTED) | _within(days, F.col("tx_date"))
     counts = Observation()
     observed = labelled.observe(
-        counts, *validation.split_counts(), F.max("arrival_date").alias("last_arrival")
-    )
-    wanted = F.expr(validation.IS_REJECTED) | F.col("tx_date").between(
-        F.lit(days[0]), F.lit(days[-1])
+        counts,
+        *validation.split_counts(),
+        F.count_if(wanted).alias("staged_rows"),
+        F.max("arrival_date").alias("last_arrival"),
     )
     path = f"{folder}/labelled"
     observed.filter(wanted).write.parquet(path)
     return spark.read.schema(labelled.schema).parquet(path), counts.get
 
 
-def _day_counts(staged: DataFrame, days: list[date]) -> dict[date, Row]:
-    """Arrived and valid records of the asked days, at most one row each."""
-    per_day = (
-        staged.select(
-            F.coalesce("arrival_date", "tx_date").alias("day"),
-            F.col("arrival_date").isNotNull().alias("arrived"),
-            F.expr(validation.IS_VALID).alias("valid"),
-        )
-        .filter(F.col("day").between(F.lit(days[0]), F.lit(days[-1])))
-        .groupBy("day")
-        .agg(F.count_if("arrived").alias("arrived"), F.count_if("valid").alias("valid"))
+def _within(days: list[date], day: Column) -> Column:
+    return day.between(F.lit(days[0]), F.lit(days[-1]))
+
+
+def _day_counts(staged: DataFrame, days: list[date]) -> dict[date | None, Row]:
+    """Arrived, valid and rejected records of each asked day; all other days share one row."""
+    day = F.coalesce("arrival_date", "tx_date")
+    per_day = staged.groupBy(F.when(_within(days, day), day).alias("day")).agg(
+        F.count("arrival_date").alias("arrived"),
+        F.count_if(F.expr(validation.IS_VALID)).alias("valid"),
+        F.count_if(F.expr(validation.IS_REJECTED)).alias("rejected"),
     )
     return {row.day: row for row in per_day.collect()}
 
@@ -143,21 +144,25 @@ def _choose_days(
             report.without_rows.append(day)
 
 
-def _write_silver(staged: DataFrame, report: RunReport, path: str, step_epoch: str) -> None:
+def _write_layers(
+    staged: DataFrame, report: RunReport, silver_path: str, step_epoch: str
+) -> None:
+    """Write the ready days of Silver and all rejected records, counting in the writing stages."""
+    row_count = F.count(F.lit(1)).alias("rows")
+    suspicious = F.count_if("is_suspicious").alias("suspicious")
+    kept, rejected = Observation(), Observation()
     rows = silver.to_silver(staged.filter(F.col("tx_date").isin(report.ready)), step_epoch)
-    written = Observation()
     tables.write_silver(
         silver.dedup(rows),
-        path,
+        silver_path,
         many_days=len(report.ready) > 1,
-        observe=(
-            written,
-            F.count(F.lit(1)).alias("rows"),
-            F.count_if("is_suspicious").alias("suspicious"),
-        ),
+        observe=(kept, row_count, suspicious),
+    )
+    report.silver_rows, report.suspicious_rows = kept.get["rows"], kept.get["suspicious"]
+    tables.write_quarantine(
+        validation.to_quarantine(staged), silver_path, observe=(rejected, row_count)
     )
-    report.silver_rows = written.get["rows"]
-    report.suspicious_rows = written.get["suspicious"]
+    validation.check_conservation(report.quarantine_rows, 0, rejected.get["rows"])
 
 
 def all_days(step_epoch: str = STEP_EPOCH) -> tuple[date, date]:
@@ -194,10 +199,14 @@ def load_silver(
             report.bronze_rows, report.valid_rows, report.quarantine_rows
         )
         seen = _day_counts(staged, days)
+        validation.check_conservation(
+            counts["staged_rows"],
+            sum(row.valid for row in seen.values()),
+            sum(row.rejected for row in seen.values()),
+        )
         _choose_days(report, days, seen, counts["last_arrival"], feed_done)
         if report.ready:
-            _write_silver(staged, report, silver_path, step_epoch)
-            tables.write_quarantine(validation.to_quarantine(staged), silver_path)
+            _write_layers(staged, report, silver_path, step_epoch)
     finally:
         drop_folder(spark, scratch)
     return report

@@ -50,9 +50,12 @@ def quarantine_path(silver_path: str) -> str:
     return f"{silver_path.rstrip('/')}/quarantine"
 
 
-def write_quarantine(quarantine: DataFrame, silver_path: str) -> None:
+def write_quarantine(
+    quarantine: DataFrame, silver_path: str, observe: tuple | None = None
+) -> None:
     """Replace the ingest days that have rejects. Only rejected rows are shuffled."""
     rows = quarantine.hint("rebalance", "ingest_date")
+    rows = rows.observe(*observe) if observe else rows
     _replace_partitions(rows, quarantine_path(silver_path), "ingest_date")
 
 

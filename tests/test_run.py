@@ -187,6 +187,19 @@ def test_lost_rows_stop_the_run_before_anything_is_written(spark, lake, monkeypa
     assert not Path(lake.silver).exists()
 
 
+def test_rows_lost_in_the_stage_stop_the_run(spark, lake, monkeypatch):
+    stage = run_plan._stage
+
+    def lossy(*args):
+        staged, counts = stage(*args)
+        return staged.filter("nameOrig <> 'C7'"), counts
+
+    monkeypatch.setattr(run_plan, "_stage", lossy)
+    with pytest.raises(CountMismatch):
+        run_day(spark, lake, "2016-01-01")
+    assert not Path(lake.silver).exists()
+
+
 def test_scratch_folder_is_removed(spark, lake, monkeypatch, tmp_path):
     scratch = str(tmp_path / "scratch")
     monkeypatch.setattr(run_plan, "shared_folder", lambda spark: scratch)
@@ -240,6 +253,7 @@ def test_command_line(spark, lake, tmp_path, capsys):
     ready = ["ready", "--bronze-path", lake.bronze, "--day"]
     assert main([*ready, "2016-01-02"]) == 0
     assert main([*ready, "2016-01-03"]) == 1
+    assert main(["ready", "--bronze-path", str(tmp_path / "none"), "--day", "2016-01-01"]) == 1
     marker = str(tmp_path / "marker")
     tables.write_feed_marker(spark, marker)
     assert main([*ready, "2016-01-03", "--done-marker", marker]) == 0
