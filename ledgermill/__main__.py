@@ -32,6 +32,8 @@ def _parser() -> argparse.ArgumentParser:
     ingest.add_argument("--topic", required=True)
     ingest.add_argument("--bronze-path", required=True)
     ingest.add_argument("--checkpoint", required=True)
+    ingest.add_argument("--min-partitions", type=int, help="tasks to split hot topic partitions into")
+    ingest.add_argument("--max-offsets", type=int, help="messages to take in per batch")
     ingest.add_argument("--roll-records", type=int, default=ROLL_RECORDS)
     ingest.add_argument("--roll-seconds", type=int, default=ROLL_SECONDS)
     ingest.add_argument("--available-now", action="store_true")
@@ -80,14 +82,20 @@ def _publish(spark, args) -> int:
     return 0
 
 
+def _message_options(args) -> dict[str, str]:
+    """Options of the message source; those left out keep Spark's defaults."""
+    options = {
+        "kafka.bootstrap.servers": args.servers,
+        "subscribe": args.topic,
+        "startingOffsets": "earliest",
+        "minPartitions": args.min_partitions,
+        "maxOffsetsPerTrigger": args.max_offsets,
+    }
+    return {name: str(value) for name, value in options.items() if value is not None}
+
+
 def _ingest(spark, args) -> int:
-    messages = (
-        spark.readStream.format("kafka")
-        .option("kafka.bootstrap.servers", args.servers)
-        .option("subscribe", args.topic)
-        .option("startingOffsets", "earliest")
-        .load()
-    )
+    messages = spark.readStream.format("kafka").options(**_message_options(args)).load()
     ingest_stream(
         messages,
         args.bronze_path,

@@ -1,12 +1,13 @@
 from __future__ import annotations
 
 import random
+from dataclasses import replace
 from datetime import date
 from pathlib import Path
 
 import pytest
 
-from ledgermill.__main__ import main
+from ledgermill.__main__ import _message_options, _parser, main
 from ledgermill.operators import quality, runlog, silver, validation
 from ledgermill.operators.validation import CountMismatch
 from ledgermill.plans import metrics as metrics_plan
@@ -77,6 +78,10 @@ def stored(spark, lake) -> set:
     return set(tables.read_silver(spark, lake.silver).collect())
 
 
+def load(spark, lake, start, end=None, feed_done=True):
+    return load_silver(spark, read_bronze(spark, lake.bronze), lake.silver, start, end, feed_done)
+
+
 def test_range_run(spark, lake):
     report = run_days(spark, lake, "2016-01-01", "2016-01-03", feed_done=True)
     labelled = validation.label(read_bronze(spark, lake.bronze))
@@ -110,41 +115,41 @@ def test_all_gauges_are_published(spark, lake):
 
 
 def test_repeating_a_day_changes_nothing(spark, lake):
-    run_day(spark, lake, "2016-01-02")
+    load(spark, lake, "2016-01-02")
     before = stored(spark, lake)
-    report = run_day(spark, lake, "2016-01-02")
+    report = load(spark, lake, "2016-01-02")
     assert stored(spark, lake) == before
     assert report.silver_rows == len(before)
 
 
 def test_day_by_day_equals_one_range(spark, lake, tmp_path):
-    run_days(spark, lake, "2016-01-01", "2016-01-03", feed_done=True)
-    single = Lake.below(str(tmp_path / "single"))
-    write_bronze(read_bronze(spark, lake.bronze).drop("date", "_corrupt_record"), single.bronze)
+    load(spark, lake, "2016-01-01", "2016-01-03")
+    in_one_go = stored(spark, lake)
+    single = replace(lake, silver=str(tmp_path / "single"))
     for day in ("2016-01-02", "2016-01-01", "2016-01-03"):
-        run_day(spark, single, day, feed_done=True)
-    assert stored(spark, single) == stored(spark, lake)
+        load(spark, single, day)
+    assert stored(spark, single) == in_one_go
 
 
 def test_redelivery_of_everything_changes_nothing(spark, lake):
-    run_days(spark, lake, "2016-01-01", "2016-01-03", feed_done=True)
+    load(spark, lake, "2016-01-01", "2016-01-03")
     before = stored(spark, lake)
     again = [r | {"kafka_timestamp": r["kafka_timestamp"] + 10**8} for r in payments(1)]
     write_bronze(bronze(spark, *again), lake.bronze)
-    run_days(spark, lake, "2016-01-01", "2016-01-03", feed_done=True)
+    load(spark, lake, "2016-01-01", "2016-01-03")
     assert stored(spark, lake) == before
 
 
 def test_late_payment_is_picked_up_by_a_rerun(spark, lake):
-    run_day(spark, lake, "2016-01-01")
+    load(spark, lake, "2016-01-01")
     count = len(stored(spark, lake))
     write_bronze(bronze(spark, record(nameOrig="LATE")), lake.bronze)
-    run_day(spark, lake, "2016-01-01")
+    load(spark, lake, "2016-01-01")
     assert len(stored(spark, lake)) == count + 1
 
 
 def test_incomplete_day_waits(spark, lake):
-    report = run_days(spark, lake, "2016-01-02", "2016-01-05")
+    report = load(spark, lake, "2016-01-02", "2016-01-05", feed_done=False)
     assert report.ready == [date(2016, 1, 2)]
     assert report.not_ready == [date(2016, 1, day) for day in (3, 4, 5)]
     assert {row.tx_date for row in stored(spark, lake)} == {date(2016, 1, 2)}
@@ -155,7 +160,7 @@ def test_incomplete_day_waits(spark, lake):
 def test_day_of_rejects_only_is_reported(spark, tmp_path):
     lake = Lake.below(str(tmp_path))
     write_bronze(bronze(spark, record(amount="abc"), record(step="25", isFraud="0")), lake.bronze)
-    report = run_days(spark, lake, "2016-01-01", "2016-01-02", feed_done=True)
+    report = load(spark, lake, "2016-01-01", "2016-01-02")
     assert report.without_rows == [date(2016, 1, 1)]
     assert report.silver_rows == 1
 
@@ -183,7 +188,7 @@ def test_lost_rows_stop_the_run_before_anything_is_written(spark, lake, monkeypa
 
     monkeypatch.setattr(run_plan, "validation", Checked())
     with pytest.raises(CountMismatch):
-        run_day(spark, lake, "2016-01-01")
+        load(spark, lake, "2016-01-01")
     assert not Path(lake.silver).exists()
 
 
@@ -196,14 +201,14 @@ def test_rows_lost_in_the_stage_stop_the_run(spark, lake, monkeypatch):
 
     monkeypatch.setattr(run_plan, "_stage", lossy)
     with pytest.raises(CountMismatch):
-        run_day(spark, lake, "2016-01-01")
+        load(spark, lake, "2016-01-01")
     assert not Path(lake.silver).exists()
 
 
 def test_scratch_folder_is_removed(spark, lake, monkeypatch, tmp_path):
     scratch = str(tmp_path / "scratch")
     monkeypatch.setattr(run_plan, "shared_folder", lambda spark: scratch)
-    run_day(spark, lake, "2016-01-01")
+    load(spark, lake, "2016-01-01")
     assert not Path(scratch).exists()
 
 
@@ -240,6 +245,19 @@ def test_totals_of_empty_tables_are_zero(spark):
     assert len(got) == 9
 
 
+def test_message_source_options():
+    required = ["--servers", "b:1", "--topic", "t", "--bronze-path", "p", "--checkpoint", "c"]
+    plain = _message_options(_parser().parse_args(["ingest", *required]))
+    assert plain == {
+        "kafka.bootstrap.servers": "b:1",
+        "subscribe": "t",
+        "startingOffsets": "earliest",
+    }
+    sized = ["ingest", *required, "--min-partitions", "64", "--max-offsets", "1000"]
+    options = _message_options(_parser().parse_args(sized))
+    assert (options["minPartitions"], options["maxOffsetsPerTrigger"]) == ("64", "1000")
+
+
 def test_command_line(spark, lake, tmp_path, capsys):
     silver_path, gold_path = str(tmp_path / "s"), str(tmp_path / "g")
     one = ["silver", "--bronze-path", lake.bronze, "--silver-path", silver_path]
