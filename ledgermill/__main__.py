@@ -32,7 +32,7 @@ def _parser() -> argparse.ArgumentParser:
     ingest.add_argument("--topic", required=True)
     ingest.add_argument("--bronze-path", required=True)
     ingest.add_argument("--checkpoint", required=True)
-    ingest.add_argument("--min-partitions", type=int, help="tasks to split hot topic partitions into")
+    ingest.add_argument("--min-partitions", type=int, help="tasks that share the topic partitions")
     ingest.add_argument("--max-offsets", type=int, help="messages to take in per batch")
     ingest.add_argument("--roll-records", type=int, default=ROLL_RECORDS)
     ingest.add_argument("--roll-seconds", type=int, default=ROLL_SECONDS)

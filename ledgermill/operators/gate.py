@@ -36,7 +36,7 @@ def day_ready(
     step_epoch: str = STEP_EPOCH,
     validate_step: bool = True,
 ) -> DataFrame:
-    """One row ``day_rows, later_rows, ready`` for a day; a single pass without a shuffle of rows."""
+    """One row ``day_rows, later_rows, ready`` for a day, in a single pass without a shuffle."""
     target = F.lit(as_day(day))
     arrived = arrival_day(step_epoch, validate_step)
     return (

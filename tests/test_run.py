@@ -165,6 +165,17 @@ def test_day_of_rejects_only_is_reported(spark, tmp_path):
     assert report.silver_rows == 1
 
 
+@pytest.mark.parametrize("end", [None, "2016-01-02"])
+@pytest.mark.parametrize(("amount", "written", "rejected"), [("1", 2, 0), ("abc", 0, 2)])
+def test_one_of_the_outputs_is_empty(spark, tmp_path, end, amount, written, rejected):
+    lake = Lake.below(str(tmp_path))
+    rows = [record(amount=amount, nameOrig=name) for name in ("C1", "C2")]
+    write_bronze(bronze(spark, *rows), lake.bronze)
+    report = load(spark, lake, "2016-01-01", end)
+    assert (report.silver_rows, report.quarantine_rows) == (written, rejected)
+    assert (report.suspicious_rows, report.dedup_removed) == (0, 0)
+
+
 def test_failed_expectation_stops_the_run(spark, lake):
     write_bronze(bronze(spark, record(nameOrig="C99", isFraud=None)), lake.bronze)
     with pytest.raises(quality.ExpectationFailed, match="is_suspicious"):
