@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,6 +31,23 @@ def staged(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(folder)
 
 
+_shipped: set[str] = set()
+
+
+def map_arrow(df: DataFrame, task, schema: str) -> DataFrame:
+    """``df.mapInArrow`` with this package sent to the executors once per application."""
+    context = df.sparkSession.sparkContext
+    if context.applicationId not in _shipped:
+        package = Path(__file__).resolve().parents[1]
+        archive = Path(tempfile.mkdtemp()) / f"{package.name}.zip"
+        with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as out:
+            for source in sorted(package.rglob("*.py")):
+                out.write(source, source.relative_to(package.parent))
+        context.addPyFile(str(archive))
+        _shipped.add(context.applicationId)
+    return df.mapInArrow(task, schema)
+
+
 def let(value: Column, body) -> Column:
     """``body(value)`` with ``value`` computed once, however often the body uses it.
 

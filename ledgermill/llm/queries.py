@@ -7,10 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgermill.llm import rules
+from ledgermill.llm import packing, rules
 from ledgermill.llm.common import SPACE, table
 
 
+def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document as pieces of at most 1024 tokens, packed into sequences."""
+    return packing.pack_documents(table(spark, sf_dir, "documents"))
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rule ledger of every document, its base measurements and the verdict of policy v1."""
     ledger = rules.rule_ledger(table(spark, sf_dir, "documents"))
@@ -69,6 +74,7 @@ FROM judged
 
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_best_fit_packing": op2_best_fit_packing,
     "op10_quality_rules": op10_quality_rules,
 }
 
