@@ -7,10 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgermill.llm import packing, rules
+from ledgermill.llm import packing, pii, rules
 from ledgermill.llm.common import SPACE, table
 
 
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document: base spans and those that the labelers add."""
+    found, _ = pii.find_personal_data(table(spark, sf_dir, "documents"))
+    return pii.span_digest(found)
+
+
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document as pieces of at most 1024 tokens, packed into sequences."""
     return packing.pack_documents(table(spark, sf_dir, "documents"))
@@ -74,6 +80,7 @@ FROM judged
 
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_pii": op1_pii,
     "op2_best_fit_packing": op2_best_fit_packing,
     "op10_quality_rules": op10_quality_rules,
 }
