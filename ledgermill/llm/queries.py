@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgermill.llm import packing, pii, rules
+from ledgermill.llm import mixing, packing, pii, quality, rules
 from ledgermill.llm.common import SPACE, table
 
 
@@ -22,6 +22,22 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sources mixed as evenly as no source is read more than four times, every document read."""
+    mixture, _ = mixing.mix(table(spark, sf_dir, "documents"), repetition=4.0)
+    return mixture.select(
+        F.col("row").alias("doc_id"), "source", "tokens", "pass", "block", "position"
+    )
+
+
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairwise-ranked quality of every document."""
+    scored, _ = quality.score_documents(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    )
+    return scored
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rule ledger of every document, its base measurements and the verdict of policy v1."""
     ledger = rules.rule_ledger(table(spark, sf_dir, "documents"))
@@ -82,6 +98,8 @@ FROM judged
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
     "op2_best_fit_packing": op2_best_fit_packing,
+    "op5_mixing": op5_mixing,
+    "op9_quality_classifier": op9_quality_classifier,
     "op10_quality_rules": op10_quality_rules,
 }
 
