@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgermill.llm import mixing, packing, pii, quality, rules
+from ledgermill.llm import licenses, mixing, packing, pii, quality, rules, urls
 from ledgermill.llm.common import SPACE, table
 
 
@@ -22,6 +22,12 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
+def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Host, path, rule and verdict of every page's URL."""
+    judged, _ = urls.judge_urls(table(spark, sf_dir, "pages"))
+    return judged.withColumnRenamed("row", "page_id")
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sources mixed as evenly as no source is read more than four times, every document read."""
     mixture, _ = mixing.mix(table(spark, sf_dir, "documents"), repetition=4.0)
@@ -30,6 +36,22 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Confirmed licence families of every document, and its notices of unknown families."""
+    scanned, _ = licenses.scan(table(spark, sf_dir, "documents"))
+    sure = F.filter("notices", lambda n: n["confirmed"])
+    return scanned.select(
+        F.col("row").alias("doc_id"),
+        F.array_join(
+            F.array_sort(F.array_distinct(F.transform(sure, lambda n: n["family"]))), ","
+        ).alias("licenses"),
+        F.array_join(
+            F.transform(sure, lambda n: F.concat_ws(":", n["line"], n["family"])), ","
+        ).alias("notices"),
+        F.size(F.filter("notices", lambda n: ~n["confirmed"])).cast("long").alias("n_unknown"),
+    )
+
+
 def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pairwise-ranked quality of every document."""
     scored, _ = quality.score_documents(
@@ -98,7 +120,9 @@ FROM judged
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
     "op2_best_fit_packing": op2_best_fit_packing,
+    "op4_url_filter": op4_url_filter,
     "op5_mixing": op5_mixing,
+    "op6_license_scan": op6_license_scan,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_quality_rules": op10_quality_rules,
 }
