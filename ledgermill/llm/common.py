@@ -6,7 +6,7 @@ import tempfile
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, GroupedData, SparkSession
 from pyspark.sql import functions as F
 
 from ledgermill.session import shared_folder
@@ -34,9 +34,9 @@ def staged(df: DataFrame) -> DataFrame:
 _shipped: set[str] = set()
 
 
-def map_arrow(df: DataFrame, task, schema: str) -> DataFrame:
-    """``df.mapInArrow`` with this package sent to the executors once per application."""
-    context = df.sparkSession.sparkContext
+def _ship() -> None:
+    """Send this package to the executors, once per application."""
+    context = SparkSession.getActiveSession().sparkContext
     if context.applicationId not in _shipped:
         package = Path(__file__).resolve().parents[1]
         archive = Path(tempfile.mkdtemp()) / f"{package.name}.zip"
@@ -45,9 +45,20 @@ def map_arrow(df: DataFrame, task, schema: str) -> DataFrame:
                 out.write(source, source.relative_to(package.parent))
         context.addPyFile(str(archive))
         _shipped.add(context.applicationId)
+
+
+def map_arrow(df: DataFrame, task, schema: str) -> DataFrame:
+    """``df.mapInArrow`` for a task that imports this package."""
+    _ship()
     return df.mapInArrow(task, schema)
 
 
+def apply_arrow(groups: GroupedData, task, schema: str) -> DataFrame:
+    """``applyInArrow`` for a task that imports this package."""
+    _ship()
+    return groups.applyInArrow(task, schema)
+
+
 def let(value: Column, body) -> Column:
     """``body(value)`` with ``value`` computed once, however often the body uses it.
 

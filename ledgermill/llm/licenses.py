@@ -86,7 +86,7 @@ STOP = frozenset("a all an and any are as at be by can for from in is it may not
 CONFIRM = 0.6  # share of a template's bigrams that must occur
 MAX_CORPUS_LINES = 2000  # bound of the corpus sample that is learnt as unknown
 VARIATIONS = 24  # of each template; a quarter of them calibrates
-EPOCHS = 300
+EPOCHS = 200
 L1, STEP = 2e-4, 1.0
 
 
@@ -184,9 +184,9 @@ def _pairs(ws: Column) -> Column:
 
 
 def licenses_of(text: Column, model: LicenseModel) -> Column:
-    """Array of (line, family, probability, confirmed) for the lines of a text that may be notices.
+    """Array of (line, family, probability, confirmed, notice) for lines with any telling word.
 
-    ``family`` is what the classifier says and may be ``unknown``.
+    ``family`` is ``unknown`` below the cut; ``notice`` says that some family is likelier than none.
     """
     lines = F.split(F.coalesce(text, F.lit("")), "\n", -1)
     placed = F.transform(lines, lambda x, i: F.struct(i.alias("line"), _line_words(x).alias("ws")))
@@ -211,6 +211,7 @@ def licenses_of(text: Column, model: LicenseModel) -> Column:
             chance = F.lit(1.0) / total
             family = F.get(names, (F.array_position(z, best) - 1).cast("int"))
             sure = F.when(chance >= model.cut, family).otherwise(UNKNOWN)
+            notice = family != UNKNOWN
             near = F.coalesce(
                 F.exists(
                     F.try_element_at(templates, sure),
@@ -218,7 +219,7 @@ def licenses_of(text: Column, model: LicenseModel) -> Column:
                 ),
                 F.lit(False),
             )
-            return F.struct(p["line"].alias("line"), sure.alias("family"), chance.alias("probability"), near.alias("confirmed"))
+            return F.struct(p["line"].alias("line"), sure.alias("family"), chance.alias("probability"), near.alias("confirmed"), notice.alias("notice"))
 
         return let(scores, decide)
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgermill.llm import licenses, mixing, packing, pii, quality, rules, urls
+from ledgermill.llm import jaccard, licenses, mixing, packing, pii, quality, rules, urls
 from ledgermill.llm.common import SPACE, table
 
 
@@ -48,10 +48,16 @@ def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array_join(
             F.transform(sure, lambda n: F.concat_ws(":", n["line"], n["family"])), ","
         ).alias("notices"),
-        F.size(F.filter("notices", lambda n: ~n["confirmed"])).cast("long").alias("n_unknown"),
+        F.size(F.filter("notices", lambda n: n["notice"] & ~n["confirmed"])).cast("long").alias("n_unknown"),
     )
 
 
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Size of every document's shingle set, and its component of links."""
+    found = jaccard.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_shingles", F.col("first.doc_id").alias("component_id"))
+
+
 def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pairwise-ranked quality of every document."""
     scored, _ = quality.score_documents(
@@ -123,6 +129,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_url_filter": op4_url_filter,
     "op5_mixing": op5_mixing,
     "op6_license_scan": op6_license_scan,
+    "op7_jaccard_join": op7_jaccard_join,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_quality_rules": op10_quality_rules,
 }
