@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgermill.llm import jaccard, licenses, mixing, packing, pii, quality, rules, urls
+from ledgermill.llm import ann, jaccard, licenses, mixing, packing, pii, quality, rules, urls
 from ledgermill.llm.common import SPACE, table
 
 
@@ -58,6 +58,11 @@ def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", F.col("first.doc_id").alias("component_id"))
 
 
+def op8_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ten nearest found for every vector whose id is divisible by 100."""
+    return ann.search(table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0, k=10)
+
+
 def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pairwise-ranked quality of every document."""
     scored, _ = quality.score_documents(
@@ -130,6 +135,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_mixing": op5_mixing,
     "op6_license_scan": op6_license_scan,
     "op7_jaccard_join": op7_jaccard_join,
+    "op8_nearest_neighbours": op8_nearest_neighbours,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_quality_rules": op10_quality_rules,
 }
