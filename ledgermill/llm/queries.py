@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgermill.llm import ann, jaccard, licenses, mixing, packing, pii, quality, rules, urls
+from ledgermill.llm import ann, jaccard, licenses, mixing, packing, pii, quality, rules, substrings, urls
 from ledgermill.llm.common import SPACE, table
 
 
@@ -22,6 +22,12 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans of every document that occur earlier, and the document that keeps each."""
+    found = substrings.removed_spans(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "start", "end", "kept_doc_id")
+
+
 def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Host, path, rule and verdict of every page's URL."""
     judged, _ = urls.judge_urls(table(spark, sf_dir, "pages"))
@@ -131,6 +137,7 @@ FROM judged
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
     "op2_best_fit_packing": op2_best_fit_packing,
+    "op3_substring_dedup": op3_substring_dedup,
     "op4_url_filter": op4_url_filter,
     "op5_mixing": op5_mixing,
     "op6_license_scan": op6_license_scan,

@@ -70,8 +70,6 @@ def _tokenise(at: int, raw: np.ndarray, bounds: np.ndarray, lower: bool) -> Slic
     """``bounds``: byte offsets of the texts in ``raw``, with the end."""
     n = len(raw)
     space = _SPACE[raw]
-    edge = np.ones(n + 1, dtype=bool)  # what comes before byte i parts words
-    edge[1:] = np.append(space[1:], True) if n else True
     begins = ~space
     previous = np.ones(n, dtype=bool)
     if n:
@@ -123,6 +121,14 @@ def shingles(word: np.ndarray, k: int) -> np.ndarray:
     return h
 
 
+def span_hash(word: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hashes of the word runs ``begin:end``, whatever their lengths."""
+    power, back = _power(len(word))
+    sums = np.zeros(len(word) + 1, np.uint64)
+    np.cumsum(word * power[: len(word)], out=sums[1:])
+    return mix((sums[end] - sums[begin]) * back[begin] + (end - begin).astype(np.uint64) * _STEP)
+
+
 def shingle_sets(part: Slice, k: int) -> list[np.ndarray]:
     """For each text of the slice its distinct shingle hashes, ascending."""
     long = np.diff(part.first) >= k
