@@ -8,6 +8,7 @@ from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, GroupedData, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from ledgermill.session import shared_folder
 
@@ -47,18 +48,23 @@ def _ship() -> None:
         _shipped.add(context.applicationId)
 
 
-def map_arrow(df: DataFrame, task, schema: str) -> DataFrame:
+def map_arrow(df: DataFrame, task, schema: str | StructType) -> DataFrame:
     """``df.mapInArrow`` for a task that imports this package."""
     _ship()
     return df.mapInArrow(task, schema)
 
 
-def apply_arrow(groups: GroupedData, task, schema: str) -> DataFrame:
+def apply_arrow(groups: GroupedData, task, schema: str | StructType) -> DataFrame:
     """``applyInArrow`` for a task that imports this package."""
     _ship()
     return groups.applyInArrow(task, schema)
 
 
+def row_schema(row: StructField, rest: str) -> StructType:
+    """A field, as it is, and more fields in DDL; safe for structs with any column names."""
+    return StructType([row, *StructType.fromDDL(rest).fields])
+
+
 def let(value: Column, body) -> Column:
     """``body(value)`` with ``value`` computed once, however often the body uses it.
 

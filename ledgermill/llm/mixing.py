@@ -205,7 +205,7 @@ def repeat_documents(docs: DataFrame, source: str = "source", text: str = "text"
     whole = staged(
         docs.select(F.struct("*").alias("row"), F.monotonically_increasing_id().alias("key"))
     )
-    narrow = whole.select("key", F.col(f"row.{source}").alias("source"), F.col(f"row.{text}").alias("text"))
+    narrow = whole.select("key", F.col(f"row.`{source}`").alias("source"), F.col(f"row.`{text}`").alias("text"))
     mixture, _ = mix(narrow, keep="key", **target)
     times = mixture.groupBy(F.col("row").alias("key")).agg(F.count("*").alias("times"))
     return (

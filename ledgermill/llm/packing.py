@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgermill.llm.common import map_arrow, staged
+from ledgermill.llm.common import map_arrow, row_schema, staged
 from ledgermill.llm.tokens import encoder
 
 CAPACITY = 1024
@@ -184,8 +184,9 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, length: str = "length") ->
                 ["row", "sequence_id", "offset"],
             )
 
-    kind = ranked.schema["row"].dataType.simpleString()
-    placed = map_arrow(ranked, place, f"row {kind}, sequence_id long, offset long")
+    placed = map_arrow(
+        ranked, place, row_schema(ranked.schema["row"], "sequence_id long, offset long")
+    )
     return placed.select("row.*", "sequence_id", "offset")
 
 

@@ -24,7 +24,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgermill.llm.common import map_arrow, staged
+from ledgermill.llm.common import map_arrow, row_schema, staged
 
 KINDS = ("email", "ip", "card", "phone", "iban", "ssn", "name")
 BASE_KINDS = KINDS[:4]
@@ -284,8 +284,7 @@ def candidates(docs: DataFrame, text: str = "text", keep: str = "doc_id") -> Dat
                 [batch.column("row"), pa.array(out, pa.list_(_SPAN))], ["row", "spans"]
             )
 
-    kind = narrow.schema["row"].dataType.simpleString()
-    return map_arrow(narrow, scan, f"row {kind}, spans {_SPAN_SQL}")
+    return map_arrow(narrow, scan, row_schema(narrow.schema["row"], f"spans {_SPAN_SQL}"))
 
 
 def train(found: DataFrame) -> SpanModel:
@@ -317,8 +316,7 @@ def find_personal_data(
                 [batch.column("row"), pa.array(out, pa.list_(_SPAN))], ["row", "spans"]
             )
 
-    kind = found.schema["row"].dataType.simpleString()
-    return map_arrow(found, judge, f"row {kind}, spans {_SPAN_SQL}"), model
+    return map_arrow(found, judge, row_schema(found.schema["row"], f"spans {_SPAN_SQL}")), model
 
 
 def span_digest(found: DataFrame) -> DataFrame:
@@ -354,7 +352,7 @@ def redact(docs: DataFrame, text: str = "text", length: str | None = None) -> Da
     Overlapping spans become one, named after the first. ``length`` optionally names a column that
     holds the text's number of characters and is brought up to date.
     """
-    found, _ = find_personal_data(docs.select(F.struct("*").alias("row")), f"row.{text}", "row")
+    found, _ = find_personal_data(docs.select(F.struct("*").alias("row")), f"row.`{text}`", "row")
     columns = docs.columns
 
     def mask(batches):
@@ -374,11 +372,10 @@ def redact(docs: DataFrame, text: str = "text", length: str | None = None) -> Da
                 [batch.column("row"), pa.array(out, pa.string())], ["row", "masked"]
             )
 
-    kind = found.schema["row"].dataType.simpleString()
-    masked = map_arrow(found, mask, f"row {kind}, masked string")
+    masked = map_arrow(found, mask, row_schema(found.schema["row"], "masked string"))
     new = {text: F.col("masked")}
     if length:
-        new[length] = F.when(F.col("masked").isNull(), F.col(f"row.{length}")).otherwise(
+        new[length] = F.when(F.col("masked").isNull(), F.col(f"row.`{length}`")).otherwise(
             F.length("masked").cast(docs.schema[length].dataType)
         )
     return masked.select(*[new.get(c, F.col(f"row.`{c}`")).alias(c) for c in columns])

@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from ledgermill.llm import ann, jaccard, licenses, mixing, packing, pii, quality, rules, substrings, urls
-from ledgermill.llm.common import SPACE, table
+from ledgermill.llm.common import table
 
 
 def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -145,8 +146,12 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_nearest_neighbours": op8_nearest_neighbours,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_quality_rules": op10_quality_rules,
+    "pipeline": corpus_pipeline.run,
 }
 
+# The others are tested against brute force, or held-out accuracy, in tests/llm.
 LLM_ORACLE: dict[str, str] = {
     "op10_quality_rules": OP10_SQL,
 }
+if corpus_pipeline.ORACLE_SQL:
+    LLM_ORACLE["pipeline"] = corpus_pipeline.ORACLE_SQL

@@ -12,7 +12,8 @@ that do repeat a window.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -22,16 +23,17 @@ from ledgermill.llm.common import SPACE, let, words_of
 WINDOW = 8
 MIN_WORDS = 20
 
-# Bit by bit: the condition, over the measurements, under which the rule fails.
-RULES: dict[str, str] = {
-    "too_few_words": f"n_words < {MIN_WORDS}",
-    "repeated_windows": "100 * n_repeat_words > 30 * n_words",
-    "symbols": "10 * n_symbols > n_words",
-    "duplicate_lines": "n_lines >= 5 AND 2 * n_dup_lines > n_lines",
-    "stuttering": "10 * n_stutters > 3 * n_words",
-    "shouting": "n_words > 0 AND 2 * n_upper > word_chars",
-    "exclamations": "2 * n_exclamations > n_words",
-    "word_length": "n_words > 0 AND (word_chars < 2 * n_words OR word_chars > 15 * n_words)",
+# Bit by bit: when the rule fails, over the measurements.
+RULES: dict[str, Callable[[Column], Column]] = {
+    "too_few_words": lambda m: m["n_words"] < MIN_WORDS,
+    "repeated_windows": lambda m: 100 * m["n_repeat_words"] > 30 * m["n_words"],
+    "symbols": lambda m: 10 * m["n_symbols"] > m["n_words"],
+    "duplicate_lines": lambda m: (m["n_lines"] >= 5) & (2 * m["n_dup_lines"] > m["n_lines"]),
+    "stuttering": lambda m: 10 * m["n_stutters"] > 3 * m["n_words"],
+    "shouting": lambda m: (m["n_words"] > 0) & (2 * m["n_upper"] > m["word_chars"]),
+    "exclamations": lambda m: 2 * m["n_exclamations"] > m["n_words"],
+    "word_length": lambda m: (m["n_words"] > 0)
+    & ((m["word_chars"] < 2 * m["n_words"]) | (m["word_chars"] > 15 * m["n_words"])),
 }
 BITS = {name: 1 << i for i, name in enumerate(RULES)}
 # Versions are only ever added, so that a stored verdict can be named by its version.
@@ -76,63 +78,64 @@ def _repeat_words(hashes: Column) -> Column:
     return let(F.array_sort(placed), covered)
 
 
-def measure(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """``keep`` columns and every measurement of ``MEASURES`` (long), one row per input row."""
-    kept = [F.col(c).alias(f"k{i}") for i, c in enumerate(keep)]
-    names = [f"k{i}" for i in range(len(keep))]
-    blank = f"[^{SPACE}]"
-    texts = docs.select(*kept, F.coalesce(F.col(text), F.lit("")).alias("t"))
-    split = texts.select(
-        *names,
-        words_of(F.col("t")).alias("w"),
-        F.filter(F.split("t", "\n", -1), lambda x: x.rlike(blank)).alias("lines"),
-        F.regexp_count("t", F.lit(r"[#*$%&|<>]")).alias("n_symbols"),
-        F.regexp_count("t", F.lit(r"\p{Lu}")).alias("n_upper"),
-        F.regexp_count("t", F.lit("!")).alias("n_exclamations"),
-    )
-    hashed = split.select(
-        *names,
-        F.size("w").alias("n_words"),
-        F.length(F.array_join("w", "")).alias("word_chars"),
-        "n_symbols",
-        "n_upper",
-        "n_exclamations",
-        F.size("lines").alias("n_lines"),
-        (F.size("lines") - F.size(F.array_distinct("lines"))).alias("n_dup_lines"),
-        F.size(
-            F.filter("w", lambda x, i: F.coalesce(F.get(F.col("w"), i - 1) == x, F.lit(False)))
-        ).alias("n_stutters"),
-        F.when(
-            F.size("w") >= WINDOW,
-            F.transform(
-                F.sequence(F.lit(1), F.size("w") - (WINDOW - 1)),
-                lambda i: F.xxhash64(F.slice(F.col("w"), i, WINDOW)),
+def _hashes(w: Column) -> Column:
+    """Hash of the window that starts at each word, where there is a whole one."""
+    return F.when(
+        F.size(w) >= WINDOW,
+        F.transform(
+            F.sequence(F.lit(1), F.size(w) - (WINDOW - 1)),
+            lambda i: F.xxhash64(F.slice(w, i, WINDOW)),
+        ),
+    ).otherwise(F.array().cast("array<bigint>"))
+
+
+def ledger_of(text: Column) -> Column:
+    """Struct of all measurements and ``failed_rules``, as one expression.
+
+    Each part is bound once. Written as columns instead, a filter on the result would be pushed below
+    them, which copies their definitions into each other and computes the words anew for each word.
+    """
+
+    def measured(t: Column, w: Column, lines: Column, h: Column) -> Column:
+        repeats = F.when(F.size(F.array_distinct(h)) == F.size(h), F.lit(0)).otherwise(_repeat_words(h))
+        stutters = F.filter(w, lambda x, i: F.coalesce(F.get(w, i - 1) == x, F.lit(False)))
+        values = {
+            "n_words": F.size(w),
+            "word_chars": F.length(F.array_join(w, "")),
+            "n_symbols": F.regexp_count(t, F.lit(r"[#*$%&|<>]")),
+            "n_lines": F.size(lines),
+            "n_dup_lines": F.size(lines) - F.size(F.array_distinct(lines)),
+            "n_repeat_words": repeats,
+            "n_stutters": F.size(stutters),
+            "n_upper": F.regexp_count(t, F.lit(r"\p{Lu}")),
+            "n_exclamations": F.regexp_count(t, F.lit("!")),
+        }
+        return F.struct(*[values[m].cast("long").alias(m) for m in MEASURES])
+
+    def judged(m: Column) -> Column:
+        bits = [F.when(fails(m), BITS[name]).otherwise(0) for name, fails in RULES.items()]
+        failed = reduce(lambda x, y: x.bitwiseOR(y), bits).cast("long").alias("failed_rules")
+        return F.struct(*[m[name].alias(name) for name in MEASURES], failed)
+
+    def lines_of(t: Column) -> Column:
+        return F.filter(F.split(t, "\n", -1), lambda x: x.rlike(f"[^{SPACE}]"))
+
+    return let(
+        F.coalesce(text, F.lit("")),
+        lambda t: let(
+            words_of(t),
+            lambda w: let(
+                lines_of(t),
+                lambda ls: let(_hashes(w), lambda h: let(measured(t, w, ls, h), judged)),
             ),
-        )
-        .otherwise(F.array().cast("array<bigint>"))
-        .alias("h"),
-    )
-    measured = hashed.withColumn(
-        "n_repeat_words",
-        F.when(F.size(F.array_distinct("h")) == F.size("h"), F.lit(0)).otherwise(
-            _repeat_words(F.col("h"))
         ),
     )
-    return measured.select(
-        *[F.col(f"k{i}").alias(c) for i, c in enumerate(keep)],
-        *[F.col(m).cast("long").alias(m) for m in MEASURES],
-    )
 
 
-def rule_ledger(
-    docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id",)
-) -> DataFrame:
-    """Measurements plus ``failed_rules``, the bits of the rules that a document fails."""
-    bits = [F.when(F.expr(rule), BITS[name]).otherwise(0) for name, rule in RULES.items()]
-    failed = bits[0]
-    for bit in bits[1:]:
-        failed = failed.bitwiseOR(bit)
-    return measure(docs, text, keep).withColumn("failed_rules", failed.cast("long"))
+def rule_ledger(docs: DataFrame, text: str = "text", keep: str = "doc_id") -> DataFrame:
+    """The kept column, every measurement (long), and the bits of the rules that a document fails."""
+    judged = docs.select(F.col(keep).alias("kept_column"), ledger_of(F.col(text)).alias("ledger"))
+    return judged.select(F.col("kept_column").alias(keep), "ledger.*")
 
 
 def passes(version: str, failed: Column | None = None) -> Column:
@@ -176,9 +179,5 @@ def ablation(ledger: DataFrame, policies: Mapping[str, int] = POLICIES) -> DataF
 
 
 def apply_rules(docs: DataFrame, version: str = "v1", text: str = "text") -> DataFrame:
-    """The documents that pass a policy, with the columns they came with.
-
-    Columns may have any names: the ledger carries the whole row in one column.
-    """
-    ledger = rule_ledger(docs.select(F.struct("*").alias("row")), "row." + text, ("row",))
-    return ledger.filter(passes(version)).select("row.*")
+    """The documents that pass a policy, with the columns they came with."""
+    return docs.filter(passes(version, ledger_of(F.col(text))["failed_rules"]))
