@@ -38,11 +38,11 @@ from ledgermill.llm.textnum import mix, shingle_sets, slices
 WORDS = 5
 SIMILARITY = 80  # in hundredths
 FLUSH_ENTRIES = 1_000_000
-BUCKET_BYTES = 8_000_000
+BUCKET_BYTES = 1_000_000
 # A side of at most so many (id, hash) rows, counted first, is broadcast: under 100 MB as a hash table.
 BROADCAST_ROWS = 500_000
 RANGES = 16  # hash ranges of the suffix filter
-HUB_ROUNDS = 6
+HUB_ROUNDS = 4
 
 
 def least_shared(n, similarity: int = SIMILARITY):
@@ -51,7 +51,7 @@ def least_shared(n, similarity: int = SIMILARITY):
 
 
 def _extra(n):
-    return 1 + n // 12
+    return 1 + n // 5
 
 
 def _sets(column: pa.Array, k: int):
@@ -226,7 +226,7 @@ def _survivors(docs: DataFrame, classes: DataFrame, k: int, similarity: int, tex
     known = classes.filter("cls IS NOT NULL").groupBy("cls", "n").agg(
         F.min(F.struct("doc_id", "th")).alias("first")
     )
-    need = F.lit(1) + F.floor(_ceil_div(F.col("n") * similarity, 100) / 12)
+    need = F.lit(1) + F.floor(_ceil_div(F.col("n") * similarity, 100) / 5)
     low = F.col("cls").bitwiseAND(F.lit(_LOW48))
     short = F.when(low == 0, F.lit(1).cast("long")).otherwise(low)
     kept = staged(
@@ -246,8 +246,12 @@ def _survivors(docs: DataFrame, classes: DataFrame, k: int, similarity: int, tex
 _ID = "doc_id"
 
 
-def _postings(sets: DataFrame, similarity: int) -> DataFrame:
-    """(h, cls, n, pos): the shared prefix shingles of each class, rare first."""
+def _live(sets: DataFrame, similarity: int) -> DataFrame:
+    """(cls, n, alone, take, sh, ranges): classes whose prefix, rare first, has shared shingles.
+
+    ``sh`` holds just the shingles that other classes have too, rare first: all that an intersection
+    can consist of. The first ``take`` of them are in the prefix, after ``alone`` that are not shared.
+    """
     items = sets.select("cls", "n", F.explode("sh").alias("h"))
     frequency = (
         items.groupBy("h").agg(F.count("*").alias("df")).filter("df > 1").withColumnRenamed("h", "g")
@@ -258,13 +262,26 @@ def _postings(sets: DataFrame, similarity: int) -> DataFrame:
         .groupBy("cls", "n")
         .agg(F.array_sort(F.collect_list(F.struct("df", "h"))).alias("shared"))
         .withColumn("alone", F.col("n") - F.size("shared"))
-        .withColumn("take", F.col("n") - least + 1 - F.col("alone"))
+        .withColumn("take", (F.col("n") - least + 1 - F.col("alone")).cast("int"))
         .filter("take > 0")
+        .select("cls", "n", "alone", "take", F.transform("shared", lambda s: s["h"]).alias("sh"))
+    )
+    return ordered.join(sets.select(F.col("cls").alias("c"), "ranges"), F.col("cls") == F.col("c")).drop("c")
+
+
+def _postings(live: DataFrame, similarity: int) -> DataFrame:
+    """(h, cls, n, alone, i): the shared prefix shingles of each class; shingle ``i`` of the shared.
+
+    Left out are those whose class shares too little to reach even the shortest class of the list.
+    """
+    prefix = live.select("cls", "n", "alone", F.posexplode(F.slice("sh", F.lit(1), F.col("take"))).alias("i", "h"))
+    lists = prefix.groupBy(F.col("h").alias("g")).agg(F.min("n").alias("least"), F.count("*").alias("k"))
+    needed = _ceil_div(similarity * (F.col("n") + F.col("least")), 100 + similarity)
+    return (
+        prefix.join(lists.filter("k > 1"), F.col("h") == F.col("g"))
+        .filter(needed <= F.col("n") - F.col("alone"))
+        .select("h", "cls", "n", "alone", "i")
     )
-    return ordered.select(
-        "cls", "n", "alone",
-        F.posexplode(F.slice("shared", F.lit(1), F.col("take").cast("int"))).alias("i", "s"),
-    ).select(F.col("s.h").alias("h"), "cls", "n", (F.col("alone") + F.col("i")).alias("pos"))
 
 
 def _alpha(similarity: int) -> Column:
@@ -272,16 +289,24 @@ def _alpha(similarity: int) -> Column:
     return _ceil_div(similarity * (F.col("na") + F.col("nb")), 100 + similarity)
 
 
+def _side(name: str, of: str = "") -> list[Column]:
+    """Columns of one side of a pair."""
+    return [
+        F.col(f"{of}{c}").alias(a)
+        for c, a in (("cls", name), ("n", f"n{name}"), ("alone", f"l{name}"), ("i", f"i{name}"))
+    ]
+
+
 def _filtered(pairs: DataFrame, similarity: int) -> DataFrame:
-    """Pairs (a, na, pa, b, nb, pb) of one prefix shingle, filtered and made distinct."""
+    """Pairs of one prefix shingle, filtered by length and position, and made distinct.
+
+    Before the shingle both sides can only have shared ones in common, after it what is left of them.
+    """
     long_enough = (100 * F.least("na", "nb")) >= similarity * F.greatest("na", "nb")
-    at_most = F.least("pa", "pb") + F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb"))
+    left = F.least(F.col("na") - F.col("la") - F.col("ia"), F.col("nb") - F.col("lb") - F.col("ib"))
     return (
-        pairs.filter(long_enough & (at_most >= _alpha(similarity)))
-        .select(
-            F.least("a", "b").alias("a"),
-            F.greatest("a", "b").alias("b"),
-        )
+        pairs.filter(long_enough & (F.least("ia", "ib") + left >= _alpha(similarity)))
+        .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
         .distinct()
     )
 
@@ -292,11 +317,10 @@ def _verified(pairs: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
         F.col("cls").alias(x), F.col("n").alias(f"n{x}"), F.col("sh").alias(f"s{x}"), F.col("ranges").alias(f"r{x}")
     )
     joined = pairs.join(side("a"), "a").join(side("b"), "b")
-    apart = F.aggregate(
-        F.zip_with("ra", "rb", lambda x, y: F.abs(x - y)), F.lit(0), lambda acc, x: acc + x
+    at_most = F.aggregate(
+        F.zip_with("ra", "rb", lambda x, y: F.least(x, y)), F.lit(0), lambda acc, x: acc + x
     )
-    suffix = apart <= F.col("na") + F.col("nb") - 2 * _alpha(similarity)
-    shared = F.when(suffix, F.size(F.array_intersect("sa", "sb"))).otherwise(0)
+    shared = F.when(at_most >= _alpha(similarity), F.size(F.array_intersect("sa", "sb"))).otherwise(0)
     return (
         joined.withColumn("shared", shared.cast("long"))
         .filter(100 * F.col("shared") >= similarity * (F.col("na") + F.col("nb") - F.col("shared")))
@@ -306,7 +330,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
 
 def _components_of(postings: DataFrame, sets: DataFrame, similarity: int) -> DataFrame | None:
     """(v, component) of the linked classes; None if there are none."""
-    links, labels = None, None
+    links, labels, won = None, None, 0
     for turn in range(HUB_ROUNDS + 1):
         # Lists that still hold classes of different components.
         if labels is None:
@@ -326,23 +350,29 @@ def _components_of(postings: DataFrame, sets: DataFrame, similarity: int) -> Dat
         size = open_lists.agg(F.sum("k").alias("k"), F.sum("pairs").alias("pairs")).first()
         if not size["k"]:
             break
-        rest = turn == HUB_ROUNDS or turn > 0 and size["pairs"] <= 4 * size["k"]
-        active = staged(marked.join(open_lists, F.col("h") == F.col("g")).select("h", "cls", "n", "pos", "component"))
+        active = staged(
+            marked.join(open_lists, F.col("h") == F.col("g")).select("h", "cls", "n", "alone", "i", "component")
+        )
+        # Hubs are done with where few pairs are left, or a round has linked few of the classes.
+        spent = size["pairs"] <= 4 * size["k"] or 20 * won < active.select("cls").distinct().count()
+        rest = turn == HUB_ROUNDS or turn > 0 and spent
         if rest:
             pairs = _across(active)
         else:
-            chosen = F.struct(F.xxhash64(F.lit(turn), "cls").alias("x"), "cls", "n", "pos", "component")
+            # The first hub is the class that most of the others resemble: little of it is its own.
+            central = F.col("alone") if turn == 0 else F.lit(0)
+            chosen = F.struct(
+                central.alias("own"), F.xxhash64(F.lit(turn), "cls").alias("x"), "cls", "n", "alone", "i", "component"
+            )
             hubs = active.groupBy(F.col("h").alias("g")).agg(F.min(chosen).alias("hub"))
             pairs = (
                 active.join(hubs, F.col("h") == F.col("g"))
                 .filter(F.col("component") != F.col("hub.component"))
-                .select(
-                    F.col("cls").alias("a"), F.col("n").alias("na"), F.col("pos").alias("pa"),
-                    F.col("hub.cls").alias("b"), F.col("hub.n").alias("nb"), F.col("hub.pos").alias("pb"),
-                )
-            )
+                .select(*_side("a"), *_side("b", "hub."))
+            )
         found = staged(_verified(_filtered(pairs, similarity), sets, similarity).select("a", "b"))
-        if not found.isEmpty():
+        won = found.count()
+        if won:
             links = found if links is None else links.unionByName(found)
             labels = connected_components(links)
         if rest:
@@ -352,13 +382,11 @@ def _components_of(postings: DataFrame, sets: DataFrame, similarity: int) -> Dat
 
 def _across(active: DataFrame) -> DataFrame:
     """All pairs of a list that lie in different components."""
-    other = active.select(
-        F.col("h").alias("g"), F.col("cls").alias("b"), F.col("n").alias("nb"), F.col("pos").alias("pb"), F.col("component").alias("cb")
-    )
-    one = active.select("h", F.col("cls").alias("a"), F.col("n").alias("na"), F.col("pos").alias("pa"), "component")
+    one = active.select("h", *_side("a"), "component")
+    other = active.select(F.col("h").alias("g"), *_side("b"), F.col("component").alias("cb"))
     return one.join(
         other, (F.col("h") == F.col("g")) & (F.col("a") < F.col("b")) & (F.col("component") != F.col("cb"))
-    ).select("a", "na", "pa", "b", "nb", "pb")
+    )
 
 
 def near_duplicates(
@@ -375,7 +403,8 @@ def near_duplicates(
     docs = docs.select(F.col(doc_id).alias(_ID), F.col(text).alias("text"))
     classes = staged(shingle_classes(docs, k))
     sets = _survivors(docs, classes, k, similarity, "text")
-    labels = _components_of(staged(_postings(sets, similarity)), sets, similarity)
+    live = staged(_live(sets, similarity))
+    labels = _components_of(staged(_postings(live, similarity)), live, similarity)
     if labels is None:
         keyed = classes.withColumn("key", F.col("cls"))
     else:
