@@ -1,0 +1,68 @@
+from __future__ import annotations
+
+import math
+
+import numpy as np
+
+from ledgermill.llm import ann
+
+
+def brute(rows, queries, k):
+    out = {}
+    for q, v in queries:
+        near = sorted((math.dist(v, x), i) for i, x in rows if i != q)
+        out[q] = [(i, d) for d, i in near[:k]]
+    return out
+
+
+def answers(found):
+    out = {}
+    for r in sorted(found.collect(), key=lambda r: (r.query_id, r.rank)):
+        out.setdefault(r.query_id, []).append((r.rank, r.vec_id, r.score))
+    return out
+
+
+def frame(spark, rows):
+    full = [(i, v, 0, "x", 1) for i, v in rows]
+    return spark.createDataFrame(full, "vec_id long, embedding array<float>, label int, v string, shard int")
+
+
+def test_recall_over_several_shards(spark):
+    random = np.random.default_rng(0)
+    centres = random.normal(size=(20, 16))
+    rows = [(i, [float(np.float32(x)) for x in centres[i % 20] + 0.4 * random.normal(size=16)]) for i in range(3000)]
+    found = answers(ann.search(frame(spark, rows), ann.F.col("id") % 100 == 0, shard_nodes=1000))
+    want = brute(rows, [r for r in rows if r[0] % 100 == 0], 10)
+    hits = sum(len({i for i, _ in want[q]} & {i for _, i, _ in found[q]}) for q in want)
+    assert hits >= 0.95 * 10 * len(want)
+    exact = {i: v for i, v in rows}
+    for q, got in found.items():
+        assert [r for r, _, _ in got] == list(range(1, 11))
+        assert [s for _, _, s in got] == sorted(s for _, _, s in got)
+        for _, i, s in got:
+            assert abs(s - math.dist(exact[q], exact[i])) < 1e-12
+
+
+def test_common_vector_ties_and_unusable_rows(spark):
+    rows = [(i, [1.0, 0.0]) for i in range(0, 40)] + [(50, [1.0, 0.5]), (100, [2.0, 0.0])]
+    bad = [(200, None), (300, [0.0, 0.0]), (400, [None, 1.0]), (500, [float("nan"), 1.0]), (600, [float("inf"), 1.0]), (700, [])]
+    other = [(800, [1.0, 2.0, 3.0]), (None, [1.0, 0.0]), (100, [2.0, 0.0])]
+    found = answers(ann.search(frame(spark, rows + bad + other), ann.F.col("id") % 100 == 0))
+    assert set(found) == {0, 100}
+    assert [i for _, i, _ in found[0]] == list(range(1, 11))
+    assert [i for _, i, _ in found[100]] == list(range(0, 10))
+
+
+def test_fewer_candidates_than_asked_and_empty_table(spark):
+    rows = [(0, [1.0]), (1, [2.0]), (2, [4.0])]
+    assert answers(ann.search(frame(spark, rows), ann.F.col("id") == 0)) == {0: [(1, 1, 1.0), (2, 2, 3.0)]}
+    assert ann.search(frame(spark, []), ann.F.col("id") == 0).count() == 0
+
+
+def test_pruning_keeps_few_and_diverse_edges():
+    x = np.random.default_rng(1).normal(size=(800, 8))
+    graph = ann.Graph.build(x)
+    degree = (graph.edges >= 0).sum(1)
+    assert degree.max() <= ann.DEGREE and degree.min() >= 1
+    found, far = graph.search(x[:50], 40)
+    assert (found[:, 0] == np.arange(50)).all() and np.allclose(far[:, 0], 0, atol=1e-9)
