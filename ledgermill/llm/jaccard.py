@@ -272,14 +272,16 @@ def _live(sets: DataFrame, similarity: int) -> DataFrame:
 def _postings(live: DataFrame, similarity: int) -> DataFrame:
     """(h, cls, n, alone, i): the shared prefix shingles of each class; shingle ``i`` of the shared.
 
-    Left out are those whose class shares too little to reach even the shortest class of the list.
+    The first shingle that a pair has in common lies within n - needed of either class, and what is
+    needed grows with the partner. Left out are shingles too far back for even the shortest class of
+    their list.
     """
     prefix = live.select("cls", "n", "alone", F.posexplode(F.slice("sh", F.lit(1), F.col("take"))).alias("i", "h"))
     lists = prefix.groupBy(F.col("h").alias("g")).agg(F.min("n").alias("least"), F.count("*").alias("k"))
     needed = _ceil_div(similarity * (F.col("n") + F.col("least")), 100 + similarity)
     return (
         prefix.join(lists.filter("k > 1"), F.col("h") == F.col("g"))
-        .filter(needed <= F.col("n") - F.col("alone"))
+        .filter(F.col("alone") + F.col("i") <= F.col("n") - needed)
         .select("h", "cls", "n", "alone", "i")
     )
 
@@ -301,11 +303,16 @@ def _filtered(pairs: DataFrame, similarity: int) -> DataFrame:
     """Pairs of one prefix shingle, filtered by length and position, and made distinct.
 
     Before the shingle both sides can only have shared ones in common, after it what is left of them.
+    A pair's first common shingle lies early enough on both sides; others need not propose it again.
     """
     long_enough = (100 * F.least("na", "nb")) >= similarity * F.greatest("na", "nb")
     left = F.least(F.col("na") - F.col("la") - F.col("ia"), F.col("nb") - F.col("lb") - F.col("ib"))
+    alpha = _alpha(similarity)
+    early = (F.col("la") + F.col("ia") <= F.col("na") - alpha) & (
+        F.col("lb") + F.col("ib") <= F.col("nb") - alpha
+    )
     return (
-        pairs.filter(long_enough & (F.least("ia", "ib") + left >= _alpha(similarity)))
+        pairs.filter(long_enough & early & (F.least("ia", "ib") + left >= alpha))
         .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
         .distinct()
     )
