@@ -42,6 +42,8 @@ def _parser() -> argparse.ArgumentParser:
     silver.add_argument("--bronze-path", required=True)
     silver.add_argument("--silver-path", required=True)
     silver.add_argument("--target-tx-date", help="one event day, all days if left out")
+    silver.add_argument("--scratch", help="shared folder for records in between")
+    _add_window(silver)
     _add_rules(silver)
 
     gold = commands.add_parser("gold", help="Silver to the Gold tables")
@@ -53,12 +55,14 @@ def _parser() -> argparse.ArgumentParser:
     ready.add_argument("--day", required=True)
     ready.add_argument("--done-marker")
     ready.add_argument("--step-epoch", default=STEP_EPOCH)
+    _add_window(ready)
 
     run = commands.add_parser("run", help="all layers for a range of event days")
     run.add_argument("--root", required=True, help="folder that holds all layers")
     run.add_argument("--start", required=True)
     run.add_argument("--end", help="last day, the first one if left out")
     run.add_argument("--done-marker")
+    _add_window(run)
     _add_rules(run)
     return parser
 
@@ -68,6 +72,11 @@ def _add_rules(command: argparse.ArgumentParser) -> None:
     command.add_argument("--strict", action="store_true", help="reject amounts without a decimal")
 
 
+def _add_window(command: argparse.ArgumentParser) -> None:
+    command.add_argument("--ingest-from", help="first ingest day to read, all if left out")
+    command.add_argument("--ingest-to", help="last ingest day to read, all if left out")
+
+
 def _publish(spark, args) -> int:
     if args.checkpoint:
         records = raw.first_days(raw.stream_raw_csv(spark, args.csv), args.max_days)
@@ -110,11 +119,12 @@ def _ingest(spark, args) -> int:
 def _silver(spark, args) -> int:
     report = load_silver(
         spark,
-        read_bronze(spark, args.bronze_path),
+        read_bronze(spark, args.bronze_path, args.ingest_from, args.ingest_to),
         args.silver_path,
         args.target_tx_date,
         step_epoch=args.step_epoch,
         strict=args.strict,
+        scratch_root=args.scratch,
     )
     print(report.summary())
     return 0
@@ -129,7 +139,7 @@ def _ready(spark, args) -> int:
     if not path_exists(spark, args.bronze_path):
         print(f"day={args.day} no Bronze yet")
         return 1
-    bronze = read_bronze(spark, args.bronze_path)
+    bronze = read_bronze(spark, args.bronze_path, args.ingest_from, args.ingest_to)
     state = gate.day_ready(bronze, args.day, _feed_done(spark, args), args.step_epoch).first()
     print(f"day={args.day} rows={state.day_rows} later={state.later_rows} ready={state.ready}")
     return 0 if state.ready else 1
@@ -144,6 +154,8 @@ def _run(spark, args) -> int:
         _feed_done(spark, args),
         args.step_epoch,
         args.strict,
+        ingest_from=args.ingest_from,
+        ingest_to=args.ingest_to,
     )
     print(report.summary())
     return 0 if report.ready else 1
@@ -165,7 +177,10 @@ COMMANDS = {
 
 def main(argv: list[str] | None = None) -> int:
     # Launchers add options of their own, which are none of ours to reject.
-    args, _ = _parser().parse_known_args(argv)
+    parser = _parser()
+    args, _ = parser.parse_known_args(argv)
+    if args.command == "publish" and args.checkpoint and args.limit:
+        parser.error("--limit caps one batch and cannot be combined with --checkpoint")
     return COMMANDS[args.command](build_session(f"ledgermill {args.command}"), args)
 
 

@@ -24,6 +24,9 @@ SECONDS_PER_HOUR = 3600
 SECONDS_PER_DAY = 86400
 MILLIS_PER_DAY = SECONDS_PER_DAY * 1000
 
+# Microseconds of a timestamp fill a 64-bit integer.
+MOST_MILLIS = (2**63 - 1) // 1000
+
 
 def _event_seconds(step: Column, step_epoch: str) -> Column:
     return F.lit(epoch_seconds(step_epoch)) + (step.cast("bigint") - 1) * SECONDS_PER_HOUR
@@ -52,7 +55,9 @@ def step_day_index(step: Column | str) -> Column:
 
 
 def millis_to_timestamp(millis: Column | str) -> Column:
-    return F.timestamp_millis(millis)
+    """NULL for values beyond the range of timestamps, which would otherwise fail the query."""
+    value = F.col(millis) if isinstance(millis, str) else millis
+    return F.when(value.between(-MOST_MILLIS, MOST_MILLIS), F.timestamp_millis(value))
 
 
 def ingest_date(millis: Column | str) -> Column:

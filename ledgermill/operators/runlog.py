@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 SUCCESS = "success"
 FAILED = "failed"
+RUNNING = "running"
 
 
 def runs_by_day(run_log: DataFrame) -> DataFrame:

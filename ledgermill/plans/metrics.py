@@ -38,6 +38,10 @@ RUN_GAUGES = {"fraud_dagrun_success": "success_runs", "fraud_dagrun_failed": "fa
 DAY_LABEL, HOUR_LABEL, TYPE_LABEL, ACCOUNT_LABEL = "d_ms", "ts_ms", "type", "account"
 
 
+# The one gauge that compares a day with Bronze.
+BRONZE_GAUGE = "fraud_by_date_bs_diff"
+
+
 def _cells(gauges: dict[str, str], labels: Column) -> Column:
     """Array of ``(metric, labels, value)`` read off the columns of one row."""
     return F.array(

@@ -16,12 +16,13 @@ from ledgermill.plans import metrics as metrics_plan
 from ledgermill.schema import (
     FIRST_STEP,
     LAST_STEP,
+    METRICS_SCHEMA,
     RUN_LOG_SCHEMA,
     STEP_EPOCH,
     TASK_LOG_SCHEMA,
     as_day,
 )
-from ledgermill.session import drop_folder, shared_folder
+from ledgermill.session import drop_folder, path_exists, shared_folder
 from ledgermill.sources import tables
 from ledgermill.sources.bronze import read_bronze
 
@@ -36,10 +37,12 @@ class Lake:
     metrics: str
     run_log: str
     task_log: str
+    # Holds labelled records during a run, where the session names no shared storage.
+    scratch: str
 
     @classmethod
     def below(cls, root: str) -> Lake:
-        names = ["bronze", "silver", "gold", "metrics", "run_log", "task_log"]
+        names = ["bronze", "silver", "gold", "metrics", "run_log", "task_log", "scratch"]
         return cls(**{name: f"{root.rstrip('/')}/{name}" for name in names})
 
 
@@ -180,16 +183,18 @@ def load_silver(
     feed_done: bool | None = None,
     step_epoch: str = STEP_EPOCH,
     strict: bool = False,
+    scratch_root: str | None = None,
 ) -> RunReport:
     """Bring the event days ``start`` to ``end`` from Bronze to Silver and the quarantine.
 
     Without ``end`` a single day, without ``start`` every day is written. If ``feed_done`` is given,
-    days that have not fully arrived are left out.
+    days that have not fully arrived are left out. ``scratch_root`` is where the labelled records are
+    put in between if the session names no shared storage.
     """
     first, last = (start, end or start) if start else all_days(step_epoch)
     days = _span(first, last)
     report = RunReport()
-    scratch = shared_folder(spark)
+    scratch = shared_folder(spark, scratch_root)
     try:
         staged, counts = _stage(spark, bronze, days, scratch, step_epoch, strict)
         report.bronze_rows = counts["bronze_rows"]
@@ -227,6 +232,8 @@ def run_days(
     step_epoch: str = STEP_EPOCH,
     strict: bool = False,
     raise_on_expectation: bool = True,
+    ingest_from: str | date | None = None,
+    ingest_to: str | date | None = None,
 ) -> RunReport:
     """Bring the event days ``start`` to ``end`` from Bronze to metrics, as one job per layer.
 
@@ -234,14 +241,19 @@ def run_days(
     days only; equal keys fall on equal days, so doing the days one by one or all together gives
     the same tables, and doing them again changes nothing. Any mismatch stops the run before the
     next layer is touched.
+
+    ``ingest_from`` / ``ingest_to`` limit reading, and rewriting the quarantine, to the ingest days
+    between; they have to cover every day on which records of the asked event days came in. The
+    comparison with Bronze is then published for the days of this run; other days keep theirs.
     """
     log = _RunLog(spark, lake)
     days = _span(start, end)
+    log.note(days, runlog.RUNNING)
     try:
-        bronze = read_bronze(spark, lake.bronze)
+        bronze = read_bronze(spark, lake.bronze, ingest_from, ingest_to)
         with log.task("silver"):
             report = load_silver(
-                spark, bronze, lake.silver, start, end, feed_done, step_epoch, strict
+                spark, bronze, lake.silver, start, end, feed_done, step_epoch, strict, lake.scratch
             )
         days = report.ready
         if not days:
@@ -266,16 +278,37 @@ def run_days(
                 tables.read_log(spark, lake.run_log, RUN_LOG_SCHEMA),
                 step_epoch,
             )
+            if ingest_from is not None or ingest_to is not None:
+                gauges = _with_unread_days(spark, lake, gauges, days)
             tables.write_metrics(gauges, lake.metrics)
-        log.finish(days, runlog.SUCCESS)
+        log.note(days, runlog.SUCCESS)
     except Exception:
-        log.finish(days, runlog.FAILED)
+        log.note(days, runlog.FAILED)
         raise
     finally:
         log.flush()
     return report
 
 
+def _with_unread_days(
+    spark: SparkSession, lake: Lake, gauges: DataFrame, days: list[date]
+) -> DataFrame:
+    """Gauges of a run that has read Bronze for some days only.
+
+    Differences from Bronze are right for those days; published ones of all others, at most one row
+    for each day that a step can fall on, go on.
+    """
+    epoch = date(1970, 1, 1)
+    read = [str((day - epoch).days * 86_400_000) for day in days]
+    other = (F.col("metric") == metrics_plan.BRONZE_GAUGE) & ~F.col("labels")[
+        metrics_plan.DAY_LABEL
+    ].isin(read)
+    kept = []
+    if path_exists(spark, lake.metrics):
+        kept = tables.read_metrics(spark, lake.metrics).filter(other).collect()
+    return gauges.filter(~other).unionByName(spark.createDataFrame(kept, METRICS_SCHEMA))
+
+
 def run_day(spark: SparkSession, lake: Lake, day: str | date, **options) -> RunReport:
     """``run_days`` for a single day."""
     return run_days(spark, lake, day, day, **options)
@@ -297,7 +330,7 @@ class _RunLog:
         finally:
             self._tasks.append((task_id, time.monotonic() - began, state))
 
-    def finish(self, days: list[date], state: str) -> None:
+    def note(self, days: list[date], state: str) -> None:
         rows = self._spark.createDataFrame([(day, state) for day in days], RUN_LOG_SCHEMA)
         tables.append_log(rows.coalesce(1), self._lake.run_log)
 

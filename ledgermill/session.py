@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import re
 import tempfile
 import uuid
 
@@ -51,14 +52,20 @@ def build_session(
     return builder.getOrCreate()
 
 
-def shared_folder(spark: SparkSession) -> str:
+def shared_folder(spark: SparkSession, root: str | None = None) -> str:
     """A fresh folder below the one named in ``spark.checkpoint.dir``.
 
-    Executors write there, so it has to be storage that all of them see. Only where the setting is
-    missing (a single-machine session) a local temporary folder is taken.
+    Executors write there, so it has to be storage that all of them see. Where the setting is missing,
+    the folder set by ``setCheckpointDir`` counts, then ``root``. Only a single-machine session falls
+    back on a local temporary folder; on a cluster that would scatter the data, so it is an error.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="ledgermill-")
-    return f"{root.rstrip('/')}/ledgermill-{uuid.uuid4().hex}"
+    context = spark.sparkContext
+    chosen = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir() or root
+    if not chosen:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", context.master):
+            raise ValueError("name shared storage in spark.checkpoint.dir, or give a root")
+        chosen = tempfile.mkdtemp(prefix="ledgermill-")
+    return f"{chosen.rstrip('/')}/ledgermill-{uuid.uuid4().hex}"
 
 
 def _file_system(spark: SparkSession, path: str):
@@ -73,6 +80,12 @@ def path_exists(spark: SparkSession, pattern: str) -> bool:
     return bool(files.globStatus(hadoop_path))
 
 
+def list_paths(spark: SparkSession, pattern: str) -> list[str]:
+    """Files and folders that match a glob pattern."""
+    files, hadoop_path = _file_system(spark, pattern)
+    return [str(status.getPath().toString()) for status in files.globStatus(hadoop_path) or []]
+
+
 def drop_folder(spark: SparkSession, path: str) -> None:
     """Remove a folder made by ``shared_folder``."""
     files, hadoop_path = _file_system(spark, path)

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgermill.functions import step_day_index
 from ledgermill.schema import PAYLOAD_FIELDS, PAYLOAD_SCHEMA
+from ledgermill.session import path_exists
 
 # Delivery guarantees of the message writer.
 DELIVERY_OPTIONS = {
@@ -17,18 +19,48 @@ DELIVERY_OPTIONS = {
 }
 
 
-def read_raw_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Header CSV with every value kept as text; an empty field stays an empty text."""
-    return _as_text(spark.read.schema(PAYLOAD_SCHEMA).option("header", True).csv(path))
+# A quote inside a quoted field is doubled. With enforceSchema off, each file's own header has to
+# agree with the schema, so a file with other columns is an error and not misread.
+CSV_OPTIONS = {"header": "true", "escape": '"', "enforceSchema": "false"}
+
+
+class MissingColumns(ValueError):
+    """A CSV header lacks fields of the payload."""
+
+
+def read_raw_csv(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+    """Header CSV with every value kept as text; an empty field stays an empty text.
+
+    Fields go by their names in the header, whatever their order; other columns are left out.
+    ``multi_line`` allows line breaks inside quotes, at the price of one task per file.
+    """
+    schema = _header_schema(spark, path)
+    options = CSV_OPTIONS | {"multiLine": str(multi_line).lower()}
+    return _as_text(spark.read.schema(schema).options(**options).csv(path))
 
 
 def stream_raw_csv(spark: SparkSession, path: str) -> DataFrame:
-    """The same for a folder that keeps receiving files; a checkpoint makes it resume."""
-    return _as_text(spark.readStream.schema(PAYLOAD_SCHEMA).option("header", True).csv(path))
+    """The same for a folder that keeps receiving files; a checkpoint makes it resume.
+
+    The header is that of the files present at the start; while there are none, it is expected to
+    list the payload fields in order.
+    """
+    files = path_exists(spark, f"{path.rstrip('/')}/*")
+    schema = _header_schema(spark, path) if files else PAYLOAD_SCHEMA
+    return _as_text(spark.readStream.schema(schema).options(**CSV_OPTIONS).csv(path))
+
+
+def _header_schema(spark: SparkSession, path: str) -> T.StructType:
+    """All columns of the header as text."""
+    names = spark.read.options(**CSV_OPTIONS).csv(path).columns
+    missing = [name for name in PAYLOAD_FIELDS if name not in names]
+    if missing:
+        raise MissingColumns(f"{path}: no column {', '.join(missing)}")
+    return T.StructType([T.StructField(name, T.StringType()) for name in names])
 
 
 def _as_text(raw: DataFrame) -> DataFrame:
-    return raw.na.fill("")
+    return raw.select(PAYLOAD_FIELDS).na.fill("")
 
 
 def first_days(raw: DataFrame, days: int) -> DataFrame:
@@ -39,13 +71,32 @@ def first_days(raw: DataFrame, days: int) -> DataFrame:
 def to_messages(raw: DataFrame, limit: int = 0) -> DataFrame:
     """One ``key, value`` message per record; the account key keeps its payments in order.
 
-    ``limit`` caps the number of messages, 0 sends all.
+    ``limit`` caps the number of messages of a batch, 0 sends all.
     """
-    capped = raw.limit(limit) if limit else raw
+    capped = _first_rows(raw, limit) if limit else raw
     record = F.to_json(F.struct(*PAYLOAD_FIELDS), {"ignoreNullFields": "false"})
     return capped.select(F.col("nameOrig").alias("key"), record.alias("value"))
 
 
+def _first_rows(rows: DataFrame, n: int) -> DataFrame:
+    """The first ``n`` rows by partition and place, without moving them to one task.
+
+    Row counts of the partitions, one number each, tell in which partition the cap falls; the rest is
+    a filter on the place that Spark gives each row.
+    """
+    placed = rows.withColumn("row_place", F.monotonically_increasing_id())
+    partition, place = F.shiftright("row_place", 33), F.col("row_place").bitwiseAND((1 << 33) - 1)
+    counts = placed.groupBy(partition.alias("p")).agg(F.count(F.lit(1)).alias("n")).collect()
+    for count in sorted(counts):
+        if count.n >= n:
+            break
+        n -= count.n
+    else:
+        return rows
+    inside = (partition < count.p) | ((partition == count.p) & (place < n))
+    return placed.filter(inside).drop("row_place")
+
+
 def delivery_options(servers: str, topic: str) -> dict[str, str]:
     return {"kafka.bootstrap.servers": servers, "topic": topic, **DELIVERY_OPTIONS}
 

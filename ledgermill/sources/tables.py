@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from ledgermill.schema import METRICS_SCHEMA, QUARANTINE_SCHEMA, SILVER_SCHEMA
-from ledgermill.session import path_exists
+from ledgermill.session import drop_folder, list_paths, path_exists
 
 
 def _replace_partitions(df: DataFrame, path: str, key: str) -> None:
@@ -60,16 +60,38 @@ def write_quarantine(
 
 
 def read_quarantine(spark: SparkSession, silver_path: str) -> DataFrame:
-    return spark.read.schema(QUARANTINE_SCHEMA).parquet(quarantine_path(silver_path))
+    """All rejects; empty while none was ever written."""
+    path = quarantine_path(silver_path)
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], QUARANTINE_SCHEMA)
+    return spark.read.schema(QUARANTINE_SCHEMA).parquet(path)
 
 
 def write_gold(gold: DataFrame, path: str, name: str) -> None:
-    """Rebuild one Gold table as a whole."""
-    gold.write.mode("overwrite").parquet(f"{path.rstrip('/')}/{name}")
+    """Rebuild one Gold table as a whole, or not at all.
+
+    Each build goes to a folder of its own. Readers take the newest finished one, so a build that
+    fails leaves the table as it was. Builds older than the one before are dropped.
+    """
+    spark = gold.sparkSession
+    before = _builds(spark, path, name)
+    number = int(before[-1].rsplit("=", 1)[1]) + 1 if before else 1
+    gold.write.mode("overwrite").parquet(f"{path.rstrip('/')}/{name}/build={number:09d}")
+    for old in before[:-1]:
+        drop_folder(spark, old)
+
+
+def _builds(spark: SparkSession, path: str, name: str) -> list[str]:
+    """Folders of the finished builds, oldest first."""
+    done = list_paths(spark, f"{path.rstrip('/')}/{name}/build=*/_SUCCESS")
+    return sorted(marker.rsplit("/", 1)[0] for marker in done)
 
 
 def read_gold(spark: SparkSession, path: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{path.rstrip('/')}/{name}")
+    builds = _builds(spark, path, name)
+    if not builds:
+        raise FileNotFoundError(f"no finished build of {name} below {path}")
+    return spark.read.parquet(builds[-1])
 
 
 def write_metrics(metrics: DataFrame, path: str) -> None:

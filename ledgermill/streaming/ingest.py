@@ -23,18 +23,26 @@ def to_bronze(messages: DataFrame) -> DataFrame:
     """Payload fields of each message, its record time in milliseconds and its ingest day.
 
     ``messages`` has the shape of a Kafka source: ``key, value, timestamp``. A value that is no
-    JSON object keeps its text in ``raw_value``, from where the quarantine takes it.
+    JSON object, or has fields beyond the payload's, keeps its text in ``raw_value``, so the raw
+    layer loses nothing and the quarantine can show the record as it came in.
     """
+    others = F.array_except(
+        F.json_object_keys(F.col("value").cast("string")),
+        F.array(*[F.lit(name) for name in PAYLOAD_FIELDS]),
+    )
+    text = F.when(F.size(others) > 0, F.col("value").cast("string"))
     parsed = F.from_json(
         F.col("value").cast("string"),
         MESSAGE_SCHEMA,
         {"columnNameOfCorruptRecord": CORRUPT_FIELD},
     )
     return messages.select(
-        parsed.alias("record"), F.unix_millis("timestamp").alias("kafka_timestamp")
+        parsed.alias("record"),
+        text.alias("text"),
+        F.unix_millis("timestamp").alias("kafka_timestamp"),
     ).select(
         *[F.col(f"record.{name}") for name in PAYLOAD_FIELDS],
-        F.col(f"record.{CORRUPT_FIELD}").alias(RAW_VALUE_FIELD),
+        F.coalesce(f"record.{CORRUPT_FIELD}", "text").alias(RAW_VALUE_FIELD),
         "kafka_timestamp",
         ingest_date("kafka_timestamp").alias("date"),
     )

@@ -3,6 +3,8 @@ from __future__ import annotations
 import json
 from datetime import date
 
+import pytest
+
 from ledgermill.operators import validation
 from ledgermill.schema import PAYLOAD_FIELDS
 from ledgermill.sources import raw
@@ -20,6 +22,36 @@ def test_csv_keeps_text_and_empty_fields(spark, tmp_path):
     assert (short.amount, short.nameOrig) == ("5", "")
 
 
+def test_csv_goes_by_header_names(spark, tmp_path):
+    names = ["note", *reversed(PAYLOAD_FIELDS)]
+    row = ["x", "0", "1", "5", "4", "M1", "3", "2", '"C""1,"', "9.5", "PAYMENT", "7"]
+    (tmp_path / "raw.csv").write_text(",".join(names) + "\n" + ",".join(row) + "\n")
+    (got,) = raw.read_raw_csv(spark, str(tmp_path)).collect()
+    assert (got.step, got.type, got.amount, got.nameOrig) == ("7", "PAYMENT", "9.5", 'C"1,')
+    (other,) = raw.read_raw_csv(spark, str(tmp_path), multi_line=True).collect()
+    assert other == got
+
+
+def test_csv_without_a_field_or_with_another_header_is_an_error(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("step,type\n1,PAYMENT\n")
+    with pytest.raises(raw.MissingColumns, match="amount"):
+        raw.read_raw_csv(spark, str(tmp_path))
+    both = tmp_path / "both"
+    both.mkdir()
+    (both / "a.csv").write_text(",".join(PAYLOAD_FIELDS) + "\n" + ",".join("1" * 11) + "\n")
+    (both / "b.csv").write_text(",".join(reversed(PAYLOAD_FIELDS)) + "\n" + ",".join("1" * 11) + "\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        raw.read_raw_csv(spark, str(both)).collect()
+
+
+def test_limit_is_a_filter_over_all_tasks(spark):
+    rows = bronze(spark, *[record(nameOrig=f"C{n}") for n in range(50)]).repartition(7)
+    for n in (1, 13, 50, 80):
+        assert raw.to_messages(rows, limit=n).count() == min(n, 50)
+    plan = raw.to_messages(rows, limit=13)._jdf.queryExecution().executedPlan().toString()
+    assert "Limit" not in plan
+
+
 def test_messages_are_keyed_json_with_nulls(spark):
     rows = bronze(spark, record(nameOrig="C9", amount=None, nameDest="Ł"))
     (message,) = raw.to_messages(rows.drop("kafka_timestamp")).collect()

@@ -49,6 +49,17 @@ def test_event_hour_is_the_utc_hour(spark, session_conf, zone):
     assert [row[0] for row in hours] == [0, 3600, -3600]
 
 
+
+def test_times_out_of_range_are_null(spark):
+    from ledgermill.functions import millis_to_timestamp
+
+    values = [(0,), (2**63 - 1,), (-(2**63),), ((2**63 - 1) // 1000,), (None,)]
+    rows = spark.createDataFrame(values, "m long").select(
+        F.unix_millis(millis_to_timestamp("m")).alias("t")
+    )
+    assert [r.t for r in rows.collect()] == [0, None, None, (2**63 - 1) // 1000, None]
+
+
 def test_another_epoch(spark):
     steps = spark.createDataFrame([(1,), (2,)], "step int")
     days = steps.select(event_date(F.col("step"), "2020-02-28 23:00:00")).collect()

@@ -114,6 +114,49 @@ def test_all_gauges_are_published(spark, lake):
     assert sum(days) == silver_rows
 
 
+def test_a_first_run_publishes_every_gauge(spark, lake):
+    run_day(spark, lake, "2016-01-01")
+    metrics = metrics_plan.flat(tables.read_metrics(spark, lake.metrics))
+    flat = {(r.metric, r.label_value): r.value for r in metrics.collect()}
+    assert {metric for metric, _ in flat} == GAUGES
+    assert flat["fraud_dagrun_success", "1451606400000"] == 0.0
+
+
+def test_windowed_runs_publish_what_a_full_run_does(spark, lake, tmp_path):
+    other = replace(lake, **{n: str(tmp_path / n) for n in ("silver", "gold", "metrics", "run_log", "task_log")})
+    options = {"feed_done": True, "raise_on_expectation": False}
+    for day in ("2016-01-01", "2016-01-02", "2016-01-03"):
+        run_day(spark, lake, day, **options)
+        run_day(spark, other, day, ingest_from="1970-01-01", ingest_to="2030-01-01", **options)
+    assert stored(spark, lake) == stored(spark, other)
+
+    def gauges(of):
+        rows = metrics_plan.flat(tables.read_metrics(spark, of.metrics)).collect()
+        return {tuple(r) for r in rows if r.metric != metrics_plan.LAST_SUCCESS_GAUGE}
+
+    assert gauges(lake) == gauges(other)
+
+
+def test_a_window_keeps_the_differences_of_other_days(spark, lake):
+    options = {"feed_done": True, "raise_on_expectation": False}
+    run_days(spark, lake, "2016-01-01", "2016-01-03", **options)
+    before = tables.read_metrics(spark, lake.metrics).filter(f"metric = '{metrics_plan.BRONZE_GAUGE}'").collect()
+    run_day(spark, lake, "2016-01-02", ingest_from="2026-01-01", ingest_to="2030-01-01", **options)
+    after = tables.read_metrics(spark, lake.metrics).filter(f"metric = '{metrics_plan.BRONZE_GAUGE}'").collect()
+    assert len(after) == len(before) == 3
+
+
+def test_a_window_reads_only_its_folders(spark, lake):
+    plan = read_bronze(spark, lake.bronze, "2026-01-01", "2026-01-02")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan and "2026-01-01" in plan
+
+
+def test_limit_and_checkpoint_exclude_each_other(spark, capsys):
+    with pytest.raises(SystemExit):
+        main(["publish", "--csv", "c", "--servers", "s", "--topic", "t", "--limit", "5", "--checkpoint", "p"])
+    assert "--limit" in capsys.readouterr().err
+
+
 def test_repeating_a_day_changes_nothing(spark, lake):
     load(spark, lake, "2016-01-02")
     before = stored(spark, lake)
@@ -181,8 +224,9 @@ def test_failed_expectation_stops_the_run(spark, lake):
     with pytest.raises(quality.ExpectationFailed, match="is_suspicious"):
         run_day(spark, lake, "2016-01-01")
     assert not Path(lake.metrics).exists()
-    (entry,) = tables.read_log(spark, lake.run_log, RUN_LOG_SCHEMA).collect()
-    assert (entry.logical_date, entry.state) == (date(2016, 1, 1), runlog.FAILED)
+    entries = tables.read_log(spark, lake.run_log, RUN_LOG_SCHEMA).collect()
+    assert {e.logical_date for e in entries} == {date(2016, 1, 1)}
+    assert sorted(e.state for e in entries) == [runlog.FAILED, runlog.RUNNING]
     tasks = tables.read_log(spark, lake.task_log, TASK_LOG_SCHEMA)
     assert runlog.failed_tasks(tasks).first()[0] == 1
     report = run_day(spark, lake, "2016-01-01", raise_on_expectation=False)

@@ -84,6 +84,17 @@ def test_unreadable_message_is_kept(feed):
     assert row.ingest_date == date(2026, 1, 1)
 
 
+def test_fields_beyond_the_payload_are_not_lost(feed):
+    deliver, deliver_text, land, _ = feed
+    deliver(record())
+    text = '{"step": "1", "channel": "app", "amount": "bad"}'
+    deliver_text(text)
+    landed = land()
+    assert {r.raw_value for r in landed.collect()} == {None, text}
+    (row,) = validation.to_quarantine(validation.label(landed)).collect()
+    assert row.value == text
+
+
 def test_files_are_rolled(feed):
     deliver, _, land, target = feed
     deliver(*[record(nameOrig=f"C{n}") for n in range(2500)])

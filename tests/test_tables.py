@@ -100,6 +100,24 @@ def test_gold_is_rebuilt_as_a_whole(spark, tmp_path):
     assert row.account_id == "C7"
 
 
+def test_a_failing_rebuild_leaves_the_old_gold(spark, tmp_path):
+    path = str(tmp_path / "gold")
+    tables.write_gold(spark.range(3), path, "t")
+    with pytest.raises(Exception, match="(?i)stop here"):
+        tables.write_gold(spark.range(5).select(F.raise_error(F.lit("stop here")).alias("id")), path, "t")
+    assert tables.read_gold(spark, path, "t").count() == 3
+    for n in (7, 8):
+        tables.write_gold(spark.range(n), path, "t")
+    assert tables.read_gold(spark, path, "t").count() == 8
+    assert len(list((tmp_path / "gold" / "t").glob("build=*"))) == 2
+    with pytest.raises(FileNotFoundError):
+        tables.read_gold(spark, path, "none")
+
+
+def test_no_quarantine_yet(spark, tmp_path):
+    assert tables.read_quarantine(spark, str(tmp_path / "silver")).count() == 0
+
+
 def test_publishing_replaces_only_the_named_metrics(spark, tmp_path):
     path = str(tmp_path / "metrics")
     first = [("a", {}, 1.0), ("b", {"day": "1"}, 2.0), ("b", {"day": "2"}, 3.0)]
@@ -135,6 +153,27 @@ def test_shared_folder_follows_the_setting(spark):
     assert not path_exists(spark, folder)
 
 
+def test_shared_folder_on_a_cluster_needs_shared_storage(spark):
+    class Cluster:
+        """A session on a cluster, with or without a checkpoint folder."""
+
+        def __init__(self, folder):
+            self.conf = self
+            self.sparkContext = self
+            self.master, self.folder = "spark://host:7077", folder
+
+        def get(self, key, default):
+            return default
+
+        def getCheckpointDir(self):
+            return self.folder
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_folder(Cluster(None))
+    assert shared_folder(Cluster("s3a://b/cp/")).startswith("s3a://b/cp/ledgermill-")
+    assert shared_folder(Cluster(None), "s3a://b/lake").startswith("s3a://b/lake/ledgermill-")
+
+
 @pytest.mark.parametrize(("size", "partitions"), [(0, 200), (60 * 10**12, 223518)])
 def test_partitions_grow_with_the_shuffle(size, partitions):
     conf = recommended_conf(size)

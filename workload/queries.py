@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from ledgermill.functions import row_id
 from ledgermill.operators import gate, gold, kpis, quality, reconcile, runlog, silver, validation
 from ledgermill.plans import metrics as metrics_plan
-from ledgermill.plans.run import Lake, run_days
+from ledgermill.plans import panels
+from ledgermill.plans.run import Lake, all_days, run_day, run_days
 from ledgermill.schema import PAYLOAD_FIELDS, SILVER_SCHEMA
 from ledgermill.session import shared_folder
 from ledgermill.sources import bronze as bronze_files
@@ -21,8 +22,11 @@ from workload import inputs
 Query = Callable[[SparkSession, str], DataFrame]
 
 ONE_DAY = "2016-01-05"
-FIRST_DAY, LAST_DAY = "2016-01-01", "2016-01-30"
+LAST_DAY = "2016-01-30"
 FEED_DAYS = 3
+SINGLE_DAYS = ("2016-01-04", ONE_DAY, "2016-01-06")
+# All record times of the test records lie on these days.
+INGEST_FROM, INGEST_TO = "2026-01-01", "2026-12-31"
 
 
 def wall_time(column: str) -> Column:
@@ -38,6 +42,13 @@ def _silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     return silver.dedup(silver.to_silver(_labelled(spark, sf_dir)))
 
 
+def _stored_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver as a run leaves it: written once, so that what follows reads columns of a table."""
+    path = shared_folder(spark)
+    tables.write_silver(_silver(spark, sf_dir), path)
+    return tables.read_silver(spark, path)
+
+
 def _gold(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return gold.GOLD_TABLES[name](_silver(spark, sf_dir))
 
@@ -54,9 +65,13 @@ def _silver_columns(rows: DataFrame) -> DataFrame:
 
 
 def q_raw_csv(spark, sf_dir):
+    """Fields in reverse order with a column too many, and quotes inside the account names."""
     path = shared_folder(spark)
-    records = inputs.raw_records(spark, sf_dir).select(PAYLOAD_FIELDS)
-    records.write.option("header", True).csv(path)
+    records = inputs.raw_records(spark, sf_dir).withColumn(
+        "nameOrig", F.concat(F.lit('"'), "nameOrig", F.lit('"'))
+    )
+    shuffled = records.select(F.lit("x").alias("note"), *reversed(PAYLOAD_FIELDS))
+    shuffled.write.option("header", True).option("escape", '"').csv(path)
     return raw.read_raw_csv(spark, path)
 
 
@@ -242,7 +257,7 @@ def q_undetected_total(spark, sf_dir):
 
 
 def _reconciled_days(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _silver(spark, sf_dir)
+    rows = _stored_silver(spark, sf_dir)
     return reconcile.by_date(
         reconcile.bronze_valid_by_date(inputs.bronze(spark, sf_dir)),
         reconcile.silver_by_date(rows),
@@ -259,12 +274,12 @@ def q_reconcile_worst(spark, sf_dir):
 
 
 def q_reconcile_total(spark, sf_dir):
-    rows = _silver(spark, sf_dir)
+    rows = _stored_silver(spark, sf_dir)
     return reconcile.total(rows, gold.undetected_fraud(rows))
 
 
 def _expectations(spark: SparkSession, sf_dir: str, check: str) -> DataFrame:
-    rows = _silver(spark, sf_dir)
+    rows = _stored_silver(spark, sf_dir)
     checked = [e for e in quality.EXPECTATIONS if e.check == check]
     built = {"silver": rows} | {name: build(rows) for name, build in gold.GOLD_TABLES.items()}
     needed = {name: df for name, df in built.items() if name in {e.table for e in checked}}
@@ -294,6 +309,15 @@ def q_day_ready_any_step(spark, sf_dir):
     return gate.day_ready(inputs.bronze(spark, sf_dir), LAST_DAY, validate_step=False)
 
 
+def q_day_ready_done(spark, sf_dir):
+    """The feed's marker is written, found again, and closes the last day."""
+    marker = f"{shared_folder(spark)}/done"
+    tables.write_feed_marker(spark, marker)
+    return gate.day_ready(
+        inputs.bronze(spark, sf_dir), LAST_DAY, tables.feed_done(spark, marker)
+    )
+
+
 def q_ready_days(spark, sf_dir):
     return gate.ready_days(inputs.bronze(spark, sf_dir))
 
@@ -302,7 +326,27 @@ def q_run_days(spark, sf_dir):
     folder = shared_folder(spark)
     lake = Lake.below(folder)
     bronze_files.write_bronze(inputs.bronze(spark, sf_dir), lake.bronze)
-    run_days(spark, lake, FIRST_DAY, LAST_DAY, feed_done=True, raise_on_expectation=False)
+    run_days(spark, lake, *all_days(), feed_done=True, raise_on_expectation=False)
+    return _silver_columns(tables.read_silver(spark, lake.silver))
+
+
+def q_run_metrics(spark, sf_dir):
+    """The gauges that a first run publishes, on its own log."""
+    lake = Lake.below(shared_folder(spark))
+    bronze_files.write_bronze(inputs.bronze(spark, sf_dir), lake.bronze)
+    run_days(spark, lake, *all_days(), feed_done=True, raise_on_expectation=False)
+    return _comparable(tables.read_metrics(spark, lake.metrics))
+
+
+def q_run_day_by_day(spark, sf_dir):
+    """Three days, each in a run of its own that reads only the ingest days around it."""
+    lake = Lake.below(shared_folder(spark))
+    bronze_files.write_bronze(inputs.bronze(spark, sf_dir), lake.bronze)
+    for day in SINGLE_DAYS:
+        run_day(
+            spark, lake, day, feed_done=True, raise_on_expectation=False,
+            ingest_from=INGEST_FROM, ingest_to=INGEST_TO,
+        )
     return _silver_columns(tables.read_silver(spark, lake.silver))
 
 
@@ -310,7 +354,7 @@ def q_run_days(spark, sf_dir):
 
 
 def _metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _silver(spark, sf_dir)
+    rows = _stored_silver(spark, sf_dir)
     return metrics_plan.build_metrics(
         inputs.bronze(spark, sf_dir),
         rows,
@@ -329,6 +373,18 @@ def q_metrics(spark, sf_dir):
     return _comparable(_metrics(spark, sf_dir))
 
 
+def q_panel_total_rows(spark, sf_dir):
+    return panels.total_rows(_metrics(spark, sf_dir))
+
+
+def q_panel_top_receivers(spark, sf_dir):
+    return panels.top_receivers(_metrics(spark, sf_dir))
+
+
+def q_panel_runs(spark, sf_dir):
+    return panels.runs_by_day(_metrics(spark, sf_dir))
+
+
 def q_runs_by_day(spark, sf_dir):
     return runlog.runs_by_day(inputs.run_log(spark, sf_dir))
 
