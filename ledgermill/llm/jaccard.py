@@ -419,7 +419,10 @@ def near_duplicates(
             "key", F.coalesce("component", "cls")
         )
     named = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "th")
-    firsts = keyed.filter("key IS NOT NULL").groupBy(F.col("key").alias("g")).agg(F.min(named).alias("first"))
+    # Written, so that the join below has a shuffle on both sides, which a hot component can be split in.
+    firsts = staged(
+        keyed.filter("key IS NOT NULL").groupBy(F.col("key").alias("g")).agg(F.min(named).alias("first"))
+    )
     found = keyed.join(firsts, F.col("key") == F.col("g"), "left")
     first = F.when(F.col("key").isNull(), named).otherwise(F.col("first"))
     return found.select("doc_id", "th", F.col("n").alias("n_shingles"), first.alias("first"))
