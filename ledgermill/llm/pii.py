@@ -32,6 +32,7 @@ LABELERS = ("pattern", "checksum", "gazetteer", "before", "after", "form")
 ACCEPT = 0.9
 CONTEXT = 32
 EM_ROUNDS = 60
+PRIOR = np.array([4.0, 1.0])  # right and wrong votes that each labeler starts with
 # More distinct (kind, votes, shape) patterns than this cannot arise: 7 kinds, 3 votes by 6 labelers,
 # 5 shapes by 4 lengths.
 MOST_PATTERNS = len(KINDS) * 3 ** len(LABELERS) * 20
@@ -209,8 +210,10 @@ def _features(kind: int, votes: str, shape: str) -> list[str]:
 def fit(patterns: list[tuple[int, str, str, int]]) -> SpanModel:
     """EM for the labelers' reliabilities, then the span classifier, on counted patterns.
 
-    The start is the majority vote. Each labeler has its own rates of +, - and abstaining for true
-    and for false spans; the share of true spans is per kind. All rates are smoothed by one count.
+    The start is the majority vote. Each labeler has its own rate of + among its votes on true and on
+    false spans; abstaining says nothing, as many labelers know only some kinds. The share of true
+    spans is per kind. ``PRIOR`` counts, by which labelers are rather right than wrong, smooth the
+    rates and tell the two classes apart where a corpus has spans of one class only.
     """
     if not patterns:
         return SpanModel({}, {}, {})
@@ -221,12 +224,13 @@ def fit(patterns: list[tuple[int, str, str, int]]) -> SpanModel:
     truth = 1 / (1 + np.exp(-1.5 * balance))
     for _ in range(EM_ROUNDS):
         log = np.zeros((len(patterns), 2))
-        rates = np.zeros((2, len(LABELERS), 3))
+        rates = np.zeros((2, len(LABELERS), 2))
         for y, weight in enumerate((count * (1 - truth), count * truth)):
             for j in range(len(LABELERS)):
-                seen = 1 + np.bincount(votes[:, j], weights=weight, minlength=3)
+                seen = np.bincount(votes[:, j], weights=weight, minlength=3)[:2]
+                seen += PRIOR if y else PRIOR[::-1]
                 rates[y, j] = seen / seen.sum()
-                log[:, y] += np.log(rates[y, j][votes[:, j]])
+                log[:, y] += np.append(np.log(rates[y, j]), 0.0)[votes[:, j]]
             share = np.array([1 + weight[kinds == k].sum() for k in range(len(KINDS))])
             both = np.array([2 + count[kinds == k].sum() for k in range(len(KINDS))])
             log[:, y] += np.log(share / both)[kinds]
