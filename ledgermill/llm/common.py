@@ -60,6 +60,13 @@ def apply_arrow(groups: GroupedData, task, schema: str | StructType) -> DataFram
     return groups.applyInArrow(task, schema)
 
 
+def small_batches(batches, rows: int = 256):
+    """Arrow batches cut to so many rows, so that Python objects exist for few texts at a time."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def row_schema(row: StructField, rest: str) -> StructType:
     """A field, as it is, and more fields in DDL; safe for structs with any column names."""
     return StructType([row, *StructType.fromDDL(rest).fields])

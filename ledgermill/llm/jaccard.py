@@ -37,7 +37,7 @@ from ledgermill.llm.textnum import mix, shingle_sets, slices
 
 WORDS = 5
 SIMILARITY = 80  # in hundredths
-FLUSH_ENTRIES = 1_000_000
+FLUSH_ENTRIES = 600_000
 BUCKET_BYTES = 1_000_000
 # A side of at most so many (id, hash) rows, counted first, is broadcast: under 100 MB as a hash table.
 BROADCAST_ROWS = 500_000

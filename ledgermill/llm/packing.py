@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgermill.llm.common import map_arrow, row_schema, staged
+from ledgermill.llm.common import map_arrow, row_schema, small_batches, staged
 from ledgermill.llm.tokens import encoder
 
 CAPACITY = 1024
@@ -59,7 +59,7 @@ def token_pieces(
 
     def cut(batches):
         encode = encoder(**(files or tokenizer_files())).packed
-        for batch in batches:
+        for batch in small_batches(batches):
             rows = [[] for _ in range(6)]
             for key, value in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 ids = encode(value or "") + end

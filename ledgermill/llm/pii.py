@@ -24,7 +24,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgermill.llm.common import map_arrow, row_schema, staged
+from ledgermill.llm.common import map_arrow, row_schema, small_batches, staged
 
 KINDS = ("email", "ip", "card", "phone", "iban", "ssn", "name")
 BASE_KINDS = KINDS[:4]
@@ -268,13 +268,19 @@ _SPAN_SQL = "array<struct<kind:int,start:int,end:int,base:boolean,votes:string,s
 
 
 def candidates(docs: DataFrame, text: str = "text", keep: str = "doc_id") -> DataFrame:
-    """``keep`` as ``row``, and every base span and candidate with its votes as ``spans``."""
-    narrow = docs.select(F.col(keep).alias("row"), F.col(text).alias("text"))
+    """``keep`` as ``row``, and every base span and candidate with its votes as ``spans``.
+
+    Where ``keep`` is a struct that holds the text, name it ``keep.text``: it then travels once.
+    """
+    inner = text.removeprefix(f"{keep}.").strip("`") if text.startswith(f"{keep}.") else None
+    narrow = docs.select(F.col(keep).alias("row"), *([] if inner else [F.col(text).alias("text")]))
+    place = narrow.schema["row"].dataType.names.index(inner) if inner else None
 
     def scan(batches):
-        for batch in batches:
+        for batch in small_batches(batches):
             out = []
-            for t in batch.column("text").to_pylist():
+            texts = pc.struct_field(batch.column("row"), [place]) if inner else batch.column("text")
+            for t in texts.to_pylist():
                 spans = []
                 if t:
                     base = base_spans(t)
@@ -303,6 +309,12 @@ def train(found: DataFrame) -> SpanModel:
     return fit(patterns)
 
 
+def _final(spans: list[dict], model: SpanModel) -> list[dict]:
+    """Base spans and those that the model accepts, in order of kind and start."""
+    kept = [s for s in spans if s["base"] or model.accepts(s["kind"], s["votes"], s["shape"])]
+    return sorted(kept, key=lambda s: (s["kind"], s["start"], s["end"]))
+
+
 def find_personal_data(
     docs: DataFrame, text: str = "text", keep: str = "doc_id"
 ) -> tuple[DataFrame, SpanModel]:
@@ -311,11 +323,8 @@ def find_personal_data(
     model = train(found)
 
     def judge(batches):
-        for batch in batches:
-            out = []
-            for spans in batch.column("spans").to_pylist():
-                kept = [s for s in spans if s["base"] or model.accepts(s["kind"], s["votes"], s["shape"])]
-                out.append(sorted(kept, key=lambda s: (s["kind"], s["start"], s["end"])))
+        for batch in small_batches(batches):
+            out = [_final(spans, model) for spans in batch.column("spans").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("row"), pa.array(out, pa.list_(_SPAN))], ["row", "spans"]
             )
@@ -356,15 +365,16 @@ def redact(docs: DataFrame, text: str = "text", length: str | None = None) -> Da
     Overlapping spans become one, named after the first. ``length`` optionally names a column that
     holds the text's number of characters and is brought up to date.
     """
-    found, _ = find_personal_data(docs.select(F.struct("*").alias("row")), f"row.`{text}`", "row")
+    found = staged(candidates(docs.select(F.struct("*").alias("row")), f"row.`{text}`", "row"))
+    model = train(found.select("spans"))
     columns = docs.columns
 
     def mask(batches):
-        for batch in batches:
+        for batch in small_batches(batches):
             out = []
             texts = pc.struct_field(batch.column("row"), [columns.index(text)]).to_pylist()
             for t, spans in zip(texts, batch.column("spans").to_pylist()):
-                if spans:
+                if spans := _final(spans, model):
                     parts, at = [], 0
                     for s in sorted(spans, key=lambda s: (s["start"], -s["end"])):
                         if s["start"] >= at:
