@@ -60,6 +60,17 @@ def apply_arrow(groups: GroupedData, task, schema: str | StructType) -> DataFram
     return groups.applyInArrow(task, schema)
 
 
+def hash_share(rows: DataFrame, key: str, wanted: int) -> DataFrame:
+    """All rows if there are few, else those of a share of the key's hashes: about twice ``wanted``.
+
+    A following sort and limit then meets a bounded number of rows, however many tasks there are.
+    """
+    n, parts = rows.count(), 1 << 30
+    if n <= 2 * wanted:
+        return rows
+    return rows.filter(F.pmod(F.xxhash64(key), F.lit(parts)) < F.lit(parts * 2 * wanted // n + 1))
+
+
 def small_batches(batches, rows: int = 256):
     """Arrow batches cut to so many rows, so that Python objects exist for few texts at a time."""
     for batch in batches:

@@ -25,7 +25,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgermill.llm.common import let
+from ledgermill.llm.common import hash_share, let
 
 # Usual wording of licence notices, by family.
 TEMPLATES: dict[str, tuple[str, ...]] = {
@@ -233,8 +233,9 @@ def _all_pairs(template: str) -> list[str]:
 
 def corpus_sample(docs: DataFrame, text: str = "text") -> list[str]:
     """The first lines, cut at 200 characters, of the MAX_CORPUS_LINES texts of smallest hash."""
-    first = F.substring(F.regexp_extract(F.col(text), r"[^\n]+", 0), 1, 200)
-    rows = docs.select(F.xxhash64(F.col(text)).alias("h"), first.alias("x"))
+    first = F.substring(F.regexp_extract("t", r"[^\n]+", 0), 1, 200)
+    shared = hash_share(docs.select(F.col(text).alias("t")), "t", MAX_CORPUS_LINES)
+    rows = shared.select(F.xxhash64("t").alias("h"), first.alias("x"))
     return [r["x"] for r in rows.orderBy("h", "x").limit(MAX_CORPUS_LINES).collect() if r["x"]]
 
 
