@@ -63,3 +63,40 @@ def test_repeats_inside_one_document_and_short_lines(spark, documents):
     assert {r.doc_id for r in rows} == {1}
     assert sum(r.end - r.start for r in rows) in (2 * len(line), 2 * len(line) + 1)
     assert substrings.removed_spans(documents([])).count() == 0
+
+
+def test_passages_in_short_lines(spark, documents):
+    verse = [" ".join(prose(300 + i, 1 + i % 4)) for i in range(40)]
+    other = lambda seed: [" ".join(prose(1000 * seed + i, 1 + i % 3)) for i in range(20)]
+    texts = {
+        1: "\n".join(other(1) + verse + other(2)),
+        2: "\n".join(other(1) + verse + other(2)),
+        3: "\n".join(other(3) + verse + other(4)),
+        4: "\n".join(other(5) + [x for line in verse for x in (line, other(6)[len(line) % 20])]),
+        5: "\n\n".join(verse),
+        6: "a b c\nd e f",
+        7: "a b c\nd e f",
+        8: "la\n" * 30 + " ".join(prose(9, 30)),
+    }
+    rows = substrings.removed_spans(documents(list(texts.items()))).collect()
+    words_left = {r.doc_id: r.text.split() for r in substrings.cut_spans(
+        documents(list(texts.items())), substrings.removed_spans(documents(list(texts.items())))).collect()}
+    assert words_left[1] == texts[1].split() and words_left[6] == texts[6].split()
+    assert words_left[2] == words_left[5] == words_left[7] == []
+    assert words_left[3] == " ".join(other(3) + other(4)).split()
+    # The same short lines, each among others, are no passage.
+    assert words_left[4] == texts[4].split()
+    # A copy that overlaps the one that stays does not eat it.
+    assert words_left[8] == ["la"] * 10 + prose(9, 30)
+    assert {r.kept_doc_id for r in rows if r.doc_id in (2, 3, 5)} == {1}
+
+
+def test_length_of_text_without_spaces(spark, documents):
+    r = random.Random(4)
+    line = lambda n: "".join(chr(r.randrange(0x4E00, 0x9000)) for _ in range(n))
+    long, short = line(40), [line(9) for _ in range(12)]
+    texts = {1: f"{line(20)}\n{long}\n{line(8)}", 2: f"{line(50)}\n{long}", 3: "\n".join([line(50), *short]),
+             4: "\n".join([*short, line(50)]), 5: f"{line(50)}\n{short[3]}"}
+    rows = substrings.removed_spans(documents(list(texts.items()))).collect()
+    cut = {(r.doc_id, texts[r.doc_id][r.start : r.end]) for r in rows}
+    assert cut == {(2, long), (4, "\n".join(short))}
