@@ -1,14 +1,17 @@
 """Licence scan: a trained paragraph classifier, an unknown class, and templates that confirm.
 
-Paragraphs are the lines of a text. Word unigrams and bigrams of the templates below are the
+Paragraphs are the lines of a text, and runs of neighbouring lines without a blank one between, since
+notices are wrapped: from each line on as far as the longest template may reach. Word unigrams and bigrams of the templates below are the
 features of a sparse multinomial logistic regression over licence families and ``unknown``. It is
 trained on the driver from variations of the templates, on scrambled and single template words, and
 on a bounded sample of the corpus's own lines as ``unknown``; its probability cut is calibrated on
 variations it has not seen. A prediction stands only if enough of one template of that family occurs
-in the paragraph.
+in the paragraph. Of overlapping paragraphs the one that holds most of its template stands, of equal
+ones the shortest; another stands beside it only with another family and template words of its own.
 
 Scanning is one expression per text, without a shuffle. A line without any word that carries a
-feature has the score of an empty line, which is ``unknown``, so only the other lines are scored.
+feature has the score of an empty line, which is ``unknown``, so only the other lines are scored; runs only in a text that has enough bigrams of some
+template. Comment marks are no words, and a line without words is blank.
 
 Edge cases: NULL and empty texts have no licences; repeated rows are scanned one by one; an empty
 table gives no rows (and no corpus lines to train on, which is fine); other columns are not looked
@@ -84,6 +87,7 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
 UNKNOWN = "unknown"
 STOP = frozenset("a all an and any are as at be by can for from in is it may not of on or that the this to under use with you".split())
 CONFIRM = 0.6  # share of a template's bigrams that must occur
+REACH = 2 * max(len(re.findall("[a-z0-9]+", t.lower())) for ts in TEMPLATES.values() for t in ts)  # words a wrapped notice may take
 MAX_CORPUS_LINES = 2000  # bound of the corpus sample that is learnt as unknown
 VARIATIONS = 24  # of each template; a quarter of them calibrates
 EPOCHS = 200
@@ -186,22 +190,29 @@ def _pairs(ws: Column) -> Column:
 def licenses_of(text: Column, model: LicenseModel) -> Column:
     """Array of (line, family, probability, confirmed, notice) for lines with any telling word.
 
-    ``family`` is ``unknown`` below the cut; ``notice`` says that some family is likelier than none.
+    ``family`` is ``unknown`` below the cut; ``notice`` says that some family is likelier than none. A
+    wrapped notice is one entry, at its first line.
     """
     lines = F.split(F.coalesce(text, F.lit("")), "\n", -1)
     placed = F.transform(lines, lambda x, i: F.struct(i.alias("line"), _line_words(x).alias("ws")))
     telling = model.telling
-    maybe = F.filter(placed, lambda p: F.exists(p["ws"], lambda w: w.isin(telling)))
     table = F.from_json(F.lit(json.dumps(model.weights)), "map<string,array<double>>")
     bias = F.array(*[F.lit(v) for v in model.bias])
     names = F.array(*[F.lit(f) for f in model.families])
-    templates = F.from_json(
-        F.lit(json.dumps({f: [_all_pairs(t) for t in ts] for f, ts in TEMPLATES.items()})),
-        "map<string,array<array<string>>>",
-    )
-
-    def judged(p: Column) -> Column:
-        found = F.array_distinct(F.concat(p["ws"], _pairs(p["ws"])))
+    pairs = {f: [_all_pairs(t) for t in ts] for f, ts in TEMPLATES.items()}
+    templates = F.from_json(F.lit(json.dumps(pairs)), "map<string,array<array<string>>>")
+    every = F.from_json(F.lit(json.dumps([t for ts in pairs.values() for t in ts])), "array<array<string>>")
+    known = sorted({p for ts in pairs.values() for t in ts for p in t})
+
+    def possible(ws: Column) -> Column:
+        """Whether enough bigrams of any template occur."""
+        return let(
+            F.array_distinct(F.filter(_pairs(ws), lambda p: p.isin(known))),
+            lambda hits: F.exists(every, lambda t: F.size(F.array_intersect(t, hits)) >= CONFIRM * F.size(t)),
+        )
+
+    def judged(line: Column, last: Column, ws: Column) -> Column:
+        found = F.array_distinct(F.concat(ws, _pairs(ws)))
         hits = F.filter(F.transform(found, lambda g: F.try_element_at(table, g)), lambda v: v.isNotNull())
         scores = F.aggregate(hits, bias, lambda acc, v: F.zip_with(acc, v, lambda a, c: a + c))
 
@@ -212,18 +223,96 @@ def licenses_of(text: Column, model: LicenseModel) -> Column:
             family = F.get(names, (F.array_position(z, best) - 1).cast("int"))
             sure = F.when(chance >= model.cut, family).otherwise(UNKNOWN)
             notice = family != UNKNOWN
-            near = F.coalesce(
-                F.exists(
-                    F.try_element_at(templates, sure),
-                    lambda t: F.size(F.array_intersect(t, _pairs(p["ws"]))) >= CONFIRM * F.size(t),
+            near = F.transform(
+                F.coalesce(F.try_element_at(templates, sure), F.array().cast("array<array<string>>")),
+                lambda t: let(
+                    F.array_intersect(t, _pairs(ws)),
+                    lambda own: F.struct((F.size(own) / F.size(t)).alias("share"), own.alias("own")),
+                ),
+            )
+            return let(
+                F.array_max(near),
+                lambda m: F.struct(
+                    F.coalesce(-m["share"], F.lit(0.0)).alias("lack"),
+                    (last - line).alias("more"),
+                    line.alias("line"),
+                    last.alias("last"),
+                    sure.alias("family"),
+                    chance.alias("probability"),
+                    F.coalesce(m["share"] >= CONFIRM, F.lit(False)).alias("confirmed"),
+                    notice.alias("notice"),
+                    m["own"].alias("own"),
                 ),
-                F.lit(False),
             )
-            return F.struct(p["line"].alias("line"), sure.alias("family"), chance.alias("probability"), near.alias("confirmed"), notice.alias("notice"))
 
         return let(scores, decide)
 
-    return F.transform(maybe, judged)
+    def runs(p: Column, start: Column) -> Column:
+        """(last, ws) of the runs of two lines and more from a line on, each a line longer."""
+        begin = F.struct(
+            F.slice(start["ws"], F.greatest(F.size(start["ws"]) - REACH + 1, F.lit(1)), REACH).alias("ws"),
+            F.lit(0).alias("n"),
+            F.array().cast("array<struct<last:int,ws:array<string>>>").alias("made"),
+        )
+
+        def longer(acc: Column, x: Column) -> Column:
+            ws = F.concat(acc["ws"], F.slice(x["ws"], 1, REACH))
+            n = F.when(F.size(x["ws"]) == 0, REACH).otherwise(acc["n"] + F.size(x["ws"]))
+            made = F.when(F.size(x["ws"]) == 0, acc["made"]).otherwise(
+                F.concat(acc["made"], F.array(F.struct(x["line"].alias("last"), ws.alias("ws"))))
+            )
+            return F.when(acc["n"] >= REACH, acc).otherwise(F.struct(ws.alias("ws"), n.alias("n"), made.alias("made")))
+
+        return F.aggregate(F.slice(p, start["line"] + 2, REACH), begin, longer, lambda acc: acc["made"])
+
+    def wrapped(p: Column) -> Column:
+        """Confirmed runs."""
+        starts = F.filter(p, lambda x: F.size(x["ws"]) > 0)
+
+        def of(start: Column) -> Column:
+            return let(
+                runs(p, start),
+                lambda made: F.when(
+                    F.coalesce(possible(F.get(made, F.size(made) - 1)["ws"]), F.lit(False)),
+                    F.filter(F.transform(made, lambda r: judged(start["line"], r["last"], r["ws"])), lambda j: j["confirmed"]),
+                ),
+            )
+
+        return F.flatten(F.filter(F.transform(starts, of), lambda x: x.isNotNull()))
+
+    def settled(single: Column, wide: Column) -> Column:
+        """What stands of lines and runs that overlap."""
+
+        def explained(by: Column, x: Column) -> Column:
+            overlap = (by["line"] <= x["last"]) & (x["line"] <= by["last"])
+            return overlap & ((by["family"] == x["family"]) | (F.size(F.array_except(x["own"], by["own"])) == 0))
+
+        ranked = F.array_sort(F.concat(F.filter(single, lambda j: j["confirmed"]), wide))
+        stand = F.aggregate(
+            ranked,
+            F.slice(ranked, 1, 0),
+            lambda acc, x: F.when(F.exists(acc, lambda by: explained(by, x)), acc).otherwise(F.concat(acc, F.array(x))),
+        )
+
+        def with_rest(found: Column) -> Column:
+            inside = lambda x: F.exists(
+                found, lambda by: (by["last"] > by["line"]) & x["line"].between(by["line"], by["last"])
+            )
+            rest = F.filter(single, lambda x: ~x["confirmed"] & ~inside(x))
+            return F.array_sort(F.transform(F.concat(found, rest), shown))
+
+        return let(stand, with_rest)
+
+    def shown(j: Column) -> Column:
+        return F.struct(*[j[c].alias(c) for c in ("line", "family", "probability", "confirmed", "notice")])
+
+    def scanned(p: Column) -> Column:
+        maybe = F.filter(p, lambda x: F.exists(x["ws"], lambda w: w.isin(telling)))
+        single = F.transform(maybe, lambda x: judged(x["line"], x["line"], x["ws"]))
+        wraps = (F.size(maybe) > 0) & possible(F.flatten(F.transform(p, lambda x: x["ws"])))
+        return let(single, lambda one: F.when(wraps, settled(one, wrapped(p))).otherwise(F.transform(one, shown)))
+
+    return let(placed, scanned)
 
 
 def _all_pairs(template: str) -> list[str]:

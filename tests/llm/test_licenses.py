@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import textwrap
+
 from ledgermill.llm import licenses
 
 
@@ -40,3 +42,31 @@ def test_each_template_is_its_family(spark, documents):
     found, _ = licenses.scan(documents(rows))
     got = {r.row: [n.family for n in r.notices if n.confirmed] for r in found.collect()}
     assert sum(got[i] == [f] for i, f in want.items()) >= 0.9 * len(want)
+
+
+def test_wrapped_notices(spark, documents):
+    prose = "Some words of a tale that goes on and on"
+    bsd, gpl, sa = (licenses.TEMPLATES["bsd"][0], licenses.TEMPLATES["gpl"][1], licenses.TEMPLATES["cc-by-sa"][1])
+    wrap = lambda text, width, mark="": "\n".join(mark + x for x in textwrap.wrap(text, width))
+    texts = {
+        1: f"{prose}\n\n{wrap(bsd, 75)}\n\n{prose}",
+        2: wrap(gpl, 70, " * "),
+        3: sa.replace("Commons ", "Commons\n"),
+        4: sa.replace("Attribution-", "Attribution-\n"),
+        5: wrap(gpl, 20, "# "),
+        6: f"{prose}\n{wrap(bsd, 60, '// ')}\nAll rights reserved.\n{prose}",
+        7: bsd.replace("forms, ", "forms,\n\n").replace("permitted ", "permitted\n\n"),
+        8: "\n".join(gpl.split()),
+        9: f"{wrap(gpl, 60)}\n{wrap(bsd, 60)}",
+    }
+    found, _ = licenses.scan(documents(list(texts.items())))
+    rows = {r.row: r.notices for r in found.collect()}
+    got = {i: [(n.line, n.family) for n in rows[i] if n.confirmed] for i in texts}
+    assert got[1] == [(2, "bsd")]
+    assert got[2] == got[5] == got[8] == [(0, "gpl")]
+    assert got[3] == got[4] == [(0, "cc-by-sa")]
+    assert got[6] == [(1, "bsd"), (3 + texts[6].count("//") - 2, "proprietary")]
+    assert got[7] == []  # blank lines end a paragraph
+    assert got[9] == [(0, "gpl"), (len(textwrap.wrap(gpl, 60)), "bsd")]
+    # Lines of a confirmed notice are not counted as notices of unknown families.
+    assert not any(n.notice and not n.confirmed for i in (1, 2, 3, 5, 9) for n in rows[i])
