@@ -201,7 +201,10 @@ def mix(
 
 
 def repeat_documents(docs: DataFrame, source: str = "source", text: str = "text", **target) -> DataFrame:
-    """The documents as often as the mixture reads them, with the columns they came with."""
+    """The documents as often as the mixture reads them, with the columns they came with.
+
+    Blocks and positions of the mixture do not pass on: the rows come in no order.
+    """
     whole = staged(
         docs.select(F.struct("*").alias("row"), F.monotonically_increasing_id().alias("key"))
     )
