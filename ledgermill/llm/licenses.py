@@ -28,7 +28,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgermill.llm.common import hash_share, let
+from ledgermill.llm.common import let
 
 # Usual wording of licence notices, by family.
 TEMPLATES: dict[str, tuple[str, ...]] = {
@@ -137,7 +137,14 @@ def train(corpus_lines: list[str], seed: int = 0) -> LicenseModel:
         picked = [str(w) for w in random.choice(telling, int(random.integers(2, 6)))]
         rows.append((picked, none, i % 4 == 3))
     known = {" ".join(words(x)) for t in TEMPLATES.values() for x in t}
-    plain = [ws for ws in fillers if not any(k in " ".join(ws) for k in known)]
+    pairs = {p for t in TEMPLATES.values() for x in t for p in _all_pairs(x)}
+
+    def is_notice(ws: list[str]) -> bool:
+        """Whether a line holds a template, or is mostly a part of one, as lines of wrapped notices are."""
+        own = [f"{a} {b}" in pairs for a, b in zip(ws, ws[1:])]
+        return any(own) and (2 * sum(own) >= len(own) or any(k in " ".join(ws) for k in known))
+
+    plain = [ws for ws in fillers if not is_notice(ws)]
     rows += [(ws, none, i % 4 == 3) for i, ws in enumerate(plain)]
 
     names = sorted({g for t in TEMPLATES.values() for x in t for g in grams(words(x))})
@@ -321,11 +328,14 @@ def _all_pairs(template: str) -> list[str]:
 
 
 def corpus_sample(docs: DataFrame, text: str = "text") -> list[str]:
-    """The first lines, cut at 200 characters, of the MAX_CORPUS_LINES texts of smallest hash."""
-    first = F.substring(F.regexp_extract("t", r"[^\n]+", 0), 1, 200)
-    shared = hash_share(docs.select(F.col(text).alias("t")), "t", MAX_CORPUS_LINES)
-    rows = shared.select(F.xxhash64("t").alias("h"), first.alias("x"))
-    return [r["x"] for r in rows.orderBy("h", "x").limit(MAX_CORPUS_LINES).collect() if r["x"]]
+    """Whole distinct lines from any place in the texts, the MAX_CORPUS_LINES of a share of the hashes."""
+    lines = docs.select(F.explode(F.split(F.col(text), "\n", -1)).alias("x")).filter(F.col("x").rlike("[A-Za-z0-9]"))
+    hashed, parts = lines.select(F.xxhash64("x").alias("h"), "x"), 1 << 30
+    n = hashed.agg(F.approx_count_distinct("h")).first()[0]
+    if n > 2 * MAX_CORPUS_LINES:
+        # So that the sort meets a bounded number of rows, however many lines there are.
+        hashed = hashed.filter(F.pmod("h", F.lit(parts)) < F.lit(parts * 2 * MAX_CORPUS_LINES // n + 1))
+    return [r["x"] for r in hashed.distinct().orderBy("h", "x").limit(MAX_CORPUS_LINES).collect()]
 
 
 def scan(docs: DataFrame, text: str = "text", keep: str = "doc_id") -> tuple[DataFrame, LicenseModel]:

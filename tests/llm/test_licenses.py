@@ -70,3 +70,14 @@ def test_wrapped_notices(spark, documents):
     assert got[9] == [(0, "gpl"), (len(textwrap.wrap(gpl, 60)), "bsd")]
     # Lines of a confirmed notice are not counted as notices of unknown families.
     assert not any(n.notice and not n.confirmed for i in (1, 2, 3, 5, 9) for n in rows[i])
+
+
+def test_corpus_sample_is_of_whole_distinct_lines(spark, documents):
+    long = " ".join(f"w{i}" for i in range(300))
+    texts = [f"first of {i}\n\n{long} {i}\nlast of {i}" for i in range(20)] + ["hot line\n***"] * 50 + [None]
+    sample = licenses.corpus_sample(documents(list(enumerate(texts))))
+    want = {x for i in range(20) for x in (f"first of {i}", f"{long} {i}", f"last of {i}")} | {"hot line"}
+    assert len(sample) == len(want) and set(sample) == want
+    many = [(i, "\n".join(f"line {i} {j}" for j in range(100))) for i in range(300)]
+    bounded = licenses.corpus_sample(documents(many))
+    assert len(set(bounded)) == len(bounded) == licenses.MAX_CORPUS_LINES
