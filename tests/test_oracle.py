@@ -9,6 +9,8 @@ import pytest
 
 import __spark_entry__ as entry_module
 from tests.compare import differences, open_tables
+from workload.oracle import ORACLE
+from workload.queries import QUERIES
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
@@ -30,14 +32,18 @@ def connection():
     return open_tables(SF_DIR)
 
 
-@pytest.mark.parametrize("name", list(entry_module.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query(spark, connection, name):
-    df = entry_module.queries()[name](spark, SF_DIR)
-    assert differences(df, connection, entry_module.oracle_sql()[name]) == []
+    assert differences(QUERIES[name](spark, SF_DIR), connection, ORACLE[name]) == []
 
 
-def test_every_query_has_an_oracle():
-    assert set(entry_module.queries()) == set(entry_module.oracle_sql())
+def test_every_payment_query_has_an_oracle():
+    assert set(QUERIES) == set(ORACLE)
+
+
+def test_all_payment_queries_are_registered():
+    assert set(QUERIES) <= set(entry_module.queries())
+    assert set(ORACLE) <= set(entry_module.oracle_sql()) <= set(entry_module.queries())
 
 
 def test_known_summary(spark):

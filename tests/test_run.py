@@ -262,7 +262,7 @@ def test_rows_lost_in_the_stage_stop_the_run(spark, lake, monkeypatch):
 
 def test_scratch_folder_is_removed(spark, lake, monkeypatch, tmp_path):
     scratch = str(tmp_path / "scratch")
-    monkeypatch.setattr(run_plan, "shared_folder", lambda spark: scratch)
+    monkeypatch.setattr(run_plan, "shared_folder", lambda spark, root=None: scratch)
     load(spark, lake, "2016-01-01")
     assert not Path(scratch).exists()
 
