@@ -60,6 +60,12 @@ def apply_arrow(groups: GroupedData, task, schema: str | StructType) -> DataFram
     return groups.applyInArrow(task, schema)
 
 
+def cogroup_arrow(left: GroupedData, right: GroupedData, task, schema: str | StructType) -> DataFrame:
+    """``applyInArrow`` on two grouped tables, for a task that imports this package."""
+    _ship()
+    return left.cogroup(right).applyInArrow(task, schema)
+
+
 def hash_share(rows: DataFrame, key: str, wanted: int) -> DataFrame:
     """All rows if there are few, else those of a share of the key's hashes: about twice ``wanted``.
 

@@ -8,8 +8,23 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from ledgermill.llm import ann, jaccard, licenses, mixing, packing, pii, quality, rules, substrings, urls
+from ledgermill.llm import (
+    ann,
+    collocations,
+    jaccard,
+    licenses,
+    manifest,
+    mixing,
+    packing,
+    pii,
+    quality,
+    rules,
+    simhash,
+    substrings,
+    urls,
+)
 from ledgermill.llm.common import table
+from ledgermill.llm.oracle import OP11_SQL, OP12_SQL
 
 
 def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -95,6 +110,24 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 2000 collocations of each language."""
+    return collocations.collocations(table(spark, sf_dir, "documents")).drop("k")
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Proof of every document, folded with some of the texts given without their line breaks."""
+    altered = F.crc32(F.col("doc_id").cast("string")) % 2 == 0
+    given = F.when(altered, F.replace("text", F.lit("\n"), F.lit(""))).otherwise(F.col("text"))
+    return manifest.prove(manifest.build(table(spark, sf_dir, "documents"), given={"text": given}))
+
+
+def op13_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint of every document, and its component of fingerprints at four or fewer differing bits."""
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", simhash.hex_digits(F.col("fp")).alias("fingerprint"), "component_id")
+
+
 OP10_SQL = r"""
 WITH split AS (
   SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t,
@@ -146,12 +179,17 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_nearest_neighbours": op8_nearest_neighbours,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_quality_rules": op10_quality_rules,
+    "op11_phrase_collocations": op11_phrase_collocations,
+    "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_simhash_dedup": op13_simhash_dedup,
     "pipeline": corpus_pipeline.run,
 }
 
 # The others are tested against brute force, or held-out accuracy, in tests/llm.
 LLM_ORACLE: dict[str, str] = {
     "op10_quality_rules": OP10_SQL,
+    "op11_phrase_collocations": OP11_SQL,
+    "op12_merkle_manifest": OP12_SQL,
 }
 if corpus_pipeline.ORACLE_SQL:
     LLM_ORACLE["pipeline"] = corpus_pipeline.ORACLE_SQL

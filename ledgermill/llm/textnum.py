@@ -18,14 +18,19 @@ SLICE_BYTES = 1 << 20
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
-_SPACE = np.zeros(256, dtype=bool)
-_SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _VALUES = np.random.default_rng(20240601).integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _BACK = np.uint64(pow(int(_BASE), -1, 2**64))
 _STEP = np.uint64(0xD1342543DE82EF95)
 
 
+def byte_set(characters: bytes) -> np.ndarray:
+    """Table by byte value of whether it is one of the characters."""
+    found = np.zeros(256, dtype=bool)
+    found[list(characters)] = True
+    return found
+
+
 def mix(h: np.ndarray) -> np.ndarray:
     """Spreads each bit of 64-bit words over all others."""
     h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
@@ -33,6 +38,9 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
+_SPACE = byte_set(b" \t\n\v\f\r")
+
+
 @dataclass
 class Slice:
     """Some whole texts: word ``i`` has hash ``word[i]`` and bytes ``start[i]:end[i]`` of ``raw``.
@@ -66,10 +74,10 @@ def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers[0], _powers[1]
 
 
-def _tokenise(at: int, raw: np.ndarray, bounds: np.ndarray, lower: bool) -> Slice:
+def _tokenise(at: int, raw: np.ndarray, bounds: np.ndarray, lower: bool, gaps: np.ndarray) -> Slice:
     """``bounds``: byte offsets of the texts in ``raw``, with the end."""
     n = len(raw)
-    space = _SPACE[raw]
+    space = gaps[raw]
     begins = ~space
     previous = np.ones(n, dtype=bool)
     if n:
@@ -92,8 +100,8 @@ def _tokenise(at: int, raw: np.ndarray, bounds: np.ndarray, lower: bool) -> Slic
     return Slice(at, raw, bounds[:-1], word, start, end, first)
 
 
-def slices(texts: pa.Array, lower: bool = True) -> Iterator[Slice]:
-    """The texts of a string column (NULL as empty), slice by slice."""
+def slices(texts: pa.Array, lower: bool = True, gaps: np.ndarray = _SPACE) -> Iterator[Slice]:
+    """The texts of a string column (NULL as empty), slice by slice; ``gaps`` tells which bytes part words."""
     texts = texts.fill_null("")
     offset_type = np.int64 if pa.types.is_large_string(texts.type) else np.int32
     _, offsets, data = texts.buffers()
@@ -105,7 +113,7 @@ def slices(texts: pa.Array, lower: bool = True) -> Iterator[Slice]:
     lo = 0
     while lo < n:
         hi = max(lo + 1, int(np.searchsorted(offsets, offsets[lo] + SLICE_BYTES, side="right")) - 1)
-        yield _tokenise(lo, data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo], lower)
+        yield _tokenise(lo, data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo], lower, gaps)
         lo = hi
 
 

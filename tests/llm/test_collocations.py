@@ -1,0 +1,125 @@
+from __future__ import annotations
+
+import random
+import re
+from collections import Counter, defaultdict
+
+import pytest
+
+from ledgermill.llm import collocations
+from ledgermill.llm.collocations import frequent_phrases, not_covered, score_phrases
+
+UPPER = {ord(c): c.lower() for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZ"}
+
+
+def brute_counts(rows, most=4):
+    """{language: {tuple of words: count}}, the empty tuple standing for all words."""
+    counts = defaultdict(Counter)
+    for text, lang in rows:
+        lang = "und" if lang is None else lang
+        for piece in re.split("[.,;:!?\n\v\f\r]", (text or "").translate(UPPER)):
+            words = [w for w in re.split("[ \t]+", piece) if w]
+            counts[lang][()] += len(words)
+            for k in range(1, most + 1):
+                counts[lang].update(tuple(words[i : i + k]) for i in range(len(words) - k + 1))
+    return counts
+
+
+def brute(rows, min_count, covered=80, most_ranks=2000):
+    result = []
+    for lang, f in brute_counts(rows).items():
+        found = {p: a for p, a in f.items() if len(p) > 1 and a >= min_count}
+        scored = []
+        for p, a in found.items():
+            cuts = [(2_000_000 * a // (f[p[:k]] + f[p[k:]]), k) for k in range(1, len(p))]
+            score, k = min(cuts)
+            inside = [
+                b for q, b in found.items()
+                if len(q) > len(p) and any(q[i : i + len(p)] == p for i in range(len(q) - len(p) + 1))
+            ]
+            if all(100 * b < covered * a for b in inside):
+                scored.append((-score, -a, " ".join(p).encode(), f[p[:k]], f[p[k:]]))
+        for rank, (score, a, p, l, r) in enumerate(sorted(scored)[:most_ranks], 1):
+            result.append((lang, rank, p.decode(), -a, l, r, f[()], -score))
+    return sorted(result)
+
+
+def rows_of(df):
+    columns = ["lang", "rank", "phrase", "a", "l", "r", "n", "score"]
+    return sorted(tuple(r[c] for c in columns) for r in df.collect())
+
+
+def frame(spark, rows):
+    full = [(i, t, lang, "x", 3, "y") for i, (t, lang) in enumerate(rows)]
+    return spark.createDataFrame(full, "doc_id long, text string, lang string, phrase string, n long, words string")
+
+
+@pytest.fixture(scope="module")
+def corpus():
+    """Few words, so that phrases overlap, nest and tie; odd gaps, breaks and languages."""
+    rng = random.Random(7)
+    gaps = [" ", " ", " ", "  ", "\t", ". ", ", ", "\n", "!\r\n", "\x0b"]
+    stock = ["Aa", "b", "Čc", "č", "dd", "É", "e e", "\u0085", "x" * 40]
+    rows = []
+    for _ in range(120):
+        text = "".join(rng.choice(stock[: rng.randint(2, 9)]) + rng.choice(gaps) for _ in range(rng.randint(0, 80)))
+        rows.append((text, rng.choice(["en", "en", "de", None, "und", ""])))
+    return [*rows, *[rows[0]] * 30, (None, "en"), ("", None), (" \t\n.", "fr"), ("a b", "one"), ("A a A a " * 50, "it")]
+
+
+@pytest.mark.parametrize("min_count, covered", [(3, 80), (10, 50), (30, 100)])
+def test_against_brute_force(spark, corpus, min_count, covered):
+    found = collocations.collocations(frame(spark, corpus), min_count=min_count, covered=covered)
+    assert rows_of(found) == brute(corpus, min_count, covered)
+
+
+def test_first_ranks_only_and_dealt_sorting(spark, corpus, monkeypatch):
+    monkeypatch.setattr(collocations, "SORT_ROWS", 10)
+    found = collocations.collocations(frame(spark, corpus), min_count=2, most_ranks=7)
+    assert rows_of(found) == brute(corpus, 2, most_ranks=7)
+
+
+def test_small_flushes_buckets_and_bitmap_lose_nothing(spark, corpus, monkeypatch):
+    """Counts above 255, many buckets, and a bitmap that lets nearly everything through."""
+    monkeypatch.setattr(collocations, "FLUSH_PHRASES", 50)
+    monkeypatch.setattr(collocations, "BUCKET_PHRASES", 100)
+    monkeypatch.setattr(collocations, "MOST_BITS", 3)
+    rows = [*corpus, *[("so it goes", "en")] * 600]
+    counts = brute_counts(rows)
+    got = {(r.lang, r.phrase): r.n for r in frequent_phrases(frame(spark, rows), 5).collect()}
+    wanted = {
+        (lang, " ".join(p) if p else None): n for lang, f in counts.items() for p, n in f.items() if n >= 5 or not p
+    }
+    assert got == wanted
+
+
+def test_shard_supports_are_lowered_in_proportion(spark, monkeypatch):
+    """A phrase spread evenly is found, though no shard has the whole support."""
+    seen = []
+    mined = collocations._mined
+    monkeypatch.setattr(collocations, "_mined", lambda n, need, *rest: seen.append(need) or mined(n, need, *rest))
+    rows = [(f"left right {i} {i}", "en") for i in range(400)]
+    got = {r.phrase: r.n for r in frequent_phrases(frame(spark, rows), 400).collect() if r.phrase}
+    assert got == {"left": 400, "right": 400, "left right": 400}
+    assert all(1 < n < 100 for n in seen[0])
+
+
+def test_exact_beyond_64_bits(spark):
+    big = 3 * 10**17
+    rows = [("en", "a", big), ("en", "b", big + 1), ("en", "a b", big - 1), ("en", None, 9 * big)]
+    phrases = spark.createDataFrame(rows, "lang string, phrase string, n long")
+    row = score_phrases(phrases).first()
+    assert (row.l, row.r, row.score) == (big, big + 1, 2_000_000 * (big - 1) // (2 * big + 1))
+    assert not_covered(score_phrases(phrases)).count() == 1
+
+
+def test_empty_table(spark):
+    found = collocations.collocations(frame(spark, []))
+    assert found.count() == 0
+    assert found.columns == ["lang", "rank", "phrase", "a", "k", "l", "r", "n", "score"]
+
+
+def test_very_long_text(spark):
+    text = " ".join(f"w{i % 50}" for i in range(300_000))
+    got = rows_of(collocations.collocations(frame(spark, [(text, "en"), ("z " * 200_000, "fr")])))
+    assert got == brute([(text, "en"), ("z " * 200_000, "fr")], 30)

@@ -1,0 +1,135 @@
+from __future__ import annotations
+
+import hashlib
+import zlib
+
+import pytest
+from pyspark.sql import functions as F
+
+from ledgermill.llm import manifest
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, grp string, lo string, digest long, level int"
+
+
+def sha(text):
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
+def leaf(row, text):
+    doc_id, _, lang, source, n_chars = row[:5]
+    told = ["-" if v is None else f"{len(str(v).encode())}:{v}" for v in (doc_id, source, lang, n_chars, text)]
+    return sha("".join(told))
+
+
+def climb(digests):
+    """(top, proof of each leaf as (before, after) by level)."""
+    paths, at = [[] for _ in digests], list(range(len(digests)))
+    while len(digests) > 1:
+        for i, p in enumerate(at):
+            run = p - p % 3
+            paths[i].append(("".join(digests[run:p]), "".join(digests[p + 1 : run + 3])))
+        digests = [sha("".join(digests[i : i + 3])) for i in range(0, len(digests), 3)]
+        at = [p // 3 for p in at]
+    return digests[0], paths
+
+
+def brute(rows, altered):
+    by_source = {}
+    for row in rows:
+        by_source.setdefault(row[3], []).append(row)
+    order = sorted(by_source, key=lambda s: (s is not None, (s or "").encode()))
+    sources = []
+    for s in order:
+        found = sorted((r[0] is not None, r[0] or 0, leaf(r, r[1]), r[:9]) for r in by_source[s])
+        sources.append((found, *climb([f[2] for f in found])))
+    root, over = climb([s[1] for s in sources])
+    result = []
+    for (found, subroot, paths), above in zip(sources, over):
+        for (_, _, digest, row), path in zip(found, paths):
+            now = leaf(row, row[1].replace("\n", "")) if row[1] is not None and altered(row) else digest
+            for before, after in path + above:
+                now = sha(before + now + after)
+            proof = sha("".join(b + a for b, a in path + above))
+            result.append((row[0], digest, subroot, root, proof, now, now == root))
+    return sorted(result, key=str)
+
+
+def every_other(row):
+    return row[0] is not None and zlib.crc32(str(row[0]).encode()) % 2 == 0
+
+
+def prove(spark, rows, siblings=False):
+    docs = spark.createDataFrame(rows, SCHEMA)
+    altered = F.crc32(F.col("doc_id").cast("string")) % 2 == 0
+    given = F.when(altered, F.replace("text", F.lit("\n"), F.lit(""))).otherwise(F.col("text"))
+    return manifest.prove(manifest.build(docs, given={"text": given}), siblings)
+
+
+def rows_of(df):
+    return sorted((tuple(r)[:7] for r in df.collect()), key=str)
+
+
+def document(doc_id, source, text="a\nb", lang="en", n_chars=3):
+    return (doc_id, text, lang, source, n_chars, "x", "y", 1, 2)
+
+
+@pytest.mark.parametrize("sizes", [[1], [2], [3], [4], [9], [10], [1, 1], [27, 28, 1, 5], [1] * 30])
+def test_against_brute_force(spark, sizes):
+    rows = [document(97 * i + 1000 * s, f"s{s}") for s, n in enumerate(sizes) for i in range(n)]
+    assert rows_of(prove(spark, rows)) == brute(rows, every_other)
+
+
+def test_several_bands(spark, monkeypatch):
+    """Bands of two levels, small tasks: paths go through four bands and end at different ones."""
+    monkeypatch.setattr(manifest, "BAND", 2)
+    monkeypatch.setattr(manifest, "TASK_LEAVES", 20)
+    rows = [document(7 * i, "hot") for i in range(800)]
+    rows += [document(10_000 + i, f"s{i % 90}") for i in range(400)]
+    rows += [document(20_000 + i, "mid") for i in range(82)]
+    assert rows_of(prove(spark, rows)) == brute(rows, every_other)
+
+
+def test_more_than_one_block(spark):
+    rows = [document(i, "hot" if i % 4 else None, f"t\n{i}") for i in range(3_000)]
+    assert rows_of(prove(spark, rows)) == brute(rows, every_other)
+
+
+def test_odd_rows(spark):
+    rows = [
+        document(1, None, None, None, None), document(1, None, "", None, None), document(None, "é", "\n"),
+        document(None, "é", "\n"), document(None, None, "z\n"), document(5, ""), document(5, ""), document(5, "", "\n\n"),
+        document(-7, "Z", "\n" * 10_000), document(8, "z", "x\n" * 200_000), document(9, "ä"), document(10, "\U0001f600"),
+        document(11, "￿"), document(12, "a:b,c"),
+    ]
+    assert rows_of(prove(spark, rows)) == brute(rows, every_other)
+
+
+def test_empty_table(spark):
+    found = prove(spark, [])
+    assert found.count() == 0
+    assert found.columns == ["doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified"]
+
+
+def test_nodes_cover_intervals(spark):
+    rows = [document(i, "s" if i < 800 else "t") for i in range(1_000)]
+    built = manifest.build(spark.createDataFrame(rows, SCHEMA))
+    nodes = built.nodes.collect()
+    assert built.root and {r.source: r.n for r in built.sources.collect()} == {"s": 800, "t": 200}
+    for n in nodes:
+        assert n.lo % 3**n.level == 0 and n.hi == min(n.lo + 3**n.level, n.n)
+    widths = {}
+    for n in nodes:
+        widths.setdefault((n.grp, n.level), []).append((n.lo, n.hi))
+    for (_, _), spans in widths.items():
+        spans.sort()
+        assert spans[0][0] == 0 and all(a[1] == b[0] for a, b in zip(spans, spans[1:]))
+
+
+def test_siblings_prove_the_root(spark):
+    rows = [document(i, f"s{i % 7}") for i in range(200)]
+    for row in prove(spark, rows, siblings=True).collect():
+        now = row.leaf
+        for step in row.siblings:
+            now = sha(step.before + now + step.after)
+        assert now == row.root
+        assert sha("".join(s.before + s.after for s in row.siblings)) == row.proof_sha256
