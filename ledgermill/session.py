@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import atexit
 import math
 import re
+import shutil
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -68,6 +72,24 @@ def shared_folder(spark: SparkSession, root: str | None = None) -> str:
     return f"{chosen.rstrip('/')}/ledgermill-{uuid.uuid4().hex}"
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors, once per application, for Arrow steps that import it."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    package, folder = Path(__file__).resolve().parent, tempfile.mkdtemp()
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    archive = Path(folder) / f"{package.name}.zip"
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as out:
+        for source in sorted(package.rglob("*.py")):
+            out.write(source, source.relative_to(package.parent))
+    context.addPyFile(str(archive))
+    _shipped.add(context.applicationId)
+
+
 def _file_system(spark: SparkSession, path: str):
     """Hadoop file system holding ``path``, and the path as that system takes it."""
     hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 from ledgermill.functions import step_day_index
 from ledgermill.schema import PAYLOAD_FIELDS, PAYLOAD_SCHEMA
 from ledgermill.session import path_exists
+from ledgermill.sources.multiline import read_records
 
 # Delivery guarantees of the message writer.
 DELIVERY_OPTIONS = {
@@ -32,11 +33,23 @@ def read_raw_csv(spark: SparkSession, path: str, multi_line: bool = False) -> Da
     """Header CSV with every value kept as text; an empty field stays an empty text.
 
     Fields go by their names in the header, whatever their order; other columns are left out.
-    ``multi_line`` allows line breaks inside quotes, at the price of one task per file.
+    ``multi_line`` allows line breaks inside quotes. A file is then still read by many tasks, in two
+    passes (see ``multiline``).
     """
     schema = _header_schema(spark, path)
-    options = CSV_OPTIONS | {"multiLine": str(multi_line).lower()}
-    return _as_text(spark.read.schema(schema).options(**options).csv(path))
+    if not multi_line:
+        return _as_text(spark.read.schema(schema).options(**CSV_OPTIONS).csv(path))
+    options = CSV_OPTIONS | {"multiLine": "true"}
+    names = [f"`{name}` STRING" for name in schema.names]
+    fields = F.from_csv("text", ", ".join(names), options)
+    told = F.concat(F.lit("CSV header does not agree with the schema: "), "file")
+    header = F.array(*[F.coalesce(F.col("fields")[name], F.lit("")) for name in schema.names])
+    as_expected = header == F.array(*[F.lit(name) for name in schema.names])
+    is_data = F.when(~F.col("first"), True).otherwise(
+        F.when(as_expected, False).otherwise(F.raise_error(told).cast("boolean"))
+    )
+    records = read_records(spark, path).withColumn("fields", fields).filter(is_data)
+    return _as_text(records.select("fields.*"))
 
 
 def stream_raw_csv(spark: SparkSession, path: str) -> DataFrame:
