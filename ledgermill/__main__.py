@@ -11,6 +11,7 @@ from ledgermill.schema import STEP_EPOCH
 from ledgermill.session import build_session, path_exists
 from ledgermill.sources import raw, tables
 from ledgermill.sources.bronze import read_bronze
+from ledgermill.streaming.arrivals import arrivals_stream, read_arrivals
 from ledgermill.streaming.ingest import ROLL_RECORDS, ROLL_SECONDS, ingest_stream
 
 
@@ -38,6 +39,16 @@ def _parser() -> argparse.ArgumentParser:
     ingest.add_argument("--roll-seconds", type=int, default=ROLL_SECONDS)
     ingest.add_argument("--available-now", action="store_true")
 
+    arrivals = commands.add_parser("arrivals", help="counts of messages by event day, for the gate")
+    arrivals.add_argument("--servers", required=True)
+    arrivals.add_argument("--topic", required=True)
+    arrivals.add_argument("--arrivals-path", required=True)
+    arrivals.add_argument("--checkpoint", required=True)
+    arrivals.add_argument("--min-partitions", type=int, help="tasks that share the topic partitions")
+    arrivals.add_argument("--max-offsets", type=int, help="messages to take in per batch")
+    arrivals.add_argument("--step-epoch", default=STEP_EPOCH)
+    arrivals.add_argument("--available-now", action="store_true")
+
     silver = commands.add_parser("silver", help="Bronze to Silver and quarantine")
     silver.add_argument("--bronze-path", required=True)
     silver.add_argument("--silver-path", required=True)
@@ -51,7 +62,9 @@ def _parser() -> argparse.ArgumentParser:
     gold.add_argument("--gold-path", required=True)
 
     ready = commands.add_parser("ready", help="exit 0 once an event day has arrived, else 1")
-    ready.add_argument("--bronze-path", required=True)
+    counted = ready.add_mutually_exclusive_group(required=True)
+    counted.add_argument("--bronze-path", help="count the records of Bronze")
+    counted.add_argument("--arrivals-path", help="read the counts that the arrivals stream keeps")
     ready.add_argument("--day", required=True)
     ready.add_argument("--done-marker")
     ready.add_argument("--step-epoch", default=STEP_EPOCH)
@@ -116,6 +129,18 @@ def _ingest(spark, args) -> int:
     return 0
 
 
+def _arrivals(spark, args) -> int:
+    messages = spark.readStream.format("kafka").options(**_message_options(args)).load()
+    arrivals_stream(
+        messages,
+        args.arrivals_path,
+        args.checkpoint,
+        args.step_epoch,
+        available_now=args.available_now,
+    ).awaitTermination()
+    return 0
+
+
 def _silver(spark, args) -> int:
     report = load_silver(
         spark,
@@ -136,11 +161,16 @@ def _gold(spark, args) -> int:
 
 
 def _ready(spark, args) -> int:
-    if not path_exists(spark, args.bronze_path):
+    done = _feed_done(spark, args)
+    if args.arrivals_path:
+        counts = read_arrivals(spark, args.arrivals_path)
+        state = gate.day_ready_from(counts, args.day, done).first()
+    elif path_exists(spark, args.bronze_path):
+        bronze = read_bronze(spark, args.bronze_path, args.ingest_from, args.ingest_to)
+        state = gate.day_ready(bronze, args.day, done, args.step_epoch).first()
+    else:
         print(f"day={args.day} no Bronze yet")
         return 1
-    bronze = read_bronze(spark, args.bronze_path, args.ingest_from, args.ingest_to)
-    state = gate.day_ready(bronze, args.day, _feed_done(spark, args), args.step_epoch).first()
     print(f"day={args.day} rows={state.day_rows} later={state.later_rows} ready={state.ready}")
     return 0 if state.ready else 1
 
@@ -168,6 +198,7 @@ def _feed_done(spark, args) -> bool:
 COMMANDS = {
     "publish": _publish,
     "ingest": _ingest,
+    "arrivals": _arrivals,
     "silver": _silver,
     "gold": _gold,
     "ready": _ready,

@@ -52,23 +52,49 @@ def day_ready(
     )
 
 
+def day_ready_from(arrivals: DataFrame, day: str | date, feed_done: bool = False) -> DataFrame:
+    """The same row from per-day counts ``tx_date, day_rows``, as ``arrived_by_day`` or the stream keeps them."""
+    target = F.lit(as_day(day))
+
+    def rows(days: Column) -> Column:
+        return F.coalesce(F.sum(F.when(days, F.col("day_rows"))), F.lit(0))
+
+    return arrivals.agg(
+        rows(F.col("tx_date") == target).alias("day_rows"),
+        rows(F.col("tx_date") > target).alias("later_rows"),
+    ).withColumn(
+        "ready", (F.col("day_rows") > 0) & ((F.col("later_rows") > 0) | F.lit(feed_done))
+    )
+
+
+def arrived_by_day(
+    bronze: DataFrame, step_epoch: str = STEP_EPOCH, validate_step: bool = True
+) -> DataFrame:
+    """``tx_date, day_rows`` of every event day seen."""
+    return (
+        bronze.select(arrival_day(step_epoch, validate_step).alias("tx_date"))
+        .filter("tx_date IS NOT NULL")
+        .groupBy("tx_date")
+        .agg(F.count(F.lit(1)).alias("day_rows"))
+    )
+
+
 def ready_days(
     bronze: DataFrame,
     feed_done: bool = False,
     step_epoch: str = STEP_EPOCH,
     validate_step: bool = True,
 ) -> DataFrame:
-    """``tx_date, day_rows, ready`` of every day seen; all days but the last have a later one.
+    """``tx_date, day_rows, ready`` of every day seen; all days but the last have a later one."""
+    return ready_days_from(arrived_by_day(bronze, step_epoch, validate_step), feed_done)
+
+
+def ready_days_from(arrivals: DataFrame, feed_done: bool = False) -> DataFrame:
+    """The same from per-day counts.
 
-    The last day comes from the same per-day counts. It takes the count along, which it has no use
-    for, so that both readers share one exchange and Bronze is read once.
+    The last day comes from these counts too. It takes the count along, which it has no use for, so
+    that both readers share one exchange and what is counted is read once.
     """
-    days = (
-        bronze.select(arrival_day(step_epoch, validate_step).alias("tx_date"))
-        .filter("tx_date IS NOT NULL")
-        .groupBy("tx_date")
-        .agg(F.count(F.lit(1)).alias("day_rows"))
-    )
-    last = days.agg(F.max_by("tx_date", F.struct("tx_date", "day_rows")))
+    last = arrivals.agg(F.max_by("tx_date", F.struct("tx_date", "day_rows")))
     later_day_seen = F.col("tx_date") < last.scalar()
-    return days.withColumn("ready", later_day_seen | F.lit(feed_done))
+    return arrivals.withColumn("ready", later_day_seen | F.lit(feed_done))

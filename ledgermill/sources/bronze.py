@@ -1,4 +1,4 @@
-"""Bronze: flat JSON lines below ``date=YYYY-MM-DD`` folders of the ingest day."""
+"""Bronze: flat JSON lines below ``date=YYYY-MM-DD/batch=N`` folders, by ingest day and landing batch."""
 
 from __future__ import annotations
 
@@ -10,6 +10,10 @@ from pyspark.sql import types as T
 
 from ledgermill.functions import ingest_date
 from ledgermill.schema import BRONZE_SCHEMA, CORRUPT_FIELD, RAW_VALUE_FIELD, as_day
+from ledgermill.session import list_paths
+
+# Partition below the ingest day: the batch that landed the records.
+BATCH_FIELD = "batch"
 
 READ_SCHEMA = T.StructType(
     BRONZE_SCHEMA.fields
@@ -40,6 +44,7 @@ def read_bronze(
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT_FIELD)
         .json(path)
+        .select(READ_SCHEMA.fieldNames())
     )
     undated = F.col("date").isNull()
     if ingest_from is not None:
@@ -49,17 +54,30 @@ def read_bronze(
     return bronze
 
 
-def write_bronze(bronze: DataFrame, path: str, mode: str = "append") -> None:
-    """Land a batch of records by ingest day, as the ingest stream does for messages.
+def write_batch(rows: DataFrame, path: str, number: int, roll_records: int = 0) -> None:
+    """Land rows that have their ``date`` as batch ``number`` of a feed.
 
-    The rebalance keeps the number of files near size / advisory partition size, and splits a day
-    that holds most of the rows over several tasks. A folder has one kind of writer: readers of a
-    folder that the ingest stream fills follow the stream's own log and see no other files.
+    Landing the same batch again replaces its folders, and only those. Files are rolled after
+    ``roll_records`` records, 0 sets no limit.
     """
     (
-        bronze.withColumn("date", ingest_date("kafka_timestamp"))
-        .hint("rebalance", "date")
-        .write.mode(mode)
-        .partitionBy("date")
+        rows.withColumn(BATCH_FIELD, F.lit(number))
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .option("maxRecordsPerFile", roll_records)
+        .partitionBy("date", BATCH_FIELD)
         .json(path)
     )
+
+
+def write_bronze(bronze: DataFrame, path: str) -> None:
+    """Land records outside a feed, in a batch of its own after those that are there.
+
+    The rebalance keeps the number of files near size / advisory partition size, and splits a day
+    that holds most of the rows over several tasks. A folder has one kind of writer: a feed numbers its
+    batches by its checkpoint.
+    """
+    found = list_paths(bronze.sparkSession, f"{path.rstrip('/')}/date=*/{BATCH_FIELD}=*")
+    number = max((int(name.rsplit("=", 1)[1]) for name in found), default=-1) + 1
+    rows = bronze.withColumn("date", ingest_date("kafka_timestamp"))
+    write_batch(rows.hint("rebalance", "date"), path, number)

@@ -67,31 +67,46 @@ def read_quarantine(spark: SparkSession, silver_path: str) -> DataFrame:
     return spark.read.schema(QUARANTINE_SCHEMA).parquet(path)
 
 
-def write_gold(gold: DataFrame, path: str, name: str) -> None:
-    """Rebuild one Gold table as a whole, or not at all.
+def write_version(table: DataFrame, path: str, number: int) -> None:
+    """Write a small table as a whole, or not at all, as version ``number``.
 
-    Each build goes to a folder of its own. Readers take the newest finished one, so a build that
-    fails leaves the table as it was. Builds older than the one before are dropped.
+    Each version goes to a folder of its own and writing it again replaces it. Readers take the newest
+    finished one, so a write that fails leaves the table as it was. Versions older than the one before
+    are dropped.
     """
-    spark = gold.sparkSession
-    before = _builds(spark, path, name)
-    number = int(before[-1].rsplit("=", 1)[1]) + 1 if before else 1
-    gold.write.mode("overwrite").parquet(f"{path.rstrip('/')}/{name}/build={number:09d}")
+    before = [v for v in _versions(table.sparkSession, path) if _number(v) < number]
+    table.write.mode("overwrite").parquet(f"{path.rstrip('/')}/version={number:012d}")
     for old in before[:-1]:
-        drop_folder(spark, old)
+        drop_folder(table.sparkSession, old)
+
 
+def _number(version: str) -> int:
+    return int(version.rsplit("=", 1)[1])
 
-def _builds(spark: SparkSession, path: str, name: str) -> list[str]:
-    """Folders of the finished builds, oldest first."""
-    done = list_paths(spark, f"{path.rstrip('/')}/{name}/build=*/_SUCCESS")
+
+def _versions(spark: SparkSession, path: str) -> list[str]:
+    """Folders of the finished versions, oldest first."""
+    done = list_paths(spark, f"{path.rstrip('/')}/version=*/_SUCCESS")
     return sorted(marker.rsplit("/", 1)[0] for marker in done)
 
 
+def newest_version(spark: SparkSession, path: str) -> str | None:
+    """Folder of the newest finished version."""
+    return next(reversed(_versions(spark, path)), None)
+
+
+def write_gold(gold: DataFrame, path: str, name: str) -> None:
+    """Rebuild one Gold table as a whole, or not at all (see ``write_version``)."""
+    folder = f"{path.rstrip('/')}/{name}"
+    newest = newest_version(gold.sparkSession, folder)
+    write_version(gold, folder, _number(newest) + 1 if newest else 1)
+
+
 def read_gold(spark: SparkSession, path: str, name: str) -> DataFrame:
-    builds = _builds(spark, path, name)
-    if not builds:
+    newest = newest_version(spark, f"{path.rstrip('/')}/{name}")
+    if newest is None:
         raise FileNotFoundError(f"no finished build of {name} below {path}")
-    return spark.read.parquet(builds[-1])
+    return spark.read.parquet(newest)
 
 
 def write_metrics(metrics: DataFrame, path: str) -> None:

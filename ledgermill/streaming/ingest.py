@@ -9,6 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ledgermill.functions import ingest_date
 from ledgermill.schema import CORRUPT_FIELD, PAYLOAD_FIELDS, PAYLOAD_SCHEMA, RAW_VALUE_FIELD
+from ledgermill.sources.bronze import write_batch
 
 MESSAGE_SCHEMA = T.StructType(
     PAYLOAD_SCHEMA.fields + [T.StructField(CORRUPT_FIELD, T.StringType())]
@@ -58,21 +59,22 @@ def ingest_stream(
 ) -> StreamingQuery:
     """Start the query that lands messages as JSON lines below ``date=`` folders.
 
-    The checkpoint records what was landed, so a restart neither repeats nor skips a message.
+    The checkpoint records which messages make up each batch, and a batch lands in folders that bear its
+    number. One that is repeated after a failure replaces what it had landed, so a restart neither
+    repeats nor skips a message, and there is no list of files that grows with the feed.
     ``available_now`` takes in what is there and stops. A large feed should raise ``roll_records``:
     a thousand records are well under a megabyte.
     """
     trigger = (
         {"availableNow": True} if available_now else {"processingTime": f"{roll_seconds} seconds"}
     )
+
+    def land(batch: DataFrame, number: int) -> None:
+        write_batch(to_bronze(batch), bronze_path, number, roll_records)
+
     return (
-        to_bronze(messages)
-        .writeStream.format("json")
-        .outputMode("append")
-        .option("path", bronze_path)
+        messages.writeStream.foreachBatch(land)
         .option("checkpointLocation", checkpoint)
-        .option("maxRecordsPerFile", roll_records)
-        .partitionBy("date")
         .trigger(**trigger)
         .start()
     )

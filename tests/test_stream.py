@@ -6,9 +6,10 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from ledgermill.operators import silver, validation
+from ledgermill.operators import gate, silver, validation
 from ledgermill.sources import raw
 from ledgermill.sources.bronze import read_bronze
+from ledgermill.streaming.arrivals import arrivals_stream, read_arrivals
 from ledgermill.streaming.ingest import ingest_stream
 from tests.records import bronze, record
 
@@ -99,10 +100,75 @@ def test_files_are_rolled(feed):
     deliver, _, land, target = feed
     deliver(*[record(nameOrig=f"C{n}") for n in range(2500)])
     land()
-    sizes = [len(p.read_text().splitlines()) for p in target.glob("date=*/*.json")]
+    sizes = [len(p.read_text().splitlines()) for p in target.glob("date=*/batch=*/*.json")]
     assert sorted(sizes) == [500, 1000, 1000]
 
 
+def test_a_repeated_batch_changes_nothing_and_no_log_grows(feed, tmp_path):
+    deliver, _, land, target = feed
+    deliver(*[record(nameOrig=f"C{n}") for n in range(30)])
+    deliver(record(nameOrig="C30"), at="2026-01-02 00:00:01")
+    before = sorted(land().collect())
+    _forget_last_commit(tmp_path / "checkpoint")
+    deliver(record(nameOrig="C31"), at="2026-01-02 00:00:02")
+    after = sorted(land().collect())
+    assert len(before) == 31 and len(after) == 32 and set(before) < set(after)
+    assert {p.name for p in target.glob("date=*/*")} == {"batch=0", "batch=1"}
+    assert not list(target.rglob("_spark_metadata"))
+
+
+def _forget_last_commit(checkpoint):
+    """As if the query had died after its last batch was written and before that was recorded."""
+    last = max(int(p.name) for p in (checkpoint / "commits").glob("[0-9]*"))
+    for name in (f"{last}", f".{last}.crc"):
+        (checkpoint / "commits" / name).unlink()
+
+
+@pytest.fixture
+def count_arrivals(spark, tmp_path, feed):
+    source, target, checkpoint = (str(tmp_path / n) for n in ("messages", "arrivals", "counting"))
+
+    def count(**options):
+        stream = spark.readStream.schema(MESSAGES).parquet(source)
+        arrivals_stream(stream, target, checkpoint, available_now=True, **options).awaitTermination()
+        return read_arrivals(spark, target)
+
+    return count
+
+
+def test_the_stream_keeps_what_the_gate_needs(spark, feed, count_arrivals, tmp_path):
+    deliver, deliver_text, land, _ = feed
+    assert read_arrivals(spark, str(tmp_path / "arrivals")).count() == 0
+    assert gate.day_ready_from(read_arrivals(spark, str(tmp_path / "arrivals")), "2016-01-01", True).first().ready is False
+    deliver(record(step="1"), record(step="24"), record(step="25"), record(step="744"), record(step="x"))
+    deliver_text("no JSON")
+    counts = count_arrivals()
+    assert {tuple(r) for r in counts.collect()} == {(date(2016, 1, 1), 2), (date(2016, 1, 2), 1)}
+    deliver(record(step="49"), record(step="1"))
+    counts = count_arrivals()
+    assert {tuple(r) for r in counts.collect()} == {(date(2016, 1, n), k) for n, k in ((1, 3), (2, 1), (3, 1))}
+    assert sorted(gate.ready_days_from(counts).collect()) == sorted(gate.ready_days(land()).collect())
+    for day, done in (("2016-01-01", False), ("2016-01-03", False), ("2016-01-03", True), ("2016-01-04", True)):
+        assert gate.day_ready_from(counts, day, done).first() == gate.day_ready(land(), day, done).first()
+
+
+def test_a_repeated_batch_counts_nothing_twice(feed, count_arrivals, tmp_path):
+    deliver, _, _, _ = feed
+    for n in range(4):
+        deliver(record(step=str(1 + 24 * n)))
+        count_arrivals()
+    assert count_arrivals().count() == 4
+    _forget_last_commit(tmp_path / "counting")
+    assert {r.day_rows for r in count_arrivals().collect()} == {1}
+    assert len(list((tmp_path / "arrivals").glob("version=*"))) == 2
+
+
+def test_every_integer_step_can_be_counted(feed, count_arrivals):
+    deliver, _, _, _ = feed
+    deliver(record(step="744"), record(step="0"))
+    assert {r.tx_date for r in count_arrivals(validate_step=False).collect()} == {date(2016, 1, 31), date(2015, 12, 31)}
+
+
 def test_numbers_in_a_message_stay_text(feed):
     _, deliver_text, land, _ = feed
     deliver_text('{"step": 7, "amount": 5.25}')

@@ -109,7 +109,7 @@ def test_a_failing_rebuild_leaves_the_old_gold(spark, tmp_path):
     for n in (7, 8):
         tables.write_gold(spark.range(n), path, "t")
     assert tables.read_gold(spark, path, "t").count() == 8
-    assert len(list((tmp_path / "gold" / "t").glob("build=*"))) == 2
+    assert len(list((tmp_path / "gold" / "t").glob("version=*"))) == 2
     with pytest.raises(FileNotFoundError):
         tables.read_gold(spark, path, "none")
 

@@ -308,10 +308,15 @@ def _csv_fields() -> str:
 
 ORACLE: dict[str, str] = {
     "q_raw_csv": f"WITH {RAW} SELECT {_csv_fields()} FROM raw",
+    "q_raw_csv_multiline": f"""WITH {RAW}, broken AS (SELECT * REPLACE (
+        '"' || nameOrig || chr(10) || ',"' || chr(10) || type AS nameOrig) FROM raw)
+        SELECT {", ".join(f"COALESCE({name}, '') AS {name}" for name in PAYLOAD.split(", "))} FROM broken""",
     "q_messages": f"WITH {RAW} SELECT nameOrig AS key, {_json_fields(True)} AS value FROM raw",
     "q_first_days": f"""WITH {RAW} SELECT {PAYLOAD} FROM raw
         WHERE FLOOR((TRY_CAST(step AS INTEGER) - 1) / 24.0) < 3""",
     "q_stream_ingest": f"WITH {BRONZE} {LANDED}",
+    "q_stream_roll": f"""WITH {BRONZE}, landed AS ({LANDED})
+        SELECT date, COUNT(*) AS n, CAST(0 AS BIGINT) AS over_full FROM landed GROUP BY 1""",
     "q_bronze_scan": f"WITH {BRONZE} {LANDED}",
     "q_silver_by_type": f"""WITH {SILVER} SELECT type, COUNT(*) AS tx_count,
         CAST(SUM(amount) AS DECIMAL(28,2)) AS total_amount FROM silver GROUP BY 1""",
@@ -415,6 +420,10 @@ ORACLE: dict[str, str] = {
         SELECT tx_date, COUNT(*) AS day_rows,
                tx_date < (SELECT MAX(tx_date) FROM arrivals) AS ready
         FROM arrivals GROUP BY 1""",
+    "q_stream_ready_days": f"""WITH {BRONZE}, {_ready(True)}
+        SELECT tx_date, COUNT(*) AS day_rows,
+               tx_date < (SELECT MAX(tx_date) FROM arrivals) AS ready
+        FROM arrivals GROUP BY 1""",
     "q_run_days": f"WITH {SILVER} {SILVER_COLUMNS}",
     "q_metrics": _metrics(),
     "q_runs_by_day": f"WITH {RUN_LOG} SELECT * FROM runs",

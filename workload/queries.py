@@ -16,7 +16,8 @@ from ledgermill.schema import PAYLOAD_FIELDS, SILVER_SCHEMA
 from ledgermill.session import shared_folder
 from ledgermill.sources import bronze as bronze_files
 from ledgermill.sources import raw, tables
-from ledgermill.streaming.ingest import ingest_stream
+from ledgermill.streaming.arrivals import arrivals_stream, read_arrivals
+from ledgermill.streaming.ingest import ROLL_RECORDS, ingest_stream
 from workload import inputs
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -75,6 +76,15 @@ def q_raw_csv(spark, sf_dir):
     return raw.read_raw_csv(spark, path)
 
 
+def q_raw_csv_multiline(spark, sf_dir):
+    """Account names with line breaks, quotes and commas inside quotes, each file read by many tasks."""
+    path = shared_folder(spark)
+    broken = F.concat(F.lit('"'), "nameOrig", F.lit('\n,"\n'), "type")
+    records = inputs.raw_records(spark, sf_dir).withColumn("nameOrig", broken)
+    records.select(PAYLOAD_FIELDS).write.option("header", True).option("escape", '"').csv(path)
+    return raw.read_raw_csv(spark, path, multi_line=True)
+
+
 def q_messages(spark, sf_dir):
     return raw.to_messages(inputs.raw_records(spark, sf_dir))
 
@@ -83,23 +93,36 @@ def q_first_days(spark, sf_dir):
     return raw.first_days(inputs.raw_records(spark, sf_dir), FEED_DAYS).select(PAYLOAD_FIELDS)
 
 
+def _stream(spark, sf_dir, folder):
+    """The messages as a stream over files, since no broker is at hand."""
+    inputs.messages(spark, sf_dir).write.parquet(f"{folder}/messages")
+    schema = "key string, value string, timestamp timestamp"
+    return spark.readStream.schema(schema).parquet(f"{folder}/messages")
+
+
 def q_stream_ingest(spark, sf_dir):
+    """Messages landed by the batch-numbered sink, files rolled at the default size."""
     folder = shared_folder(spark)
-    inputs.messages(spark, sf_dir).write.parquet(f"{folder}/messages")
-    source = spark.readStream.schema("key string, value string, timestamp timestamp").parquet(
-        f"{folder}/messages"
-    )
     ingest_stream(
-        source,
-        f"{folder}/bronze",
-        f"{folder}/checkpoint",
-        roll_records=1_000_000,
-        available_now=True,
+        _stream(spark, sf_dir, folder), f"{folder}/bronze", f"{folder}/checkpoint", available_now=True
     ).awaitTermination()
     landed = bronze_files.read_bronze(spark, f"{folder}/bronze")
     return landed.select(*PAYLOAD_FIELDS, "kafka_timestamp", "date")
 
 
+def q_stream_roll(spark, sf_dir):
+    """Rows of each ingest day, and whether a file holds more than the default roll or is empty."""
+    folder = shared_folder(spark)
+    ingest_stream(
+        _stream(spark, sf_dir, folder), f"{folder}/bronze", f"{folder}/checkpoint", available_now=True
+    ).awaitTermination()
+    landed = bronze_files.read_bronze(spark, f"{folder}/bronze")
+    files = landed.groupBy("date", F.input_file_name().alias("file")).agg(F.count(F.lit(1)).alias("n"))
+    return files.groupBy("date").agg(
+        F.sum("n").alias("n"), F.count_if(F.col("n") > ROLL_RECORDS).alias("over_full")
+    )
+
+
 def q_bronze_scan(spark, sf_dir):
     path = shared_folder(spark)
     bronze_files.write_bronze(inputs.bronze(spark, sf_dir), path)
@@ -322,6 +345,15 @@ def q_ready_days(spark, sf_dir):
     return gate.ready_days(inputs.bronze(spark, sf_dir))
 
 
+def q_stream_ready_days(spark, sf_dir):
+    """The gate on the counts that a stream keeps, without reading Bronze."""
+    folder = shared_folder(spark)
+    arrivals_stream(
+        _stream(spark, sf_dir, folder), f"{folder}/arrivals", f"{folder}/checkpoint", available_now=True
+    ).awaitTermination()
+    return gate.ready_days_from(read_arrivals(spark, f"{folder}/arrivals"))
+
+
 def q_run_days(spark, sf_dir):
     folder = shared_folder(spark)
     lake = Lake.below(folder)
