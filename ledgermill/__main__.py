@@ -6,7 +6,8 @@ import argparse
 import sys
 
 from ledgermill.operators import gate
-from ledgermill.plans.run import Lake, build_gold, load_silver, run_days
+from ledgermill.plans.gold_days import build_gold
+from ledgermill.plans.run import Lake, load_silver, run_days
 from ledgermill.schema import STEP_EPOCH
 from ledgermill.session import build_session, path_exists
 from ledgermill.sources import raw, tables

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgermill.functions import event_hour
@@ -29,9 +29,9 @@ def undetected_fraud(silver: DataFrame) -> DataFrame:
     )
 
 
-def hourly_summary(silver: DataFrame) -> DataFrame:
-    """Activity and fraud by hour and payment type."""
-    return silver.groupBy(event_hour("tx_timestamp").alias("tx_hour"), "type").agg(
+def hourly_summary(silver: DataFrame, *carry: str) -> DataFrame:
+    """Activity and fraud by hour and payment type, and by the columns of ``carry``."""
+    return silver.groupBy(*carry, event_hour("tx_timestamp").alias("tx_hour"), "type").agg(
         F.count(F.lit(1)).alias("tx_count"),
         F.sum("amount").alias("total_amount"),
         F.count_if(F.col("isFraud") == 1).alias("fraud_count"),
@@ -40,6 +40,33 @@ def hourly_summary(silver: DataFrame) -> DataFrame:
     )
 
 
+def account_sums() -> list[Column]:
+    """Aggregates over the payments of an account."""
+    return [
+        F.count(F.lit(1)).alias("total_tx_count"),
+        F.sum("amount").alias("total_amount"),
+        F.count_if(F.col("isFraud") == 1).alias("fraud_tx_count"),
+        F.count_if("is_suspicious").alias("suspicious_tx_count"),
+        _fraud_amount().alias("fraud_amount"),
+        F.max("tx_timestamp").alias("last_tx_at"),
+    ]
+
+
+def with_fraud_rate(accounts: DataFrame) -> DataFrame:
+    """The columns of ``account_risk`` from an account's sums."""
+    fraud_share = F.col("fraud_tx_count") / F.col("total_tx_count") * 100
+    return accounts.withColumn("fraud_rate_pct", F.round(fraud_share, 2)).select(
+        "account_id",
+        "total_tx_count",
+        "total_amount",
+        "fraud_tx_count",
+        "suspicious_tx_count",
+        "fraud_amount",
+        "fraud_rate_pct",
+        "last_tx_at",
+    )
+
+
 def account_risk(silver: DataFrame) -> DataFrame:
     """Totals of each sending account that took part in a fraud.
 
@@ -49,7 +76,6 @@ def account_risk(silver: DataFrame) -> DataFrame:
     busy account is spread over several tasks. Map-side partial sums then leave at most one row per
     account and task.
     """
-    fraud_share = F.col("fraud_tx_count") / F.col("total_tx_count") * 100
     involved = (
         silver.filter(F.col("isFraud") == 1)
         .select(F.col("nameOrig").alias("involved"))
@@ -57,7 +83,7 @@ def account_risk(silver: DataFrame) -> DataFrame:
         .withColumn("s", F.explode(F.sequence(F.lit(0), F.lit(ACCOUNT_SALTS - 1))))
     )
     salt = F.pmod(F.xxhash64("tx_timestamp", "amount"), F.lit(ACCOUNT_SALTS)).cast("int")
-    return (
+    return with_fraud_rate(
         silver.withColumn("salt", salt)
         .join(
             involved,
@@ -65,25 +91,7 @@ def account_risk(silver: DataFrame) -> DataFrame:
             "left_semi",
         )
         .groupBy(F.col("nameOrig").alias("account_id"))
-        .agg(
-            F.count(F.lit(1)).alias("total_tx_count"),
-            F.sum("amount").alias("total_amount"),
-            F.count_if(F.col("isFraud") == 1).alias("fraud_tx_count"),
-            F.count_if("is_suspicious").alias("suspicious_tx_count"),
-            _fraud_amount().alias("fraud_amount"),
-            F.max("tx_timestamp").alias("last_tx_at"),
-        )
-        .withColumn("fraud_rate_pct", F.round(fraud_share, 2))
-        .select(
-            "account_id",
-            "total_tx_count",
-            "total_amount",
-            "fraud_tx_count",
-            "suspicious_tx_count",
-            "fraud_amount",
-            "fraud_rate_pct",
-            "last_tx_at",
-        )
+        .agg(*account_sums())
     )
 
 

@@ -64,17 +64,22 @@ def unique(df: DataFrame, column: str) -> DataFrame:
     All rows are counted by a 64-bit hash, so only eight bytes of a long key are shuffled; the few
     values whose hash occurs again are then counted in full.
     """
+    return _violations(_repeated(df.withColumn("no_day", F.lit(0)), "no_day", column), "unique", column)
+
+
+def _repeated(df: DataFrame, day: str, column: str) -> DataFrame:
+    """(day, value, n) of the values that occur more than once on a day."""
     values = df.filter(F.col(column).isNotNull()).select(
-        F.col(column).alias("value"), F.xxhash64(column).alias("hash")
+        day, F.col(column).alias("value"), F.xxhash64(column).alias("hash")
     )
-    again = values.groupBy("hash").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    repeated = (
-        values.join(again.select(F.col("hash").alias("twice")), F.col("hash") == F.col("twice"), "left_semi")
-        .groupBy("value")
+    again = values.groupBy(day, "hash").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    twice = again.select(F.col(day).alias("d"), F.col("hash").alias("twice"))
+    return (
+        values.join(twice, (F.col("hash") == F.col("twice")) & (F.col(day) == F.col("d")), "left_semi")
+        .groupBy(day, "value")
         .agg(F.count(F.lit(1)).alias("n"))
         .filter("n > 1")
     )
-    return _violations(repeated, "unique", column)
 
 
 def accepted_values(df: DataFrame, column: str, values: Sequence) -> DataFrame:
@@ -140,6 +145,33 @@ def evaluate(
     return reduce(DataFrame.unionByName, results).select(RESULT_COLUMNS)
 
 
+def evaluate_by_day(df: DataFrame, expectations: Sequence[Expectation]) -> DataFrame:
+    """``tx_date, table_name, check_name, column_name, value, failures, failed_rows`` of what fails by day.
+
+    The expectations are those of one table. Missing values and repeated ones are numbers by day; foreign
+    values are a row each, as the same one may occur on other days.
+    """
+    day = "tx_date"
+    parts = []
+    for e in expectations:
+        value = F.lit(None).cast("string")
+        if e.check == "not_null":
+            bad = df.filter(F.col(e.column).isNull()).groupBy(day).agg(F.count(F.lit(1)).alias("n"))
+            found = bad.select(day, value.alias("value"), F.col("n").alias("failures"), F.col("n").alias("failed_rows"))
+        elif e.check == "unique":
+            found = _repeated(df, day, e.column).groupBy(day).agg(
+                F.count(F.lit(1)).alias("failures"), F.sum("n").alias("failed_rows")
+            ).withColumn("value", value)
+        else:
+            foreign = df.filter(~F.col(e.column).isin(list(e.values)))
+            found = foreign.groupBy(day, F.col(e.column).cast("string").alias("value")).agg(
+                F.lit(1).cast("long").alias("failures"), F.count(F.lit(1)).alias("failed_rows")
+            )
+        named = {"table_name": F.lit(e.table), "check_name": F.lit(e.check), "column_name": F.lit(e.column)}
+        parts.append(found.withColumns(named))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def check_expectations(results: Iterable[Row]) -> None:
     """Raise with the violated expectations among the collected result rows."""
     broken = [row for row in results if row.failures > 0]

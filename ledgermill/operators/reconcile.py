@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgermill.functions import event_date, row_key, to_number
+from ledgermill.functions import event_date, ingest_date, row_id, row_key, to_number
 from ledgermill.operators.validation import CountMismatch
 from ledgermill.schema import (
     FIRST_STEP,
@@ -56,6 +56,32 @@ def _passes_mirror() -> Column:
     return condition
 
 
+def mirror_day(step_epoch: str = STEP_EPOCH) -> Column:
+    """Event day of a Bronze record that passes the independent check, NULL for all others."""
+    return F.when(_passes_mirror(), event_date(F.col("step").try_cast("int"), step_epoch))
+
+
+def bronze_keys(records: DataFrame, day: str) -> DataFrame:
+    """``tx_date, ingest, key``: the distinct payments of each event day that came in on each ingest day.
+
+    ``day`` names the column of ``mirror_day``. The key is a digest of 32 bytes.
+    """
+    return (
+        records.filter(F.col(day).isNotNull())
+        .select(
+            F.col(day).alias("tx_date"),
+            ingest_date("kafka_timestamp").alias("ingest"),
+            F.unhex(row_id()).alias("key"),
+        )
+        .distinct()
+    )
+
+
+def bronze_rows_of(keys: DataFrame) -> DataFrame:
+    """``tx_date, bronze_rows`` from those keys; one delivered on several ingest days counts once."""
+    return keys.groupBy("tx_date").agg(F.count_distinct("key").alias("bronze_rows"))
+
+
 def bronze_valid_by_date(bronze: DataFrame, step_epoch: str = STEP_EPOCH) -> DataFrame:
     """Distinct valid payments of each event day, counted from Bronze alone.
 

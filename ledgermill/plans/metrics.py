@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgermill.functions import day_to_millis
-from ledgermill.operators import kpis, reconcile, runlog
+from ledgermill.operators import kpis, partials, reconcile, runlog
 from ledgermill.schema import STEP_EPOCH
 
 # Gauge names, by what they are computed from.
@@ -37,7 +37,6 @@ RUN_GAUGES = {"fraud_dagrun_success": "success_runs", "fraud_dagrun_failed": "fa
 
 DAY_LABEL, HOUR_LABEL, TYPE_LABEL, ACCOUNT_LABEL = "d_ms", "ts_ms", "type", "account"
 
-
 # The one gauge that compares a day with Bronze.
 BRONZE_GAUGE = "fraud_by_date_bs_diff"
 
@@ -64,22 +63,15 @@ def _gauges(df: DataFrame, cells: Column) -> DataFrame:
     return df.select(F.inline(cells))
 
 
-def _layers(bronze: DataFrame, silver: DataFrame, undetected: DataFrame, step_epoch: str):
+# Counts that the totals need beyond those of the reconciliation.
+CARRIED = ["flagged", "true_positive", "false_positive"]
+
+
+def _with_totals(days: DataFrame) -> DataFrame:
     """Counts of all layers per event day and, in the row with ``is_total = 1``, over all days."""
-    silver_days = (
-        silver.groupBy("tx_date")
-        .agg(F.count(F.lit(1)).alias("silver_rows"), *kpis.confusion_counts())
-        .withColumnsRenamed({"actual": "fraud_rows", "false_negative": "suspicious_rows"})
-    )
-    days = reconcile.by_date(
-        reconcile.bronze_valid_by_date(bronze, step_epoch),
-        silver_days,
-        reconcile.gold_by_date(undetected),
-        carry=["flagged", "true_positive", "false_positive"],
-    )
     counts = [name for name in days.columns if name != "tx_date"]
     # A day without counts keeps the total row there while the tables are still empty.
-    no_day = silver.sparkSession.range(1).select(
+    no_day = days.sparkSession.range(1).select(
         F.lit(None).cast("date").alias("tx_date"), *[F.lit(0).alias(name) for name in counts]
     )
     return (
@@ -101,6 +93,10 @@ def _layers(bronze: DataFrame, silver: DataFrame, undetected: DataFrame, step_ep
     )
 
 
+# What gauges are read off: counts by day, the hourly table, the top receivers, the run log.
+PARTS = ("days", "activity", "receivers", "runs")
+
+
 def build_metrics(
     bronze: DataFrame,
     silver: DataFrame,
@@ -109,14 +105,32 @@ def build_metrics(
     run_log: DataFrame | None = None,
     step_epoch: str = STEP_EPOCH,
     top_n: int = kpis.TOP_ACCOUNTS,
+    parts: tuple[str, ...] = PARTS,
 ) -> DataFrame:
-    """All gauges as one frame.
+    """All gauges as one frame, from whole layers; ``parts`` leaves out what is not asked for.
 
     Bronze, Silver and ``undetected_fraud`` are each aggregated by day once; totals, rule quality
     and the day gauges are read off those at most 31 rows. Silver is read a second time only for
     the top receivers, where just its fraud rows leave the scan. Hour and type gauges come from
     one pass over the hourly Gold table.
     """
+    days = reconcile.by_date(
+        reconcile.bronze_valid_by_date(bronze, step_epoch),
+        partials.counts(silver),
+        reconcile.gold_by_date(undetected),
+        carry=CARRIED,
+    )
+    return assemble(days, hourly, kpis.top_receivers(silver, top_n), run_log, parts)
+
+
+def assemble(
+    days: DataFrame,
+    hourly: DataFrame,
+    receivers: DataFrame,
+    run_log: DataFrame | None = None,
+    parts: tuple[str, ...] = PARTS,
+) -> DataFrame:
+    """All gauges from the counts of all layers by day, the hourly table and the top receivers."""
     no_labels = F.from_json(F.lit("{}"), "map<string,string>")
     layer_cells = F.when(
         F.col("is_total") == 1, _cells(TOTAL_GAUGES | {LAST_SUCCESS_GAUGE: "now"}, no_labels)
@@ -132,17 +146,16 @@ def build_metrics(
     activity_cells = F.when(
         F.col("is_hour") == 1, _cells(HOUR_GAUGES, _label(HOUR_LABEL, F.unix_millis("tx_hour")))
     ).otherwise(_cells(TYPE_GAUGES, _label(TYPE_LABEL, F.col("type"))))
-    receivers = kpis.top_receivers(silver, top_n)
 
-    parts = [
-        _gauges(_layers(bronze, silver, undetected, step_epoch), layer_cells),
-        _gauges(activity, activity_cells),
-        _gauges(receivers, _cells(RECEIVER_GAUGES, _label(ACCOUNT_LABEL, F.col("nameDest")))),
-    ]
+    found = {
+        "days": _gauges(_with_totals(days), layer_cells),
+        "activity": _gauges(activity, activity_cells),
+        "receivers": _gauges(receivers, _cells(RECEIVER_GAUGES, _label(ACCOUNT_LABEL, F.col("nameDest")))),
+    }
     if run_log is not None:
         run_cells = _cells(RUN_GAUGES, _label(DAY_LABEL, day_to_millis("logical_date")))
-        parts.append(_gauges(runlog.runs_by_day(run_log), run_cells))
-    return reduce(DataFrame.unionByName, parts)
+        found["runs"] = _gauges(runlog.runs_by_day(run_log), run_cells)
+    return reduce(DataFrame.unionByName, [found[part] for part in parts if part in found])
 
 
 def flat(metrics: DataFrame) -> DataFrame:

@@ -11,18 +11,19 @@ from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
 from ledgermill.functions import event_date, int_prefix
-from ledgermill.operators import gate, gold, quality, reconcile, runlog, silver, validation
+from ledgermill.operators import gate, partials, quality, reconcile, runlog, silver, validation
 from ledgermill.plans import metrics as metrics_plan
+from ledgermill.plans.bronze_days import read_bronze_days, update_bronze_days
+from ledgermill.plans.gold_days import expectations, read_day_table, read_gold_table, update_gold
 from ledgermill.schema import (
     FIRST_STEP,
     LAST_STEP,
-    METRICS_SCHEMA,
     RUN_LOG_SCHEMA,
     STEP_EPOCH,
     TASK_LOG_SCHEMA,
     as_day,
 )
-from ledgermill.session import drop_folder, path_exists, shared_folder
+from ledgermill.session import drop_folder, shared_folder
 from ledgermill.sources import tables
 from ledgermill.sources.bronze import read_bronze
 
@@ -37,12 +38,14 @@ class Lake:
     metrics: str
     run_log: str
     task_log: str
+    # Bronze's own counts of each event day.
+    bronze_days: str
     # Holds labelled records during a run, where the session names no shared storage.
     scratch: str
 
     @classmethod
     def below(cls, root: str) -> Lake:
-        names = ["bronze", "silver", "gold", "metrics", "run_log", "task_log", "scratch"]
+        names = ["bronze", "silver", "gold", "metrics", "run_log", "task_log", "bronze_days", "scratch"]
         return cls(**{name: f"{root.rstrip('/')}/{name}" for name in names})
 
 
@@ -77,6 +80,9 @@ class RunReport:
         )
 
 
+MIRROR_DAY = "mirror_date"
+
+
 def _span(start: str | date, end: str | date) -> list[date]:
     first, last = as_day(start), as_day(end)
     return [first + timedelta(days=n) for n in range((last - first).days + 1)]
@@ -89,9 +95,12 @@ def _stage(
     folder: str,
     step_epoch: str,
     strict: bool,
+    with_mirror: bool = False,
 ) -> tuple[DataFrame, dict]:
     """Parse and label Bronze once; keep what this run can write, count everything.
 
+    ``with_mirror`` also works out the independent check of each record, and keeps all that pass it.
+
     Rejected records and valid ones of the asked days go to a Parquet table in the shared folder.
     Silver and the quarantine are then written from its few columns, and a lost executor costs a
     re-read of that table, not of the JSON. Counts of *all* records are observed on the same pass,
@@ -105,6 +114,9 @@ def _stage(
         }
     )
     wanted = F.expr(validation.IS_REJECTED) | _within(days, F.col("tx_date"))
+    if with_mirror:
+        labelled = labelled.withColumn(MIRROR_DAY, reconcile.mirror_day(step_epoch))
+        wanted = wanted | F.col(MIRROR_DAY).isNotNull()
     counts = Observation()
     observed = labelled.observe(
         counts,
@@ -184,19 +196,21 @@ def load_silver(
     step_epoch: str = STEP_EPOCH,
     strict: bool = False,
     scratch_root: str | None = None,
+    bronze_days: str | None = None,
 ) -> RunReport:
     """Bring the event days ``start`` to ``end`` from Bronze to Silver and the quarantine.
 
     Without ``end`` a single day, without ``start`` every day is written. If ``feed_done`` is given,
     days that have not fully arrived are left out. ``scratch_root`` is where the labelled records are
-    put in between if the session names no shared storage.
+    put in between if the session names no shared storage. ``bronze_days`` is where Bronze's own counts
+    of each day are kept (see ``bronze_days``); they come from the same pass over Bronze.
     """
     first, last = (start, end or start) if start else all_days(step_epoch)
     days = _span(first, last)
     report = RunReport()
     scratch = shared_folder(spark, scratch_root)
     try:
-        staged, counts = _stage(spark, bronze, days, scratch, step_epoch, strict)
+        staged, counts = _stage(spark, bronze, days, scratch, step_epoch, strict, bool(bronze_days))
         report.bronze_rows = counts["bronze_rows"]
         report.valid_rows = counts["valid_rows"]
         report.quarantine_rows = counts["quarantine_rows"]
@@ -210,6 +224,8 @@ def load_silver(
             sum(row.rejected for row in seen.values()),
         )
         _choose_days(report, days, seen, counts["last_arrival"], feed_done)
+        if bronze_days:
+            update_bronze_days(reconcile.bronze_keys(staged, MIRROR_DAY), bronze_days)
         if report.ready:
             _write_layers(staged, report, silver_path, step_epoch)
     finally:
@@ -217,12 +233,6 @@ def load_silver(
     return report
 
 
-def build_gold(spark: SparkSession, silver_path: str, gold_path: str) -> None:
-    """Rebuild all Gold tables from the whole of Silver."""
-    for name, build in gold.GOLD_TABLES.items():
-        tables.write_gold(build(tables.read_silver(spark, silver_path)), gold_path, name)
-
-
 def run_days(
     spark: SparkSession,
     lake: Lake,
@@ -243,8 +253,10 @@ def run_days(
     next layer is touched.
 
     ``ingest_from`` / ``ingest_to`` limit reading, and rewriting the quarantine, to the ingest days
-    between; they have to cover every day on which records of the asked event days came in. The
-    comparison with Bronze is then published for the days of this run; other days keep theirs.
+    between; they have to cover every day on which records of the asked event days came in.
+
+    Gold, expectations and metrics follow from what each day adds to them: the work of a run is that of
+    its days, whatever came before (see ``gold_days`` and ``bronze_days``).
     """
     log = _RunLog(spark, lake)
     days = _span(start, end)
@@ -253,33 +265,32 @@ def run_days(
         bronze = read_bronze(spark, lake.bronze, ingest_from, ingest_to)
         with log.task("silver"):
             report = load_silver(
-                spark, bronze, lake.silver, start, end, feed_done, step_epoch, strict, lake.scratch
-            )
+                spark, bronze, lake.silver, start, end, feed_done, step_epoch, strict, lake.scratch,
+                lake.bronze_days,
+            )
         days = report.ready
         if not days:
             return report
         with log.task("gold"):
-            build_gold(spark, lake.silver, lake.gold)
+            update_gold(spark, lake.silver, lake.gold)
         with log.task("expectations"):
-            stored = tables.read_silver(spark, lake.silver)
-            built = {name: tables.read_gold(spark, lake.gold, name) for name in gold.GOLD_TABLES}
-            report.expectations = quality.evaluate({"silver": stored} | built).collect()
+            report.expectations = expectations(spark, lake.gold).collect()
             if raise_on_expectation:
                 quality.check_expectations(report.expectations)
         with log.task("reconcile"):
-            row = reconcile.total(stored, built["undetected_fraud"]).first()
+            layers = _layers(spark, lake)
+            row = layers.agg(
+                F.coalesce(F.sum("gold_rows"), F.lit(0)).alias("gold_rows"),
+                F.coalesce(F.sum("suspicious_rows"), F.lit(0)).alias("suspicious_rows"),
+            ).first()
             reconcile.check_total(row.gold_rows, row.suspicious_rows)
         with log.task("metrics"):
-            gauges = metrics_plan.build_metrics(
-                bronze,
-                stored,
-                built["undetected_fraud"],
-                built["hourly_summary"],
+            gauges = metrics_plan.assemble(
+                layers,
+                read_gold_table(spark, lake.gold, "hourly_summary"),
+                partials.top_receivers(read_day_table(spark, lake.gold, "receiver_days")),
                 tables.read_log(spark, lake.run_log, RUN_LOG_SCHEMA),
-                step_epoch,
             )
-            if ingest_from is not None or ingest_to is not None:
-                gauges = _with_unread_days(spark, lake, gauges, days)
             tables.write_metrics(gauges, lake.metrics)
         log.note(days, runlog.SUCCESS)
     except Exception:
@@ -290,23 +301,14 @@ def run_days(
     return report
 
 
-def _with_unread_days(
-    spark: SparkSession, lake: Lake, gauges: DataFrame, days: list[date]
-) -> DataFrame:
-    """Gauges of a run that has read Bronze for some days only.
-
-    Differences from Bronze are right for those days; published ones of all others, at most one row
-    for each day that a step can fall on, go on.
-    """
-    epoch = date(1970, 1, 1)
-    read = [str((day - epoch).days * 86_400_000) for day in days]
-    other = (F.col("metric") == metrics_plan.BRONZE_GAUGE) & ~F.col("labels")[
-        metrics_plan.DAY_LABEL
-    ].isin(read)
-    kept = []
-    if path_exists(spark, lake.metrics):
-        kept = tables.read_metrics(spark, lake.metrics).filter(other).collect()
-    return gauges.filter(~other).unionByName(spark.createDataFrame(kept, METRICS_SCHEMA))
+def _layers(spark: SparkSession, lake: Lake) -> DataFrame:
+    """Counts of all layers by event day."""
+    return reconcile.by_date(
+        read_bronze_days(spark, lake.bronze_days),
+        read_day_table(spark, lake.gold, "day_counts"),
+        reconcile.gold_by_date(read_day_table(spark, lake.gold, "undetected_fraud")),
+        carry=metrics_plan.CARRIED,
+    )
 
 
 def run_day(spark: SparkSession, lake: Lake, day: str | date, **options) -> RunReport:

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+from datetime import date
+from hashlib import sha256
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
@@ -9,6 +13,10 @@ from ledgermill.schema import METRICS_SCHEMA, QUARANTINE_SCHEMA, SILVER_SCHEMA
 from ledgermill.session import drop_folder, list_paths, path_exists
 
 
+# Fixed value: folder of rows whose partition value is NULL.
+NO_DAY = "__HIVE_DEFAULT_PARTITION__"
+
+
 def _replace_partitions(df: DataFrame, path: str, key: str) -> None:
     """Overwrite only the partitions that ``df`` has rows for.
 
@@ -95,11 +103,15 @@ def newest_version(spark: SparkSession, path: str) -> str | None:
     return next(reversed(_versions(spark, path)), None)
 
 
+def append_version(table: DataFrame, path: str) -> None:
+    """``write_version`` with the next number."""
+    newest = newest_version(table.sparkSession, path)
+    write_version(table, path, _number(newest) + 1 if newest else 1)
+
+
 def write_gold(gold: DataFrame, path: str, name: str) -> None:
-    """Rebuild one Gold table as a whole, or not at all (see ``write_version``)."""
-    folder = f"{path.rstrip('/')}/{name}"
-    newest = newest_version(gold.sparkSession, folder)
-    write_version(gold, folder, _number(newest) + 1 if newest else 1)
+    """Rebuild one Gold table as a whole, or not at all."""
+    append_version(gold, f"{path.rstrip('/')}/{name}")
 
 
 def read_gold(spark: SparkSession, path: str, name: str) -> DataFrame:
@@ -109,6 +121,48 @@ def read_gold(spark: SparkSession, path: str, name: str) -> DataFrame:
     return spark.read.parquet(newest)
 
 
+def files_by_day(spark: SparkSession, path: str, below: str = "") -> dict[date, str]:
+    """For each event day below ``path`` a digest of its files' names.
+
+    Spark names the files of each write anew, so the digest changes whenever a day is written. ``below``
+    is a pattern of further folders inside a day's, with a slash at its end.
+    """
+    found: dict[date, list[str]] = {}
+    for file in list_paths(spark, f"{path.rstrip('/')}/tx_date=*/{below}part-*"):
+        day, name = file.rsplit("/tx_date=", 1)[1].split("/", 1)
+        if day != NO_DAY:
+            found.setdefault(date.fromisoformat(day), []).append(name)
+    return {day: sha256(" ".join(sorted(names)).encode()).hexdigest() for day, names in found.items()}
+
+
+def replace_days(rows: DataFrame, path: str, days: Iterable[date]) -> None:
+    """Replace the given event days by those of ``rows``; a day without rows is gone after it."""
+    spark, root = rows.sparkSession, path.rstrip("/")
+    before = files_by_day(spark, root)
+    _replace_partitions(rows.hint("rebalance", "tx_date"), root, "tx_date")
+    after = files_by_day(spark, root)
+    for day in days:
+        if day in before and before[day] == after.get(day):
+            drop_folder(spark, f"{root}/tx_date={day}")
+
+
+def read_days(
+    spark: SparkSession,
+    path: str,
+    schema: StructType,
+    days: Iterable[date] | None = None,
+    below: str = "",
+) -> DataFrame:
+    """A table kept by event day, of the given days only or of all; empty where there are none."""
+    root, wanted = path.rstrip("/"), None if days is None else set(days)
+    found = sorted(files_by_day(spark, root, below))
+    known = [str(day) for day in found if wanted is None or day in wanted]
+    if not known:
+        return spark.createDataFrame([], schema)
+    files = spark.read.schema(schema).option("basePath", root)
+    return files.parquet(*[f"{root}/tx_date={day}" for day in known]).select(schema.fieldNames())
+
+
 def write_metrics(metrics: DataFrame, path: str) -> None:
     """Publish gauges: those named in ``metrics`` are replaced, all others stay."""
     _replace_partitions(metrics.hint("rebalance", "metric"), path, "metric")

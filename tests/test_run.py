@@ -12,6 +12,7 @@ from ledgermill.operators import quality, runlog, silver, validation
 from ledgermill.operators.validation import CountMismatch
 from ledgermill.plans import metrics as metrics_plan
 from ledgermill.plans import run as run_plan
+from ledgermill.plans.gold_days import read_gold_table
 from ledgermill.plans.run import Lake, all_days, load_silver, run_day, run_days
 from ledgermill.schema import RUN_LOG_SCHEMA, TASK_LOG_SCHEMA
 from ledgermill.sources import tables
@@ -95,7 +96,7 @@ def test_range_run(spark, lake):
     assert report.suspicious_rows == expected.suspicious_rows > 0
     assert stored(spark, lake) == set(silver.dedup(silver.to_silver(labelled)).collect())
     assert tables.read_quarantine(spark, lake.silver).count() == expected.quarantine_rows
-    undetected = tables.read_gold(spark, lake.gold, "undetected_fraud")
+    undetected = read_gold_table(spark, lake.gold, "undetected_fraud")
     assert undetected.count() == expected.suspicious_rows
 
 
@@ -322,7 +323,7 @@ def test_command_line(spark, lake, tmp_path, capsys):
     assert main(one) == 0
     assert len(list(Path(silver_path).glob("tx_date=*"))) == 3
     assert main(["gold", "--silver-path", silver_path, "--gold-path", gold_path]) == 0
-    assert tables.read_gold(spark, gold_path, "hourly_summary").count() > 0
+    assert read_gold_table(spark, gold_path, "hourly_summary").count() > 0
     ready = ["ready", "--bronze-path", lake.bronze, "--day"]
     assert main([*ready, "2016-01-02"]) == 0
     assert main([*ready, "2016-01-03"]) == 1
