@@ -4,10 +4,10 @@ Frequent phrases are found by partitioning, in two passes. Documents are dealt t
 hash. A phrase that occurs ``min_count`` times in all occurs in some shard at least as often as that
 shard's share of the text asks, so
 
-1. each shard is mined completely at the support lowered by its share. Only packed hashes with counts
-   travel, combined in each task; a shard's phrases are counted in slices of the hash space of bounded
-   size. The union of what is frequent in some shard is kept as a bitmap over the hash space, whose
-   size is bounded (``MOST_BITS``);
+1. each shard is mined completely at the support lowered by its share: words and pairs first, then longer
+   phrases all of whose pairs are frequent. Only packed hashes with counts travel, combined in each
+   task; a shard's phrases are counted in slices of the hash space of bounded size. The union of what is
+   frequent in some shard is kept as a bitmap over the hash space, whose size is bounded (``MOST_BITS``);
 2. all phrases that the bitmap holds are counted over all texts, now as strings, combined in each task.
 
 Hash collisions, or a bitmap too small for its input, let phrases through that are counted for
@@ -42,7 +42,8 @@ MOST_RANKS = 2000
 
 SHARD_BITS = 3
 SHARDS = 1 << SHARD_BITS
-FLUSH_PHRASES = 3_000_000
+FLUSH_HASHES = 2_000_000
+FLUSH_PHRASES = 1_000_000
 BUCKET_PHRASES = 1_000_000
 KEPT_BITS = 37  # of a hash below its bucket
 MOST_BITS = 29  # the bitmap has at most 2 ** 29 bits: 64 MB
@@ -52,23 +53,38 @@ _BREAK, _GAP = byte_set(BREAKS), byte_set(BREAKS + BLANKS)
 _STEP = np.uint64(0xD1342543DE82EF95)
 
 
-def _phrases(part: Slice, lang: np.ndarray, most: int):
-    """For each length k: places of the first words of its phrases, and their hashes.
+def _held(table: np.ndarray, bits: int, h: np.ndarray) -> np.ndarray:
+    """Whether the bitmap holds the hashes."""
+    place = (h >> np.uint64(64 - bits)).astype(np.int64)
+    return (table[place >> 3] >> (place & 7).astype(np.uint8) & 1).astype(bool)
 
-    ``lang`` holds a hash for each text of the slice.
+
+def _phrases(part: Slice, lang: np.ndarray, lengths: range, pairs: tuple[np.ndarray, int] | None = None):
+    """For each length k: places of the first words of its phrases, their hashes and texts.
+
+    ``lang`` holds a hash for each text of the slice. With ``pairs``, a bitmap, only phrases of which it
+    holds every two neighbouring words.
     """
     owner = np.repeat(np.arange(len(part)), np.diff(part.first))
     breaks = np.zeros(len(part.raw) + 1, np.int64)
     np.cumsum(_BREAK[part.raw], out=breaks[1:])
     piece = breaks[part.start] + owner
     h = mix(part.word ^ lang[owner])
-    for k in range(1, most + 1):
+    frequent = None
+    for k in range(1, lengths.stop):
         if k > len(part.word):
             return
         if k > 1:
             h = mix(h[:-1] * _STEP + part.word[k - 1 :])
-        at = np.flatnonzero(piece[k - 1 :] == piece[: len(h)])
-        yield k, at, h[at], owner[at]
+        whole = piece[k - 1 :] == piece[: len(h)]
+        if pairs and k == 2:
+            frequent = _held(*pairs, h)
+        if pairs and k > 2:
+            for i in range(k - 1):
+                whole &= frequent[i : i + len(h)]
+        if k in lengths:
+            at = np.flatnonzero(whole)
+            yield k, at, h[at], owner[at]
 
 
 def _narrow(docs: DataFrame, text: str, lang: str, doc_id: str) -> DataFrame:
@@ -98,21 +114,27 @@ def _packed(z: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(bucket[marks]), pa.array(rows, pa.binary())], ["bucket", "payload"])
 
 
-def _mined(narrow: DataFrame, need: list[int], bucket_bits: int, bits: int, most: int) -> DataFrame:
-    """(bucket, bits): the bitmap's part for each bucket of hashes, with the phrases frequent in some shard."""
+def _mined(
+    narrow: DataFrame, need: list[int], bucket_bits: int, bits: int, lengths: range, shared=None
+) -> DataFrame:
+    """(bucket, bits): the bitmap's part for each bucket of hashes, with the phrases frequent in some shard.
+
+    ``shared`` is a bitmap that holds the word pairs frequent in some shard, if longer phrases are mined.
+    """
 
     def send(batches):
         held, size = [], 0
+        pairs = shared and (np.frombuffer(shared.value, np.uint8), bits)
         for batch in batches:
             lang = batch.column("lh").to_numpy().view(np.uint64)
             shard = batch.column("shard").to_numpy().astype(np.uint64)
             for part in slices(batch.column("text"), gaps=_GAP):
                 stop = part.at + len(part)
-                for _, _, h, owner in _phrases(part, lang[part.at : stop], most):
+                for _, _, h, owner in _phrases(part, lang[part.at : stop], lengths, pairs):
                     z = h >> np.uint64(64 - KEPT_BITS - bucket_bits) << np.uint64(SHARD_BITS)
                     held.append(z | shard[part.at : stop][owner])
                     size += len(h)
-                if size >= FLUSH_PHRASES:
+                if size >= FLUSH_HASHES:
                     yield _packed(np.concatenate(held))
                     held, size = [], 0
         if size:
@@ -178,9 +200,8 @@ def _counted(narrow: DataFrame, bitmap, bits: int, most: int) -> DataFrame:
                 stop = part.at + len(part)
                 bounds.append(texts)
                 raws.append(part.raw.tobytes().lower())
-                for k, at, h, owner in _phrases(part, lang_hash[part.at : stop], most):
-                    place = (h >> np.uint64(64 - bits)).astype(np.int64)
-                    kept = np.flatnonzero(table[place >> 3] >> (place & 7).astype(np.uint8) & 1)
+                for k, at, h, owner in _phrases(part, lang_hash[part.at : stop], range(1, most + 1), (table, bits)):
+                    kept = np.flatnonzero(_held(table, bits, h))
                     at = at[kept]
                     ends = part.end[at + (k - 1)]
                     held.append(
@@ -218,14 +239,19 @@ def frequent_phrases(
     size = sum(shares.values())
     # The least count in a shard that its share of the whole support allows, rounded up.
     need = [max(1, -(-min_count * shares.get(i, 0) // max(size, 1))) for i in range(SHARDS)]
-    # About a word in six bytes, phrases of each length, two thirds of them left by a task's count.
-    bucket_bits = min(24, max(1, (size * most // (9 * BUCKET_PHRASES)).bit_length()))
+    # About a word in six bytes, two lengths at a time, two thirds of their phrases left by a task's count.
+    bucket_bits = min(24, max(1, (size * 2 // (9 * BUCKET_PHRASES)).bit_length()))
     bits = max(bucket_bits + 3, min(MOST_BITS, (size // 8).bit_length()))
-    parts = _mined(narrow, need, bucket_bits, bits, most).collect()  # 2 ** bits bits in all
-    bitmap, width = bytearray(1 << (bits - 3)), 1 << (bits - bucket_bits - 3)
-    for bucket, held in parts:
-        bitmap[bucket * width : (bucket + 1) * width] = held
-    shared = docs.sparkSession.sparkContext.broadcast(bytes(bitmap))
+    bitmap, width, shared = bytearray(1 << (bits - 3)), 1 << (bits - bucket_bits - 3), None
+    # Longer phrases are made of frequent pairs only, so these are mined first.
+    for lengths in (range(1, min(most, 2) + 1), range(3, most + 1)):
+        if lengths:
+            parts = _mined(narrow, need, bucket_bits, bits, lengths, shared).collect()  # 2 ** bits bits in all
+            for bucket, held in parts:
+                at = slice(bucket * width, (bucket + 1) * width)
+                both = int.from_bytes(bitmap[at], "little") | int.from_bytes(held, "little")
+                bitmap[at] = both.to_bytes(width, "little")
+            shared = docs.sparkSession.sparkContext.broadcast(bytes(bitmap))
     counted = _counted(narrow, shared, bits, most).groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
     return staged(counted.filter((F.col("n") >= min_count) | F.col("phrase").isNull()))
 

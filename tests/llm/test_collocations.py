@@ -82,6 +82,7 @@ def test_first_ranks_only_and_dealt_sorting(spark, corpus, monkeypatch):
 def test_small_flushes_buckets_and_bitmap_lose_nothing(spark, corpus, monkeypatch):
     """Counts above 255, many buckets, and a bitmap that lets nearly everything through."""
     monkeypatch.setattr(collocations, "FLUSH_PHRASES", 50)
+    monkeypatch.setattr(collocations, "FLUSH_HASHES", 70)
     monkeypatch.setattr(collocations, "BUCKET_PHRASES", 100)
     monkeypatch.setattr(collocations, "MOST_BITS", 3)
     rows = [*corpus, *[("so it goes", "en")] * 600]
