@@ -12,6 +12,7 @@ from ledgermill.schema import STEP_EPOCH
 from ledgermill.session import build_session, path_exists
 from ledgermill.sources import raw, tables
 from ledgermill.sources.bronze import read_bronze
+from ledgermill.sources.publish import publish as resume_publish
 from ledgermill.streaming.arrivals import arrivals_stream, read_arrivals
 from ledgermill.streaming.ingest import ROLL_RECORDS, ROLL_SECONDS, ingest_stream
 
@@ -27,6 +28,7 @@ def _parser() -> argparse.ArgumentParser:
     publish.add_argument("--limit", type=int, default=0, help="records to send, 0 for all")
     publish.add_argument("--max-days", type=int, default=0, help="event days to send, 0 for all")
     publish.add_argument("--checkpoint", help="follow a CSV folder and resume from here")
+    publish.add_argument("--ledger", help="note what is delivered here and go on after it")
     publish.add_argument("--done-marker", help="path to write once all is delivered")
 
     ingest = commands.add_parser("ingest", help="messages to Bronze")
@@ -96,6 +98,15 @@ def _publish(spark, args) -> int:
         records = raw.first_days(raw.stream_raw_csv(spark, args.csv), args.max_days)
         messages = raw.to_messages(records)
         raw.publish_stream(messages, args.servers, args.topic, args.checkpoint).awaitTermination()
+    elif args.ledger:
+        resume_publish(
+            spark,
+            args.csv,
+            args.ledger,
+            lambda messages: raw.write_messages(messages, args.servers, args.topic),
+            args.limit,
+            args.max_days,
+        )
     else:
         records = raw.first_days(raw.read_raw_csv(spark, args.csv), args.max_days)
         messages = raw.to_messages(records, args.limit)

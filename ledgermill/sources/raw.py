@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgermill.functions import step_day_index
 from ledgermill.schema import PAYLOAD_FIELDS, PAYLOAD_SCHEMA
-from ledgermill.session import path_exists
+from ledgermill.session import path_exists, ship_package
 from ledgermill.sources.multiline import read_records
 
 # Delivery guarantees of the message writer.
@@ -25,6 +26,10 @@ DELIVERY_OPTIONS = {
 CSV_OPTIONS = {"header": "true", "escape": '"', "enforceSchema": "false"}
 
 
+# A cap of up to so many records is met on the driver.
+HEAD_ROWS = 10_000
+
+
 class MissingColumns(ValueError):
     """A CSV header lacks fields of the payload."""
 
@@ -52,6 +57,13 @@ def read_raw_csv(spark: SparkSession, path: str, multi_line: bool = False) -> Da
     return _as_text(records.select("fields.*"))
 
 
+def with_metadata(spark: SparkSession, path: str) -> DataFrame:
+    """``read_raw_csv`` with the hidden columns of the files still to be had."""
+    schema = _header_schema(spark, path)
+    files = spark.read.schema(schema).options(**CSV_OPTIONS).csv(path)
+    return files.select(*PAYLOAD_FIELDS, "_metadata").na.fill("", PAYLOAD_FIELDS)
+
+
 def stream_raw_csv(spark: SparkSession, path: str) -> DataFrame:
     """The same for a folder that keeps receiving files; a checkpoint makes it resume.
 
@@ -94,20 +106,44 @@ def to_messages(raw: DataFrame, limit: int = 0) -> DataFrame:
 def _first_rows(rows: DataFrame, n: int) -> DataFrame:
     """The first ``n`` rows by partition and place, without moving them to one task.
 
-    Row counts of the partitions, one number each, tell in which partition the cap falls; the rest is
-    a filter on the place that Spark gives each row.
+    Up to ``HEAD_ROWS`` come from the first splits that hold enough. Beyond that, partitions are counted
+    in growing steps until there are enough, and those after the cut give up before they read their split.
     """
-    placed = rows.withColumn("row_place", F.monotonically_increasing_id())
-    partition, place = F.shiftright("row_place", 33), F.col("row_place").bitwiseAND((1 << 33) - 1)
-    counts = placed.groupBy(partition.alias("p")).agg(F.count(F.lit(1)).alias("n")).collect()
-    for count in sorted(counts):
-        if count.n >= n:
-            break
-        n -= count.n
-    else:
+    if n <= HEAD_ROWS:
+        return rows.sparkSession.createDataFrame(rows.head(n), rows.schema)
+    ship_package(rows.sparkSession)
+    counts = rows.mapInArrow(_count_rows, "n long")
+    seen, step = [], 1
+    while sum(seen) < n and len(seen) < step:
+        taken = [row.n for row in counts.take(step)]
+        if len(taken) <= len(seen):
+            return rows
+        seen, step = taken, 4 * step if len(taken) == step else step
+    if sum(seen) < n:
         return rows
-    inside = (partition < count.p) | ((partition == count.p) & (place < n))
-    return placed.filter(inside).drop("row_place")
+    cut, before = 0, 0
+    while before + seen[cut] < n:
+        before += seen[cut]
+        cut += 1
+
+    def first(batches):
+        from pyspark import TaskContext
+
+        at, left = TaskContext.get().partitionId(), n - before
+        if at > cut:
+            return
+        for batch in batches:
+            yield batch if at < cut else batch.slice(0, left)
+            left -= batch.num_rows
+            if at == cut and left <= 0:
+                return
+
+    return rows.mapInArrow(first, rows.schema)
+
+
+def _count_rows(batches):
+    """One row for each partition."""
+    yield pa.RecordBatch.from_arrays([pa.array([sum(batch.num_rows for batch in batches)])], ["n"])
 
 
 def delivery_options(servers: str, topic: str) -> dict[str, str]:
