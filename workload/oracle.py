@@ -332,8 +332,8 @@ ORACLE: dict[str, str] = {
     "q_panel_runs": f"""WITH {RUN_LOG} SELECT {_day_ms("logical_date")} AS d_ms,
         CAST(success_runs AS DOUBLE) AS success_runs, CAST(failed_runs AS DOUBLE) AS failed_runs
         FROM runs""",
-    "q_run_day_by_day": f"""WITH {SILVER} {SILVER_COLUMNS}
-        WHERE tx_date BETWEEN DATE '2016-01-04' AND DATE '2016-01-06'""",
+    "q_panel_last_success": "SELECT COUNT(*) >= 0 AS is_now FROM events",
+    "q_run_day_by_day": f"WITH {SILVER} {SILVER_COLUMNS}",
     "q_reject_reasons": f"""WITH {LABELLED} SELECT COALESCE(reject_reason, 'valid') AS reason,
         COUNT(*) AS n FROM labelled GROUP BY 1""",
     "q_valid": f"""WITH {LABELLED} SELECT {PAYLOAD}, kafka_timestamp FROM labelled
@@ -350,6 +350,10 @@ ORACLE: dict[str, str] = {
     "q_undetected_fraud": f"WITH {GOLD} SELECT * FROM undetected",
     "q_hourly_summary": f"WITH {GOLD} SELECT * FROM hourly ORDER BY tx_hour, type",
     "q_account_risk": f"WITH {GOLD} SELECT * FROM accounts ORDER BY fraud_amount DESC, account_id",
+    "q_gold_by_day_accounts": f"""WITH {GOLD} SELECT * FROM accounts
+        ORDER BY fraud_amount DESC, account_id""",
+    "q_gold_by_day_hours": f"WITH {GOLD} SELECT * FROM hourly ORDER BY tx_hour, type",
+    "q_bronze_days": f"WITH {DAYS} SELECT * FROM bronze_days",
     "q_silver_by_date": f"WITH {DAYS} SELECT * FROM silver_days",
     "q_gold_by_date": f"WITH {DAYS} SELECT * FROM gold_days",
     "q_bronze_valid_by_date": f"WITH {DAYS} SELECT * FROM bronze_days",
