@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import time
+import uuid
 from collections.abc import Iterable
 from datetime import date
 from hashlib import sha256
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ledgermill.schema import METRICS_SCHEMA, QUARANTINE_SCHEMA, SILVER_SCHEMA
 from ledgermill.session import drop_folder, list_paths, path_exists
@@ -16,6 +19,9 @@ from ledgermill.session import drop_folder, list_paths, path_exists
 # Fixed value: folder of rows whose partition value is NULL.
 NO_DAY = "__HIVE_DEFAULT_PARTITION__"
 
+# Publishes of metrics beyond which the finished ones are merged.
+MOST_PUBLISHES = 20
+
 
 def _replace_partitions(df: DataFrame, path: str, key: str) -> None:
     """Overwrite only the partitions that ``df`` has rows for.
@@ -164,12 +170,57 @@ def read_days(
 
 
 def write_metrics(metrics: DataFrame, path: str) -> None:
-    """Publish gauges: those named in ``metrics`` are replaced, all others stay."""
-    _replace_partitions(metrics.hint("rebalance", "metric"), path, "metric")
+    """Publish gauges: those named in ``metrics`` are replaced, all others stay.
+
+    Each publish is a folder of its own, named by its time, so publishers at the same time lose nothing.
+    Once there are many, the ones that are finished are merged.
+    """
+    _write_publish(metrics, path, f"{time.time_ns():020d}-{uuid.uuid4().hex}")
+    if len(_publishes(metrics.sparkSession, path)) > MOST_PUBLISHES:
+        compact_metrics(metrics.sparkSession, path)
+
+
+def _write_publish(metrics: DataFrame, path: str, name: str) -> None:
+    rows = metrics.hint("rebalance", "metric").write.partitionBy("metric")
+    rows.parquet(f"{path.rstrip('/')}/publish={name}")
+
+
+def _publishes(spark: SparkSession, path: str) -> list[str]:
+    """Folders of the finished publishes, oldest first."""
+    done = list_paths(spark, f"{path.rstrip('/')}/publish=*/_SUCCESS")
+    return sorted(marker.rsplit("/", 1)[0] for marker in done)
+
+
+def compact_metrics(spark: SparkSession, path: str) -> None:
+    """Merge the finished publishes into one that takes the place of the newest of them.
+
+    Publishes that come in meanwhile are newer and stay. Readers that have listed the old folders may
+    have to read again.
+    """
+    old = _publishes(spark, path)
+    if len(old) < 2:
+        return
+    # Sorts after the newest that it holds and before whatever is published later.
+    _write_publish(_newest_gauges(spark, path, old), path, old[-1].rsplit("=", 1)[1] + "-m")
+    for folder in old:
+        drop_folder(spark, folder)
+
+
+def _newest_gauges(spark: SparkSession, path: str, folders: list[str]) -> DataFrame:
+    """Each gauge as its newest publish has it."""
+    schema = StructType([*METRICS_SCHEMA.fields, StructField("publish", StringType())])
+    files = spark.read.schema(schema).option("basePath", path.rstrip("/")).parquet(*folders)
+    newest = F.max("publish").over(Window.partitionBy("metric"))
+    rows = files.withColumn("newest", newest).filter("publish = newest")
+    return rows.select(METRICS_SCHEMA.fieldNames())
 
 
 def read_metrics(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(METRICS_SCHEMA).parquet(path).select(METRICS_SCHEMA.fieldNames())
+    """One value of each gauge and label set: that of the gauge's newest publish."""
+    folders = _publishes(spark, path)
+    if not folders:
+        return spark.createDataFrame([], METRICS_SCHEMA)
+    return _newest_gauges(spark, path, folders)
 
 
 def read_log(spark: SparkSession, path: str, schema: StructType) -> DataFrame:

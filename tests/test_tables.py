@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date
 from pathlib import Path
 
@@ -178,3 +179,53 @@ def test_shared_folder_on_a_cluster_needs_shared_storage(spark):
 def test_partitions_grow_with_the_shuffle(size, partitions):
     conf = recommended_conf(size)
     assert conf["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] == str(partitions)
+
+
+def gauges(spark, **values):
+    return spark.createDataFrame([(m, {"l": "x"}, v) for m, v in values.items()], METRICS_SCHEMA)
+
+
+def shown(spark, path):
+    return sorted((r.metric, r.value) for r in tables.read_metrics(spark, path).collect())
+
+
+def test_publishers_at_the_same_time_lose_nothing(spark, tmp_path):
+    path = str(tmp_path / "metrics")
+    with ThreadPoolExecutor(4) as publishers:
+        list(publishers.map(lambda n: tables.write_metrics(gauges(spark, **{f"g{n}": float(n)}), path), range(8)))
+    assert shown(spark, path) == [(f"g{n}", float(n)) for n in range(8)]
+
+
+def test_the_newest_publish_of_a_gauge_wins_and_old_ones_are_merged(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(tables, "MOST_PUBLISHES", 3)
+    path = str(tmp_path / "metrics")
+    assert shown(spark, path) == []
+    for n in range(5):
+        tables.write_metrics(gauges(spark, a=float(n), **{f"only{n}": 1.0}), path)
+    assert shown(spark, path) == [("a", 4.0), *[(f"only{n}", 1.0) for n in range(5)]]
+    assert len(list(Path(path).glob("publish=*"))) <= 3
+
+
+def test_a_publish_during_a_merge_stays_newer(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "metrics")
+    for n in range(3):
+        tables.write_metrics(gauges(spark, a=float(n)), path)
+    write = tables._write_publish
+
+    def meanwhile(*merged):
+        monkeypatch.setattr(tables, "_write_publish", write)
+        tables.write_metrics(gauges(spark, a=9.0), path)
+        write(*merged)
+
+    monkeypatch.setattr(tables, "_write_publish", meanwhile)
+    tables.compact_metrics(spark, path)
+    assert shown(spark, path) == [("a", 9.0)]
+
+
+def test_an_unfinished_publish_is_not_read(spark, tmp_path):
+    path = str(tmp_path / "metrics")
+    tables.write_metrics(gauges(spark, a=1.0), path)
+    tables.write_metrics(gauges(spark, a=2.0), path)
+    newest = sorted(Path(path).glob("publish=*"))[-1]
+    (newest / "_SUCCESS").unlink()
+    assert shown(spark, path) == [("a", 1.0)]

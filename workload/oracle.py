@@ -312,6 +312,9 @@ ORACLE: dict[str, str] = {
         '"' || nameOrig || chr(10) || ',"' || chr(10) || type AS nameOrig) FROM raw)
         SELECT {", ".join(f"COALESCE({name}, '') AS {name}" for name in PAYLOAD.split(", "))} FROM broken""",
     "q_messages": f"WITH {RAW} SELECT nameOrig AS key, {_json_fields(True)} AS value FROM raw",
+    "q_publish_resume": f"""WITH {RAW}, told AS (
+        SELECT {", ".join(f"COALESCE({name}, '') AS {name}" for name in PAYLOAD.split(", "))} FROM raw)
+        SELECT nameOrig AS key, {_json_fields(True)} AS value FROM told""",
     "q_first_days": f"""WITH {RAW} SELECT {PAYLOAD} FROM raw
         WHERE FLOOR((TRY_CAST(step AS INTEGER) - 1) / 24.0) < 3""",
     "q_stream_ingest": f"WITH {BRONZE} {LANDED}",

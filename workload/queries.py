@@ -28,6 +28,7 @@ from ledgermill.schema import PAYLOAD_FIELDS, SILVER_SCHEMA
 from ledgermill.session import shared_folder
 from ledgermill.sources import bronze as bronze_files
 from ledgermill.sources import raw, tables
+from ledgermill.sources.publish import publish
 from ledgermill.streaming.arrivals import arrivals_stream, read_arrivals
 from ledgermill.streaming.ingest import ROLL_RECORDS, ingest_stream
 from workload import inputs
@@ -98,6 +99,18 @@ def q_messages(spark, sf_dir):
     return raw.to_messages(inputs.raw_records(spark, sf_dir))
 
 
+def q_publish_resume(spark, sf_dir):
+    """Messages as two capped publishes and a last one without a cap deliver them, by the ledger."""
+    folder = shared_folder(spark)
+    inputs.raw_records(spark, sf_dir).write.option("header", True).option("escape", '"').csv(f"{folder}/raw")
+    for limit in (10, 700, 0):
+        publish(
+            spark, f"{folder}/raw", f"{folder}/ledger",
+            lambda messages: messages.write.mode("append").parquet(f"{folder}/topic"), limit,
+        )
+    return spark.read.schema("key string, value string").parquet(f"{folder}/topic")
+
+
 def q_first_days(spark, sf_dir):
     return raw.first_days(inputs.raw_records(spark, sf_dir), FEED_DAYS).select(PAYLOAD_FIELDS)
 
