@@ -42,8 +42,8 @@ MOST_RANKS = 2000
 
 SHARD_BITS = 3
 SHARDS = 1 << SHARD_BITS
-FLUSH_HASHES = 2_000_000
-FLUSH_PHRASES = 1_000_000
+FLUSH_HASHES = 1_000_000
+FLUSH_PHRASES = 500_000
 BUCKET_PHRASES = 1_000_000
 KEPT_BITS = 37  # of a hash below its bucket
 MOST_BITS = 29  # the bitmap has at most 2 ** 29 bits: 64 MB
