@@ -14,6 +14,7 @@ are replaced and crossed off with the new ``account_risk``, so a run that dies i
 from __future__ import annotations
 
 from collections.abc import Iterable
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -96,8 +97,13 @@ def update_gold(
     silver = tables.read_days(spark, silver_path, SILVER_SCHEMA, days)
     if built:
         _note_touched(read_day_table(spark, gold_path, "account_days", days), touched_path)
-    for name, fill in partials.DAY_TABLES.items():
-        tables.replace_days(fill(silver), _folder(gold_path, name), days)
+
+    def replace(name: str) -> None:
+        tables.replace_days(partials.DAY_TABLES[name](silver), _folder(gold_path, name), days)
+
+    # The tables do not depend on each other; small ones would leave most of the cluster idle.
+    with ThreadPoolExecutor(len(partials.DAY_TABLES)) as writers:
+        list(writers.map(replace, partials.DAY_TABLES))
     tables.replace_days(_checked(spark, silver, gold_path, days), _folder(gold_path, "checks"), days)
     if built and not everything:
         _note_touched(read_day_table(spark, gold_path, "account_days", days), touched_path)

@@ -13,6 +13,7 @@ from ledgermill.operators import (
     gate,
     gold,
     kpis,
+    partials,
     quality,
     reconcile,
     runlog,
@@ -245,8 +246,9 @@ def q_hourly_summary(spark, sf_dir):
 
 
 def q_account_risk(spark, sf_dir):
-    """From stored Silver, which is read twice: for the accounts with fraud and for their payments."""
-    rows = gold.sorted_accounts(gold.account_risk(_stored_silver(spark, sf_dir)))
+    """From the daily sums of accounts, as a run keeps them: Silver is worked out once."""
+    days = partials.accounts(_silver(spark, sf_dir))
+    rows = gold.sorted_accounts(partials.account_risk(days))
     return rows.withColumn("last_tx_at", wall_time("last_tx_at"))
 
 
