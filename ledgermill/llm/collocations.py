@@ -42,6 +42,7 @@ MOST_RANKS = 2000
 
 SHARD_BITS = 3
 SHARDS = 1 << SHARD_BITS
+# What a task holds before it counts: more combines better, and takes more memory in each Python worker.
 FLUSH_HASHES = 1_000_000
 FLUSH_PHRASES = 500_000
 BUCKET_PHRASES = 1_000_000
