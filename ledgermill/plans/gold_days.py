@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgermill.operators import gold, partials, quality
+from ledgermill.operators import gold, kpis, partials, quality
 from ledgermill.operators.quality import EXPECTATIONS
 from ledgermill.schema import SILVER_SCHEMA
 from ledgermill.session import drop_folder, path_exists
@@ -99,7 +99,8 @@ def update_gold(
         _note_touched(read_day_table(spark, gold_path, "account_days", days), touched_path)
 
     def replace(name: str) -> None:
-        tables.replace_days(partials.DAY_TABLES[name](silver), _folder(gold_path, name), days)
+        rows = partials.DAY_TABLES[name](silver)
+        tables.replace_days(rows, _folder(gold_path, name), days, partials.DAY_ORDER.get(name, ()))
 
     # The tables do not depend on each other; small ones would leave most of the cluster idle.
     with ThreadPoolExecutor(len(partials.DAY_TABLES)) as writers:
@@ -174,5 +175,24 @@ def expectations(spark: SparkSession, gold_path: str) -> DataFrame:
     return by_day.select(quality.RESULT_COLUMNS).unionByName(quality.evaluate(risk))
 
 
+def top_receivers(spark: SparkSession, gold_path: str, n: int = kpis.TOP_ACCOUNTS) -> DataFrame:
+    """``kpis.top_receivers`` over all days, from their heads and the counts that can matter.
+
+    The n-th sum over the heads is what n receivers have for sure. Should heads be older than the counts,
+    as in the middle of a run, the n-th row found falls short of it, and all counts are added up instead.
+    At most n rows reach the driver.
+    """
+    counts = read_day_table(spark, gold_path, "receiver_days")
+    n_days = len(tables.files_by_day(spark, _folder(gold_path, "receiver_days")))
+    heads = read_day_table(spark, gold_path, "receiver_heads")
+    sure = partials.nth_total(partials.top_receivers(heads, n), n)
+    found = partials.top_by_threshold(counts, n_days, n, sure)
+    rows = found.collect()
+    if sure and (len(rows) < n or rows[-1].recv_count < sure):
+        rows = partials.top_receivers(counts, n).collect()
+    # One partition, as the rows are in order.
+    return spark.createDataFrame(rows, found.schema).coalesce(1)
+
+
 def published(spark: SparkSession, gold_path: str) -> dict[str, DataFrame]:
     return {name: read_gold_table(spark, gold_path, name) for name in gold.GOLD_TABLES}

@@ -11,10 +11,16 @@ from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
 from ledgermill.functions import event_date, int_prefix
-from ledgermill.operators import gate, partials, quality, reconcile, runlog, silver, validation
+from ledgermill.operators import gate, quality, reconcile, runlog, silver, validation
 from ledgermill.plans import metrics as metrics_plan
 from ledgermill.plans.bronze_days import read_bronze_days, update_bronze_days
-from ledgermill.plans.gold_days import expectations, read_day_table, read_gold_table, update_gold
+from ledgermill.plans.gold_days import (
+    expectations,
+    read_day_table,
+    read_gold_table,
+    top_receivers,
+    update_gold,
+)
 from ledgermill.schema import (
     FIRST_STEP,
     LAST_STEP,
@@ -288,7 +294,7 @@ def run_days(
             gauges = metrics_plan.assemble(
                 layers,
                 read_gold_table(spark, lake.gold, "hourly_summary"),
-                partials.top_receivers(read_day_table(spark, lake.gold, "receiver_days")),
+                top_receivers(spark, lake.gold),
                 tables.read_log(spark, lake.run_log, RUN_LOG_SCHEMA),
             )
             tables.write_metrics(gauges, lake.metrics)

@@ -141,11 +141,16 @@ def files_by_day(spark: SparkSession, path: str, below: str = "") -> dict[date,
     return {day: sha256(" ".join(sorted(names)).encode()).hexdigest() for day, names in found.items()}
 
 
-def replace_days(rows: DataFrame, path: str, days: Iterable[date]) -> None:
-    """Replace the given event days by those of ``rows``; a day without rows is gone after it."""
+def replace_days(rows: DataFrame, path: str, days: Iterable[date], order: Iterable[str] = ()) -> None:
+    """Replace the given event days by those of ``rows``; a day without rows is gone after it.
+
+    Each file is sorted by the columns of ``order``, so that filters on them skip its pages.
+    """
     spark, root = rows.sparkSession, path.rstrip("/")
     before = files_by_day(spark, root)
-    _replace_partitions(rows.hint("rebalance", "tx_date"), root, "tx_date")
+    gathered = rows.hint("rebalance", "tx_date")
+    gathered = gathered.sortWithinPartitions("tx_date", *order) if order else gathered
+    _replace_partitions(gathered, root, "tx_date")
     after = files_by_day(spark, root)
     for day in days:
         if day in before and before[day] == after.get(day):

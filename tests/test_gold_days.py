@@ -6,6 +6,7 @@ from decimal import Decimal
 from pathlib import Path
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ledgermill.operators import gold, kpis, partials, quality, reconcile, silver, validation
@@ -14,6 +15,7 @@ from ledgermill.plans.bronze_days import read_bronze_days, update_bronze_days
 from ledgermill.plans.gold_days import (
     build_gold,
     changed_days,
+    day_schema,
     expectations,
     read_day_table,
     read_gold_table,
@@ -54,6 +56,9 @@ def check_equal_to_a_full_build(spark, silver_path, gold_path):
     assert as_set(read_day_table(spark, gold_path, "day_counts")) == as_set(partials.counts(rows))
     top = partials.top_receivers(read_day_table(spark, gold_path, "receiver_days"))
     assert top.collect() == kpis.top_receivers(rows).collect()
+    for n in (1, 4, 50):
+        found = gold_days.top_receivers(spark, gold_path, n)
+        assert found.collect() == kpis.top_receivers(rows, n).collect()
     full = quality.evaluate({"silver": rows} | {name: build(rows) for name, build in gold.GOLD_TABLES.items()})
     assert as_set(expectations(spark, gold_path)) == as_set(full)
     assert read_gold_table(spark, gold_path, "account_risk").dtypes == gold.account_risk(rows).dtypes
@@ -174,6 +179,86 @@ def test_empty_silver(spark, lake):
     assert {r.failures for r in expectations(spark, gold_path).collect()} == {0}
 
 
+def write_receivers(spark, gold_path, rows):
+    """Daily counts of receivers and their heads as a run leaves them, from ``nameDest, tx_date, recv_count``."""
+    table = spark.createDataFrame(rows, "nameDest string, tx_date date, recv_count long") if isinstance(rows, list) else rows
+    columns = day_schema(spark, "receiver_days").fieldNames()
+    order = Window.partitionBy("tx_date").orderBy(F.desc("recv_count"), "nameDest")
+    heads = table.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= partials.HEAD)
+    days = [r.tx_date for r in table.select("tx_date").distinct().collect()]
+    for name, part in {"receiver_days": table, "receiver_heads": heads}.items():
+        tables.replace_days(part.select(columns), f"{gold_path}/{name}", days, partials.DAY_ORDER.get(name, ()))
+    return table
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_top_receivers_by_threshold_equal_the_full_sum(spark, tmp_path, monkeypatch, seed):
+    """Small heads, many equal totals, and receivers that are large only over all days together."""
+    monkeypatch.setattr(partials, "HEAD", 3)
+    monkeypatch.setattr(partials, "MOST_NAMES", (0, 1, 200, 200)[seed])
+    rng = random.Random(seed)
+    rows = [
+        (f"M{name:03d}", FIRST + timedelta(days=day), rng.choice([1, 1, 2, 3, 30 if name < 12 else 4]))
+        for day in range(6) for name in range(60) if rng.random() < 0.6
+    ]
+    rows += [("steady", FIRST + timedelta(days=day), 4) for day in range(6)]
+    table = write_receivers(spark, str(tmp_path), rows)
+    for n in (1, 2, 5, 17, 100):
+        found = gold_days.top_receivers(spark, str(tmp_path), n)
+        assert found.collect() == partials.top_receivers(table, n).collect()
+
+
+def test_heads_older_than_the_counts_do_no_harm(spark, tmp_path):
+    """Heads still hold a receiver whose payments were taken back."""
+    path = str(tmp_path)
+    old = [("A", FIRST, 90), ("B", FIRST, 80)] + [(f"M{i}", FIRST, 1 + i % 3) for i in range(30)]
+    write_receivers(spark, path, old)
+    now = spark.createDataFrame(old[2:], "nameDest string, tx_date date, recv_count long")
+    columns = day_schema(spark, "receiver_days").fieldNames()
+    tables.replace_days(now.select(columns), f"{path}/receiver_days", [FIRST], partials.DAY_ORDER["receiver_days"])
+    assert gold_days.top_receivers(spark, path, 2).collect() == partials.top_receivers(now, 2).collect()
+
+
+def rows_scanned(df) -> int:
+    """Rows that the file scans of an executed frame handed on, after skipped row groups and pages."""
+    def scans(plan):
+        if plan.nodeName().startswith("AdaptiveSparkPlan"):
+            return scans(plan.executedPlan())
+        if "QueryStage" in plan.nodeName():
+            return scans(plan.plan())
+        if plan.nodeName().startswith("Scan parquet"):
+            return plan.metrics().apply("numOutputRows").value()
+        return sum(scans(plan.children().apply(i)) for i in range(plan.children().size()))
+
+    df.collect()
+    return scans(df._jdf.queryExecution().executedPlan())
+
+
+def test_top_receivers_read_a_share_of_the_counts(spark, tmp_path):
+    """Nearly all receivers have one payment on a day; pages of these are skipped."""
+    path, n_days, each = str(tmp_path), 4, 150_000
+    many = spark.range(n_days * each).selectExpr(
+        "concat('M', lpad(cast(id % 150000 as string), 7, '0')) as nameDest",
+        f"date_add(date'{FIRST}', cast(id div {each} as int)) as tx_date",
+        "case when id % 150000 < 40 then 100 + id % 40 else 1 end as recv_count",
+    )
+    table = write_receivers(spark, path, many)
+    counts = read_day_table(spark, path, "receiver_days")
+    sure = partials.nth_total(partials.top_receivers(read_day_table(spark, path, "receiver_heads"), 10), 10)
+    found = partials.top_by_threshold(counts, n_days, 10, sure)
+    share = rows_scanned(found) / rows_scanned(partials.top_receivers(counts, 10))
+    assert found.collect() == partials.top_receivers(table, 10).collect()
+    assert share < 0.5, share
+
+
+def test_daily_counts_are_sorted_without_another_shuffle(spark, tmp_path):
+    path = str(tmp_path)
+    write_receivers(spark, path, [(f"M{i % 40}", FIRST + timedelta(days=i // 40), 40 - i % 40) for i in range(120)])
+    for file in Path(path, "receiver_days").glob("*/part-*"):
+        rows = [tuple(r) for r in spark.read.parquet(str(file)).select("recv_count", "nameDest").collect()]
+        assert rows == sorted(rows)
+
+
 DAY = 86_400_000
 
 

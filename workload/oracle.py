@@ -356,6 +356,8 @@ ORACLE: dict[str, str] = {
     "q_gold_by_day_accounts": f"""WITH {GOLD} SELECT * FROM accounts
         ORDER BY fraud_amount DESC, account_id""",
     "q_gold_by_day_hours": f"WITH {GOLD} SELECT * FROM hourly ORDER BY tx_hour, type",
+    "q_gold_by_day_receivers": f"""WITH {SILVER} SELECT nameDest, COUNT(*) AS recv_count
+        FROM silver WHERE isFraud = 1 GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 10""",
     "q_bronze_days": f"WITH {DAYS} SELECT * FROM bronze_days",
     "q_silver_by_date": f"WITH {DAYS} SELECT * FROM silver_days",
     "q_gold_by_date": f"WITH {DAYS} SELECT * FROM gold_days",

@@ -23,7 +23,7 @@ from ledgermill.operators import (
 from ledgermill.plans import metrics as metrics_plan
 from ledgermill.plans import panels
 from ledgermill.plans.bronze_days import read_bronze_days, update_bronze_days
-from ledgermill.plans.gold_days import read_gold_table, update_gold
+from ledgermill.plans.gold_days import read_gold_table, top_receivers, update_gold
 from ledgermill.plans.run import Lake, all_days, load_silver, run_days
 from ledgermill.schema import PAYLOAD_FIELDS, SILVER_SCHEMA
 from ledgermill.session import shared_folder
@@ -442,6 +442,11 @@ def q_gold_by_day_hours(spark, sf_dir):
     return gold.sorted_hourly(hours).withColumn("tx_hour", wall_time("tx_hour"))
 
 
+def q_gold_by_day_receivers(spark, sf_dir):
+    """Top receivers from the heads of the days and the counts that can matter."""
+    return top_receivers(spark, _reloaded_gold(spark, sf_dir))
+
+
 def q_bronze_days(spark, sf_dir):
     """Bronze's own counts, kept as ingest days come in one after the other, each payment counted once."""
     path = shared_folder(spark)
