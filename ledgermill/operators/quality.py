@@ -58,12 +58,16 @@ def not_null(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
-def unique(df: DataFrame, column: str) -> DataFrame:
+def unique(df: DataFrame, column: str, key_local: bool = False) -> DataFrame:
     """Values that occur more than once; NULL is no value.
 
     All rows are counted by a 64-bit hash, so only eight bytes of a long key are shuffled; the few
-    values whose hash occurs again are then counted in full.
+    values whose hash occurs again are then counted in full. ``key_local`` counts the values themselves in
+    one pass, which needs no shuffle where the table is bucketed by the column.
     """
+    if key_local:
+        values = df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("n"))
+        return _violations(values.filter("n > 1"), "unique", column)
     return _violations(_repeated(df.withColumn("no_day", F.lit(0)), "no_day", column), "unique", column)
 
 

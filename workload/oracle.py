@@ -356,6 +356,13 @@ ORACLE: dict[str, str] = {
     "q_gold_by_day_accounts": f"""WITH {GOLD} SELECT * FROM accounts
         ORDER BY fraud_amount DESC, account_id""",
     "q_gold_by_day_hours": f"WITH {GOLD} SELECT * FROM hourly ORDER BY tx_hour, type",
+    "q_store_payments": f"WITH {SILVER} {SILVER_COLUMNS}",
+    "q_store_repeated": f"""WITH {TYPED} SELECT 'row_id' AS column_name, COUNT(*) AS failures,
+        CAST(COALESCE(SUM(n), 0) AS BIGINT) AS failed_rows
+        FROM (SELECT row_id, COUNT(DISTINCT COALESCE(kafka_timestamp // 60000 % 2, 0)) AS n
+              FROM typed GROUP BY 1) WHERE n > 1""",
+    "q_store_merged": f"""WITH {SILVER} SELECT tx_date, COUNT(*) AS n,
+        CAST(SUM(amount) AS DECIMAL(28,2)) AS total_amount FROM silver GROUP BY 1""",
     "q_gold_by_day_receivers": f"""WITH {SILVER} SELECT nameDest, COUNT(*) AS recv_count
         FROM silver WHERE isFraud = 1 GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 10""",
     "q_bronze_days": f"WITH {DAYS} SELECT * FROM bronze_days",

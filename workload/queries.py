@@ -21,7 +21,7 @@ from ledgermill.operators import (
     validation,
 )
 from ledgermill.plans import metrics as metrics_plan
-from ledgermill.plans import panels
+from ledgermill.plans import panels, payment_store
 from ledgermill.plans.bronze_days import read_bronze_days, update_bronze_days
 from ledgermill.plans.gold_days import read_gold_table, top_receivers, update_gold
 from ledgermill.plans.run import Lake, all_days, load_silver, run_days
@@ -417,6 +417,45 @@ def q_run_day_by_day(spark, sf_dir):
     return _silver_columns(tables.read_silver(spark, lake.silver))
 
 
+def _payment_store(spark, sf_dir):
+    """The bucketed store after two batches that hold the deliveries of even and of odd minutes.
+
+    A redelivery comes a minute later, so it is in the other batch than the first delivery. The second
+    batch is taken in twice.
+    """
+    path = shared_folder(spark)
+    labelled = _labelled(spark, sf_dir)
+    minute = F.coalesce(F.floor(F.col("kafka_timestamp") / 60_000) % 2, F.lit(0))
+    for part in (0, 1, 1):
+        payment_store.take_in_bronze(labelled.filter(minute == part), path)
+    return path
+
+
+def q_store_payments(spark, sf_dir):
+    """One row per payment over all batches, read from its buckets without an exchange."""
+    return _silver_columns(payment_store.read_payments(spark, _payment_store(spark, sf_dir)))
+
+
+def q_store_repeated(spark, sf_dir):
+    """Row keys that came in more than one batch, each batch without copies of its own."""
+    path = shared_folder(spark)
+    labelled = _labelled(spark, sf_dir)
+    minute = F.coalesce(F.floor(F.col("kafka_timestamp") / 60_000) % 2, F.lit(0))
+    for part in (1, 0):
+        payment_store.take_in_bronze(labelled.filter(minute == part), path)
+    return payment_store.repeated_keys(spark, path).select("column_name", "failures", "failed_rows")
+
+
+def q_store_merged(spark, sf_dir):
+    """Rows of each day once the files of its batches are merged, copies gone."""
+    path = _payment_store(spark, sf_dir)
+    first, last = all_days()
+    payment_store.merge_batches(spark, path, [first + timedelta(days=n) for n in range((last - first).days + 1)])
+    return payment_store.read_batches(spark, path).groupBy("tx_date").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("amount").alias("total_amount")
+    )
+
+
 def _reloaded_gold(spark, sf_dir):
     """Gold brought up to date after each load: half of the records, then all, some days at a time."""
     folder = shared_folder(spark)
