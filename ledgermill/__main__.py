@@ -5,10 +5,11 @@ from __future__ import annotations
 import argparse
 import sys
 
-from ledgermill.operators import gate
+from ledgermill.operators import gate, validation
+from ledgermill.plans import payment_store
 from ledgermill.plans.gold_days import build_gold
 from ledgermill.plans.run import Lake, load_silver, run_days
-from ledgermill.schema import STEP_EPOCH
+from ledgermill.schema import STEP_EPOCH, as_day
 from ledgermill.session import build_session, path_exists
 from ledgermill.sources import raw, tables
 from ledgermill.sources.bronze import read_bronze
@@ -60,6 +61,16 @@ def _parser() -> argparse.ArgumentParser:
     _add_window(silver)
     _add_rules(silver)
 
+    store = commands.add_parser("store", help="valid records of Bronze to the bucketed store, and Silver from it")
+    store.add_argument("--store-path", required=True)
+    store.add_argument("--bronze-path", help="take in its records; one ingest day or window at a time")
+    store.add_argument("--buckets", type=int, help="buckets of a day, for the first batch only")
+    store.add_argument("--merge-day", action="append", default=[], help="merge the files of an event day")
+    store.add_argument("--silver-path", help="write Silver from the store")
+    store.add_argument("--target-tx-date", help="one event day of Silver, all days if left out")
+    _add_window(store)
+    _add_rules(store)
+
     gold = commands.add_parser("gold", help="Silver to the Gold tables")
     gold.add_argument("--silver-path", required=True)
     gold.add_argument("--gold-path", required=True)
@@ -167,6 +178,19 @@ def _silver(spark, args) -> int:
     return 0
 
 
+def _store(spark, args) -> int:
+    if args.bronze_path:
+        bronze = read_bronze(spark, args.bronze_path, args.ingest_from, args.ingest_to)
+        labelled = validation.label(bronze, args.strict)
+        payment_store.take_in_bronze(labelled, args.store_path, args.buckets, args.step_epoch)
+    payment_store.merge_batches(spark, args.store_path, map(as_day, args.merge_day))
+    if args.silver_path:
+        payment_store.write_silver_days(spark, args.store_path, args.silver_path, args.target_tx_date)
+    found = payment_store.repeated_keys(spark, args.store_path).first()
+    print(f"buckets={payment_store.bucket_count(spark, args.store_path)} in_several_batches={found.failures}")
+    return 0
+
+
 def _gold(spark, args) -> int:
     build_gold(spark, args.silver_path, args.gold_path)
     return 0
@@ -212,6 +236,7 @@ COMMANDS = {
     "ingest": _ingest,
     "arrivals": _arrivals,
     "silver": _silver,
+    "store": _store,
     "gold": _gold,
     "ready": _ready,
     "run": _run,

@@ -20,7 +20,8 @@ from pyspark.sql import functions as F
 
 from ledgermill.operators import quality, silver
 from ledgermill.schema import SILVER_SCHEMA, STEP_EPOCH
-from ledgermill.session import path_exists
+from ledgermill.session import full_path, path_exists
+from ledgermill.sources import tables
 
 KEY = "row_id"
 DAY = "tx_date"
@@ -47,7 +48,8 @@ def bucket_count(spark: SparkSession, path: str) -> int | None:
 
 def _open(spark: SparkSession, path: str, buckets: int) -> str:
     """Name of the table in this session, its days as they now are in the folder."""
-    rows = f"{path.rstrip('/')}/rows"
+    # The catalog takes relative paths as below its own warehouse.
+    rows = full_path(spark, f"{path.rstrip('/')}/rows")
     name = f"payments_{sha256(rows.encode()).hexdigest()[:24]}"
     columns = ", ".join(f"{f} {SILVER_SCHEMA[f].dataType.simpleString()}" for f in STORED)
     location = rows.replace("\\", "\\\\").replace("'", "\\'")
@@ -109,6 +111,16 @@ def read_payments(
     return silver.dedup(read_batches(spark, path, start, end))
 
 
+def write_silver_days(
+    spark: SparkSession, path: str, silver_path: str, start: str | date | None = None, end: str | date | None = None
+) -> None:
+    """Replace days of Silver from the store: Bronze is not parsed again, and nothing is shuffled.
+
+    Each bucket becomes a file of its day, so a day with a third of all rows is written by all tasks.
+    """
+    tables.write_silver(read_payments(spark, path, start, end), silver_path, many_days=False)
+
+
 def repeated_keys(spark: SparkSession, path: str) -> DataFrame:
     """``quality.unique`` on the row keys of all batches: how many came in more than one.
 

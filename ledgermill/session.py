@@ -102,6 +102,12 @@ def path_exists(spark: SparkSession, pattern: str) -> bool:
     return bool(files.globStatus(hadoop_path))
 
 
+def full_path(spark: SparkSession, path: str) -> str:
+    """The path with its file system, and absolute."""
+    files, hadoop_path = _file_system(spark, path)
+    return files.makeQualified(hadoop_path).toString()
+
+
 def list_paths(spark: SparkSession, pattern: str) -> list[str]:
     """Files and folders that match a glob pattern."""
     files, hadoop_path = _file_system(spark, pattern)

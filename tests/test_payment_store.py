@@ -6,9 +6,12 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
+from ledgermill.__main__ import main
 from ledgermill.operators import quality, silver, validation
 from ledgermill.plans import payment_store as store
 from ledgermill.schema import SILVER_SCHEMA
+from ledgermill.sources import tables
+from ledgermill.sources.bronze import write_bronze
 from tests.records import bronze, record
 
 FIRST = date(2016, 1, 1)
@@ -135,6 +138,26 @@ def test_a_redelivered_payment_loads_no_task(spark, tmp_path):
     assert store.read_batches(spark, path).count() == 2001
 
 
+def test_silver_from_the_store_by_command(spark, tmp_path, capsys):
+    """Bronze is taken in by two windows; Silver of a day, then of all days, equals the dedup of Bronze."""
+    bronze_path, path, silver_path = (str(tmp_path / name) for name in ("bronze", "store", "silver"))
+    day = 86_400_000
+    one, again, *_ = batches()
+    records = one + [r | {"kafka_timestamp": r["kafka_timestamp"] + day} for r in again]
+    write_bronze(bronze(spark, *records), bronze_path)
+    command = ["store", "--store-path", path, "--buckets", "3"]
+    assert main([*command, "--bronze-path", bronze_path, "--ingest-to", "2026-01-01"]) == 0
+    assert main([*command, "--bronze-path", bronze_path, "--ingest-from", "2026-01-02"]) == 0
+    assert capsys.readouterr().out.splitlines()[-1] == "buckets=3 in_several_batches=15"
+    full = silver.dedup(silver.to_silver(labelled(spark, *records)))
+    assert main([*command, "--silver-path", silver_path, "--target-tx-date", "2016-01-02"]) == 0
+    assert as_set(tables.read_silver(spark, silver_path)) == as_set(silver.event_days(full, "2016-01-02"))
+    merged = ["--merge-day", "2016-01-01", "--merge-day", "2016-01-02", "--merge-day", "2016-01-03"]
+    assert main([*command, "--silver-path", silver_path, *merged]) == 0
+    assert as_set(tables.read_silver(spark, silver_path)) == as_set(full)
+    assert capsys.readouterr().out.splitlines()[-1] == "buckets=3 in_several_batches=0"
+
+
 def test_no_batch_and_empty_batches(spark, tmp_path):
     path = str(tmp_path / "a store's")
     assert store.read_payments(spark, path).count() == 0
