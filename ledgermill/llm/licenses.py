@@ -4,14 +4,17 @@ Paragraphs are the lines of a text, and runs of neighbouring lines without a bla
 notices are wrapped: from each line on as far as the longest template may reach. Word unigrams and bigrams of the templates below are the
 features of a sparse multinomial logistic regression over licence families and ``unknown``. It is
 trained on the driver from variations of the templates, on scrambled and single template words, and
-on a bounded sample of the corpus's own lines as ``unknown``; its probability cut is calibrated on
-variations it has not seen. A prediction stands only if enough of one template of that family occurs
+on a bounded sample of the corpus's own lines as ``unknown``, of which the driver gets template words
+and grams only; its probability cut is calibrated on variations it has not seen. A prediction stands only if enough of one template of that family occurs
 in the paragraph. Of overlapping paragraphs the one that holds most of its template stands, of equal
 ones the shortest; another stands beside it only with another family and template words of its own.
 
 Scanning is one expression per text, without a shuffle. A line without any word that carries a
 feature has the score of an empty line, which is ``unknown``, so only the other lines are scored; runs only in a text that has enough bigrams of some
-template. Comment marks are no words, and a line without words is blank.
+template, and of those only what a shorter run cannot say as well: a run whose first or last line adds
+no telling word and no template bigram has the same prediction and the same share of a template as the
+run without that line, which would stand in its place. Comment marks are no words, and a line without
+words is blank.
 
 Edge cases: NULL and empty texts have no licences; repeated rows are scanned one by one; an empty
 table gives no rows (and no corpus lines to train on, which is fine); other columns are not looked
@@ -90,6 +93,8 @@ CONFIRM = 0.6  # share of a template's bigrams that must occur
 REACH = 2 * max(len(re.findall("[a-z0-9]+", t.lower())) for ts in TEMPLATES.values() for t in ts)  # words a wrapped notice may take
 MAX_CORPUS_LINES = 2000  # bound of the corpus sample that is learnt as unknown
 VARIATIONS = 24  # of each template; a quarter of them calibrates
+HEAD = 12  # words of a corpus line that may stand beside a variation
+OTHER = "~"
 EPOCHS = 200
 L1, STEP = 2e-4, 1.0
 
@@ -104,6 +109,31 @@ def grams(ws: list[str]) -> set[str]:
     return {w for w in ws if w not in STOP} | set(pairs)
 
 
+def _all_pairs(template: str) -> list[str]:
+    ws = words(template)
+    return sorted({f"{a} {b}" for a, b in zip(ws, ws[1:])})
+
+
+_TEMPLATE_LINES = [t for ts in TEMPLATES.values() for t in ts]
+_TEMPLATE_WORDS = sorted({w for t in _TEMPLATE_LINES for w in words(t)})
+_TEMPLATE_PAIRS = sorted({p for t in _TEMPLATE_LINES for p in _all_pairs(t)})
+_TEMPLATE_GRAMS = sorted({g for t in _TEMPLATE_LINES for g in grams(words(t))})
+_WHOLE = sorted({" ".join(words(t)) for t in _TEMPLATE_LINES})
+
+
+@dataclass(frozen=True)
+class Evidence:
+    """What training uses of a line; its size does not depend on the line's.
+
+    ``head`` are its first words, ``OTHER`` for those of no template; ``grams`` its template grams;
+    ``notice`` says that it holds a template, or is mostly a part of one, as lines of wrapped notices are.
+    """
+
+    head: tuple[str, ...]
+    grams: frozenset[str]
+    notice: bool
+
+
 @dataclass
 class LicenseModel:
     families: list[str]
@@ -116,42 +146,33 @@ class LicenseModel:
         return sorted({w for g in self.weights for w in g.split(" ") if w not in STOP})
 
 
-def train(corpus_lines: list[str], seed: int = 0) -> LicenseModel:
+def train(corpus: list[Evidence], seed: int = 0) -> LicenseModel:
     """Proximal gradient descent on variations of the templates, and calibration of the cut."""
     random = np.random.default_rng(seed)
     families = [*TEMPLATES, UNKNOWN]
-    fillers = [ws for line in corpus_lines if (ws := words(line))] or [["lorem", "ipsum", "dolor", "sit"]]
-    rows: list[tuple[list[str], int, bool]] = []
+    corpus = corpus or [Evidence((OTHER,) * 4, frozenset(), False)]
+    rows: list[tuple[set[str] | frozenset[str], int, bool]] = []
     for f, family in enumerate(TEMPLATES):
         for template in TEMPLATES[family]:
             ws = words(template)
             for v in range(VARIATIONS):
                 cut = int(random.integers(0, len(ws) // 4 + 1)) if v and len(ws) > 6 else 0
                 kept = ws[: len(ws) - cut]
-                extra = fillers[int(random.integers(len(fillers)))][: int(random.integers(0, 12))] if v % 3 == 1 else []
-                rows.append(((extra + kept) if v % 2 else (kept + extra), f, v % 4 == 3))
+                extra = list(corpus[int(random.integers(len(corpus)))].head[: int(random.integers(0, HEAD))]) if v % 3 == 1 else []
+                rows.append((grams((extra + kept) if v % 2 else (kept + extra)), f, v % 4 == 3))
     telling = sorted({w for t in TEMPLATES.values() for x in t for w in words(x) if w not in STOP})
     none = len(families) - 1
-    rows += [([w], none, False) for w in telling] + [([], none, False)]
+    rows += [({w}, none, False) for w in telling] + [(set(), none, False)]
     for i in range(800):
         picked = [str(w) for w in random.choice(telling, int(random.integers(2, 6)))]
-        rows.append((picked, none, i % 4 == 3))
-    known = {" ".join(words(x)) for t in TEMPLATES.values() for x in t}
-    pairs = {p for t in TEMPLATES.values() for x in t for p in _all_pairs(x)}
-
-    def is_notice(ws: list[str]) -> bool:
-        """Whether a line holds a template, or is mostly a part of one, as lines of wrapped notices are."""
-        own = [f"{a} {b}" in pairs for a, b in zip(ws, ws[1:])]
-        return any(own) and (2 * sum(own) >= len(own) or any(k in " ".join(ws) for k in known))
-
-    plain = [ws for ws in fillers if not is_notice(ws)]
-    rows += [(ws, none, i % 4 == 3) for i, ws in enumerate(plain)]
+        rows.append((grams(picked), none, i % 4 == 3))
+    rows += [(line.grams, none, i % 4 == 3) for i, line in enumerate(x for x in corpus if not x.notice)]
 
-    names = sorted({g for t in TEMPLATES.values() for x in t for g in grams(words(x))})
+    names = _TEMPLATE_GRAMS
     at = {g: i for i, g in enumerate(names)}
     x = np.zeros((len(rows), len(names)), dtype=np.float32)
-    for i, (ws, _, _) in enumerate(rows):
-        x[i, [at[g] for g in grams(ws) if g in at]] = 1
+    for i, (own, _, _) in enumerate(rows):
+        x[i, [at[g] for g in own if g in at]] = 1
     y = np.array([r[1] for r in rows])
     held = np.array([r[2] for r in rows])
     hot = np.eye(len(families), dtype=np.float32)[y]
@@ -203,26 +224,27 @@ def licenses_of(text: Column, model: LicenseModel) -> Column:
     lines = F.split(F.coalesce(text, F.lit("")), "\n", -1)
     placed = F.transform(lines, lambda x, i: F.struct(i.alias("line"), _line_words(x).alias("ws")))
     telling = model.telling
+    features = sorted(model.weights)
     table = F.from_json(F.lit(json.dumps(model.weights)), "map<string,array<double>>")
     bias = F.array(*[F.lit(v) for v in model.bias])
     names = F.array(*[F.lit(f) for f in model.families])
     pairs = {f: [_all_pairs(t) for t in ts] for f, ts in TEMPLATES.items()}
     templates = F.from_json(F.lit(json.dumps(pairs)), "map<string,array<array<string>>>")
     every = F.from_json(F.lit(json.dumps([t for ts in pairs.values() for t in ts])), "array<array<string>>")
-    known = sorted({p for ts in pairs.values() for t in ts for p in t})
+    says = sorted({*telling, *_TEMPLATE_PAIRS})
 
-    def possible(ws: Column) -> Column:
-        """Whether enough bigrams of any template occur."""
-        return let(
-            F.array_distinct(F.filter(_pairs(ws), lambda p: p.isin(known))),
-            lambda hits: F.exists(every, lambda t: F.size(F.array_intersect(t, hits)) >= CONFIRM * F.size(t)),
-        )
+    def fits(template: Column, content: Column) -> Column:
+        return F.size(F.array_intersect(template, content)) >= CONFIRM * F.size(template)
 
-    def judged(line: Column, last: Column, ws: Column) -> Column:
-        found = F.array_distinct(F.concat(ws, _pairs(ws)))
-        hits = F.filter(F.transform(found, lambda g: F.try_element_at(table, g)), lambda v: v.isNotNull())
-        scores = F.aggregate(hits, bias, lambda acc, v: F.zip_with(acc, v, lambda a, c: a + c))
+    def content_of(ws: Column) -> Column:
+        """The telling words and template bigrams of a sequence of words."""
+        return F.array_distinct(F.filter(F.concat(ws, _pairs(ws)), lambda g: g.isin(says)))
 
+    def scored(start: Column, content: Column) -> Column:
+        hits = F.transform(F.filter(content, lambda g: g.isin(features)), lambda g: F.try_element_at(table, g))
+        return F.aggregate(hits, start, lambda acc, v: F.zip_with(acc, v, lambda a, c: a + c))
+
+    def judged(line: Column, last: Column, scores: Column, content: Column) -> Column:
         def decide(z: Column) -> Column:
             best = F.array_max(z)
             total = F.aggregate(z, F.lit(0.0), lambda acc, v: acc + F.exp(v - best))
@@ -233,7 +255,7 @@ def licenses_of(text: Column, model: LicenseModel) -> Column:
             near = F.transform(
                 F.coalesce(F.try_element_at(templates, sure), F.array().cast("array<array<string>>")),
                 lambda t: let(
-                    F.array_intersect(t, _pairs(ws)),
+                    F.array_intersect(t, content),
                     lambda own: F.struct((F.size(own) / F.size(t)).alias("share"), own.alias("own")),
                 ),
             )
@@ -254,92 +276,199 @@ def licenses_of(text: Column, model: LicenseModel) -> Column:
 
         return let(scores, decide)
 
-    def runs(p: Column, start: Column) -> Column:
-        """(last, ws) of the runs of two lines and more from a line on, each a line longer."""
-        begin = F.struct(
-            F.slice(start["ws"], F.greatest(F.size(start["ws"]) - REACH + 1, F.lit(1)), REACH).alias("ws"),
-            F.lit(0).alias("n"),
-            F.array().cast("array<struct<last:int,ws:array<string>>>").alias("made"),
+    def marked(p: Column) -> Column:
+        """Lines with what they say: ``inner`` of their own, ``join`` together with the line before."""
+
+        def mark(x: Column) -> Column:
+            before = F.get(p, x["line"] - 1)["ws"]
+            joint = F.concat_ws(" ", F.get(before, F.size(before) - 1), F.get(x["ws"], F.lit(0)))
+            return F.struct(
+                x["line"].alias("line"),
+                x["ws"].alias("ws"),
+                content_of(x["ws"]).alias("inner"),
+                F.filter(F.array(joint), lambda g: g.isin(_TEMPLATE_PAIRS)).alias("join"),
+            )
+
+        return F.transform(p, mark)
+
+    def runs(q: Column, start: Column) -> Column:
+        """The runs of two lines and more from a line on whose last line adds something, as ``made``; all they say."""
+        # A long line enters with its words next to the rest of the run.
+        cut = F.size(start["ws"]) > REACH
+        first = F.when(cut, content_of(F.slice(start["ws"], -REACH, REACH))).otherwise(start["inner"])
+        begin = let(
+            first,
+            lambda c: F.struct(
+                F.lit(0).alias("n"),
+                scored(bias, c).alias("scores"),
+                c.alias("content"),
+                F.array().cast("array<struct<last:int,scores:array<double>,content:array<string>>>").alias("made"),
+            ),
         )
 
         def longer(acc: Column, x: Column) -> Column:
-            ws = F.concat(acc["ws"], F.slice(x["ws"], 1, REACH))
-            n = F.when(F.size(x["ws"]) == 0, REACH).otherwise(acc["n"] + F.size(x["ws"]))
-            made = F.when(F.size(x["ws"]) == 0, acc["made"]).otherwise(
-                F.concat(acc["made"], F.array(F.struct(x["line"].alias("last"), ws.alias("ws"))))
-            )
-            return F.when(acc["n"] >= REACH, acc).otherwise(F.struct(ws.alias("ws"), n.alias("n"), made.alias("made")))
+            own = F.when(F.size(x["ws"]) > REACH, content_of(F.slice(x["ws"], 1, REACH))).otherwise(x["inner"])
+
+            def grown(fresh: Column) -> Column:
+                n = (acc["n"] + F.size(x["ws"])).alias("n")
+                # A cut first line with another is not that line alone with more, so it stays.
+                tells = (F.size(fresh) > 0) | (cut & (x["line"] == start["line"] + 1))
+
+                def taken(run: Column) -> Column:
+                    made = F.concat(acc["made"], F.array(run))
+                    return F.struct(n, run["scores"].alias("scores"), run["content"].alias("content"), made.alias("made"))
+
+                run = F.struct(
+                    x["line"].alias("last"),
+                    scored(acc["scores"], fresh).alias("scores"),
+                    F.concat(acc["content"], fresh).alias("content"),
+                )
+                same = F.struct(n, *[acc[c].alias(c) for c in ("scores", "content", "made")])
+                return F.when(tells, let(run, taken)).otherwise(same)
+
+            ended = F.struct(F.lit(REACH).alias("n"), *[acc[c].alias(c) for c in ("scores", "content", "made")])
+            fresh = F.array_except(F.concat(own, x["join"]), acc["content"])
+            return F.when(acc["n"] >= REACH, acc).when(F.size(x["ws"]) == 0, ended).otherwise(let(fresh, grown))
+
+        return F.aggregate(F.slice(q, start["line"] + 2, REACH), begin, longer)
+
+    def explained(by: Column, x: Column) -> Column:
+        overlap = (by["line"] <= x["last"]) & (x["line"] <= by["last"])
+        return overlap & ((by["family"] == x["family"]) | (F.size(F.array_except(x["own"], by["own"])) == 0))
+
+    def wrapped(q: Column, likely: Column, lines_judged: Column) -> Column:
+        """Confirmed runs, without those that a line explains which holds a whole template: such a line always stands."""
 
-        return F.aggregate(F.slice(p, start["line"] + 2, REACH), begin, longer, lambda acc: acc["made"])
+        def begins(x: Column) -> Column:
+            """Whether a line adds something to the next one, or the next is so long that runs hold a part of it."""
+            after = F.get(q, x["line"] + 1)
+            adds = F.size(F.array_except(F.concat(x["inner"], after["join"]), after["inner"])) > 0
+            return (F.size(x["ws"]) > 0) & (F.size(after["ws"]) > 0) & (adds | (F.size(after["ws"]) > REACH))
 
-    def wrapped(p: Column) -> Column:
-        """Confirmed runs."""
-        starts = F.filter(p, lambda x: F.size(x["ws"]) > 0)
+        def by_whole(j: Column) -> Column:
+            own = F.slice(lines_judged, j["line"] + 1, j["last"] - j["line"] + 1)
+            return F.exists(own, lambda x: x.isNotNull() & x["confirmed"] & (x["lack"] == -1.0) & explained(x, j))
 
         def of(start: Column) -> Column:
             return let(
-                runs(p, start),
-                lambda made: F.when(
-                    F.coalesce(possible(F.get(made, F.size(made) - 1)["ws"]), F.lit(False)),
-                    F.filter(F.transform(made, lambda r: judged(start["line"], r["last"], r["ws"])), lambda j: j["confirmed"]),
+                runs(q, start),
+                lambda r: F.when(
+                    (F.size(r["made"]) > 0) & F.exists(likely, lambda t: fits(t, r["content"])),
+                    F.filter(
+                        F.transform(
+                            F.filter(r["made"], lambda m: F.exists(likely, lambda t: fits(t, m["content"]))),
+                            lambda m: judged(start["line"], m["last"], m["scores"], m["content"]),
+                        ),
+                        lambda j: j["confirmed"] & ~by_whole(j),
+                    ),
                 ),
             )
 
-        return F.flatten(F.filter(F.transform(starts, of), lambda x: x.isNotNull()))
+        return F.flatten(F.filter(F.transform(F.filter(q, begins), of), lambda x: x.isNotNull()))
+
+    def groups(found: Column) -> Column:
+        """Entries by line, apart where none overlaps the next."""
+        none = F.slice(found, 1, 0)
+        begin = F.struct(F.slice(F.array(found), 1, 0).alias("done"), none.alias("open"), F.lit(-1).alias("reach"))
+
+        def add(acc: Column, x: Column) -> Column:
+            entry = F.array(x["entry"])
+            return F.when(
+                x["line"] > acc["reach"],
+                F.struct(F.concat(acc["done"], F.array(acc["open"])).alias("done"), entry.alias("open"), x["entry"]["last"].alias("reach")),
+            ).otherwise(
+                F.struct(
+                    acc["done"].alias("done"),
+                    F.concat(acc["open"], entry).alias("open"),
+                    F.greatest(acc["reach"], x["entry"]["last"]).alias("reach"),
+                )
+            )
+
+        by_line = F.array_sort(F.transform(found, lambda x: F.struct(x["line"].alias("line"), x.alias("entry"))))
+        return F.aggregate(by_line, begin, add, lambda acc: F.concat(acc["done"], F.array(acc["open"])))
 
     def settled(single: Column, wide: Column) -> Column:
         """What stands of lines and runs that overlap."""
 
-        def explained(by: Column, x: Column) -> Column:
-            overlap = (by["line"] <= x["last"]) & (x["line"] <= by["last"])
-            return overlap & ((by["family"] == x["family"]) | (F.size(F.array_except(x["own"], by["own"])) == 0))
-
-        ranked = F.array_sort(F.concat(F.filter(single, lambda j: j["confirmed"]), wide))
-        stand = F.aggregate(
-            ranked,
-            F.slice(ranked, 1, 0),
-            lambda acc, x: F.when(F.exists(acc, lambda by: explained(by, x)), acc).otherwise(F.concat(acc, F.array(x))),
-        )
-
-        def with_rest(found: Column) -> Column:
-            inside = lambda x: F.exists(
-                found, lambda by: (by["last"] > by["line"]) & x["line"].between(by["line"], by["last"])
+        def standing(group: Column) -> Column:
+            return F.aggregate(
+                F.array_sort(group),
+                F.slice(group, 1, 0),
+                lambda acc, x: F.when(F.exists(acc, lambda by: explained(by, x)), acc).otherwise(F.concat(acc, F.array(x))),
             )
+
+        def with_rest(found: Column, runs_found: Column) -> Column:
+            inside = lambda x: F.exists(runs_found, lambda by: x["line"].between(by["line"], by["last"]))
             rest = F.filter(single, lambda x: ~x["confirmed"] & ~inside(x))
             return F.array_sort(F.transform(F.concat(found, rest), shown))
 
-        return let(stand, with_rest)
+        confirmed = F.concat(F.filter(single, lambda j: j["confirmed"]), wide)
+        stand = F.flatten(F.transform(let(confirmed, groups), standing))
+        return let(
+            stand, lambda found: let(F.filter(found, lambda by: by["last"] > by["line"]), lambda r: with_rest(found, r))
+        )
 
     def shown(j: Column) -> Column:
         return F.struct(*[j[c].alias(c) for c in ("line", "family", "probability", "confirmed", "notice")])
 
     def scanned(p: Column) -> Column:
-        maybe = F.filter(p, lambda x: F.exists(x["ws"], lambda w: w.isin(telling)))
-        single = F.transform(maybe, lambda x: judged(x["line"], x["line"], x["ws"]))
-        wraps = (F.size(maybe) > 0) & possible(F.flatten(F.transform(p, lambda x: x["ws"])))
-        return let(single, lambda one: F.when(wraps, settled(one, wrapped(p))).otherwise(F.transform(one, shown)))
+        def line(x: Column) -> Column:
+            scores = lambda c: judged(x["line"], x["line"], scored(bias, c), c)
+            return F.when(F.exists(x["ws"], lambda w: w.isin(telling)), let(content_of(x["ws"]), scores))
 
-    return let(placed, scanned)
+        def with_runs(each: Column, one: Column, q: Column) -> Column:
+            said = F.array_distinct(F.flatten(F.transform(q, lambda x: F.concat(x["inner"], x["join"]))))
+            return let(
+                let(said, lambda c: F.filter(every, lambda t: fits(t, c))),
+                lambda likely: F.when(F.size(likely) > 0, settled(one, wrapped(q, likely, each))).otherwise(F.transform(one, shown)),
+            )
 
+        def of(each: Column, one: Column) -> Column:
+            return F.when(F.size(one) > 0, let(marked(p), lambda q: with_runs(each, one, q))).otherwise(F.transform(one, shown))
 
-def _all_pairs(template: str) -> list[str]:
-    ws = words(template)
-    return sorted({f"{a} {b}" for a, b in zip(ws, ws[1:])})
+        return let(
+            F.transform(p, line),
+            lambda each: let(F.filter(each, lambda x: x.isNotNull()), lambda one: of(each, one)),
+        )
 
+    return let(placed, scanned)
 
-def corpus_sample(docs: DataFrame, text: str = "text") -> list[str]:
-    """Whole distinct lines from any place in the texts, the MAX_CORPUS_LINES of a share of the hashes."""
+
+def _sampled(docs: DataFrame, text: str) -> DataFrame:
+    """Lines ``x`` from any place in the texts with their hashes ``h``, those of a share of the hashes."""
     lines = docs.select(F.explode(F.split(F.col(text), "\n", -1)).alias("x")).filter(F.col("x").rlike("[A-Za-z0-9]"))
     hashed, parts = lines.select(F.xxhash64("x").alias("h"), "x"), 1 << 30
     n = hashed.agg(F.approx_count_distinct("h")).first()[0]
     if n > 2 * MAX_CORPUS_LINES:
         # So that the sort meets a bounded number of rows, however many lines there are.
         hashed = hashed.filter(F.pmod("h", F.lit(parts)) < F.lit(parts * 2 * MAX_CORPUS_LINES // n + 1))
-    return [r["x"] for r in hashed.distinct().orderBy("h", "x").limit(MAX_CORPUS_LINES).collect()]
+    return hashed
+
+
+def corpus_sample(docs: DataFrame, text: str = "text") -> list[str]:
+    """Whole distinct lines from any place in the texts, the MAX_CORPUS_LINES of a share of the hashes, to look at."""
+    return [r["x"] for r in _sampled(docs, text).distinct().orderBy("h", "x").limit(MAX_CORPUS_LINES).collect()]
+
+
+def corpus_evidence(docs: DataFrame, text: str = "text") -> list[Evidence]:
+    """What training uses of the lines of ``corpus_sample``, by line hash; the lines stay where they are."""
+
+    def of(ws: Column) -> Column:
+        own = F.size(F.filter(_pairs(ws), lambda p: p.isin(_TEMPLATE_PAIRS)))
+        whole = F.exists(F.array(*[F.lit(t) for t in _WHOLE]), lambda t: F.contains(F.array_join(ws, " "), t))
+        return F.struct(
+            F.transform(F.slice(ws, 1, HEAD), lambda w: F.when(w.isin(_TEMPLATE_WORDS), w).otherwise(OTHER)).alias("head"),
+            F.array_sort(F.array_distinct(F.filter(F.concat(ws, _pairs(ws)), lambda g: g.isin(_TEMPLATE_GRAMS)))).alias("grams"),
+            ((own > 0) & ((2 * own >= F.size(ws) - 1) | whole)).alias("notice"),
+        )
+
+    seen = _sampled(docs, text).select("h", let(_line_words(F.col("x")), of).alias("line")).distinct()
+    rows = seen.orderBy("h", "line").limit(MAX_CORPUS_LINES).select("line.*").collect()
+    return [Evidence(tuple(r["head"]), frozenset(r["grams"]), r["notice"]) for r in rows]
 
 
 def scan(docs: DataFrame, text: str = "text", keep: str = "doc_id") -> tuple[DataFrame, LicenseModel]:
     """``row`` and the ``notices`` of every document, confirmed or not; the model."""
-    model = train(corpus_sample(docs, text))
+    model = train(corpus_evidence(docs, text))
     narrow = docs.select(F.col(keep).alias("row"), F.col(text).alias("text"))
     return narrow.select("row", licenses_of(F.col("text"), model).alias("notices")), model
