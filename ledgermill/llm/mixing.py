@@ -11,7 +11,8 @@ mixture, so each block holds the sources in their weights. The prefix sums behin
 two levels, over about sqrt(n) buckets of sqrt(n) documents, so no source has to fit one task.
 
 Edge cases: a NULL source is a source of its own; NULL or blank texts count no tokens and go along
-with their source; a source without any token is read once; repeated rows are mixed one by one; an
+with their source; a source without any token is read once, its rows
+spread evenly over the blocks; repeated rows are mixed one by one; an
 empty table gives an empty mixture; columns of any name are carried in one struct.
 """
 
@@ -186,7 +187,9 @@ def mix(
         .join(starts, same)
         .withColumn("at", F.col("before") + F.col("inside"))
         .filter("pass < passes OR at < rest")
-        .withColumn("share", F.coalesce((F.col("pass") * F.col("all_tokens") + F.col("at")) / F.nullif("quota", F.lit(0.0)), F.lit(0.0)))
+        # A source without tokens has no places; its rows are dealt over the blocks.
+        .withColumn("dealt", F.pmod(F.xxhash64(F.lit(seed), "rid"), F.lit(1 << 30)) / F.lit(float(1 << 30)))
+        .withColumn("share", F.coalesce((F.col("pass") * F.col("all_tokens") + F.col("at")) / F.nullif("quota", F.lit(0.0)), "dealt"))
         .withColumn(
             "block",
             F.least(F.floor(F.col("share") * decided.blocks), F.lit(decided.blocks - 1)).cast("long"),

@@ -1,19 +1,22 @@
 """Token ids of whole texts, for use inside tasks.
 
 A byte-pair vocabulary never merges across a single space between two visible characters, so a text
-is cut there and each piece is looked up in a bounded cache of packed ids. Texts that have other
+is cut there and each piece is looked up in a cache of packed ids, bounded by bytes. Texts that have other
 white space beside a space, or the string of a special token, are encoded in one go.
 """
 
 from __future__ import annotations
 
 import base64
+import sys
 from functools import lru_cache
 from pathlib import Path
 
 import numpy as np
 
-CACHE_PIECES = 400_000
+CACHE_BYTES = 64 << 20  # of each of the two caches of an encoder
+LONG_PIECE = 1024  # characters; longer pieces are encoded each time
+ENTRY_BYTES = 100  # about what a dictionary takes for an entry
 # Up to here both libraries are taken to agree on letters, digits and spaces; beyond, only the
 # vocabulary's own library is asked.
 PLAIN_LIMIT = "ɐ"
@@ -23,14 +26,18 @@ class _Pieces(dict):
     """Packed ids (little-endian unsigned 32-bit) by piece; None for one that can't stand alone."""
 
     def __init__(self, prefix: str, encode):
-        self.prefix, self.encode = prefix, encode
+        self.prefix, self.encode, self.held = prefix, encode, 0
 
     def __missing__(self, piece: str):
         alone = piece and not piece[0].isspace() and not piece[-1].isspace()
         packed = self.encode(self.prefix + piece) if alone else None
-        if len(self) >= CACHE_PIECES:
-            self.clear()
-        self[piece] = packed
+        if len(piece) <= LONG_PIECE:
+            size = sys.getsizeof(piece) + sys.getsizeof(packed) + ENTRY_BYTES
+            if self.held + size > CACHE_BYTES:
+                self.clear()
+                self.held = 0
+            self.held += size
+            self[piece] = packed
         return packed
 
 

@@ -85,3 +85,14 @@ def test_sources_without_tokens_and_empty_table(spark, documents):
     assert sorted(r.row for r in mixture.collect()) == [1, 2]
     assert mixing.mix(documents([]), repetition=2.0)[0].count() == 0
     assert mixing.repeat_documents(documents([]), repetition=2.0).count() == 0
+
+
+def test_rows_without_tokens_are_dealt_over_the_blocks(spark, documents):
+    docs = documents([*((i, "w " * 20, "full") for i in range(400)), *((1000 + i, None, "bare") for i in range(2000))])
+    mixture, decided = mixing.mix(docs, repetition=1.0, block_tokens=800)
+    rows = mixture.collect()
+    bare = Counter(r.block for r in rows if r.source == "bare")
+    assert sum(bare.values()) == 2000 and set(bare) == set(range(decided.blocks))
+    assert max(bare.values()) < 2 * 2000 / decided.blocks
+    for b in bare:
+        assert sorted(r.position for r in rows if r.block == b) == list(range(sum(r.block == b for r in rows)))

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import sys
 import zlib
 from collections import Counter, defaultdict
 
@@ -8,7 +9,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from ledgermill.llm import packing
+from ledgermill.llm import packing, tokens
 from ledgermill.llm.tokens import Encoder
 
 
@@ -86,3 +87,18 @@ def test_packed_documents(spark, documents, odd_rows):
 
 def test_empty_table(spark, documents):
     assert packing.pack_documents(documents([])).count() == 0
+
+
+def test_caches_are_bounded_by_bytes(monkeypatch):
+    monkeypatch.setattr(tokens, "CACHE_BYTES", 50_000)
+    some = tokens.Encoder(**packing.tokenizer_files())
+    whole = lambda t: some.full.encode(t, add_special_tokens=False).ids
+    for i in range(300):
+        text = f"{'ab' * 300}{i} {'字' * 300}{i} {'xy' * 2000}{i} tail"
+        if i % 50 == 0:
+            assert np.frombuffer(some.packed(text), "<u4").tolist() == whole(text)
+        else:
+            some.packed(text)
+        for cache in (some.first, some.rest):
+            assert cache.held <= 50_000 and sum(map(sys.getsizeof, cache)) <= cache.held
+            assert max(map(len, cache), default=0) <= tokens.LONG_PIECE
